@@ -36,7 +36,7 @@ QUALITY_RULES = (
     QualityRule("few_words", 0, "n_words < 50"),
     QualityRule("repeated_words", 1, "100 * n_repeat_words > 50 * n_words"),
     QualityRule("many_symbols", 2, "10 * n_symbols > n_words"),
-    QualityRule("repeated_lines", 3, "100 * n_dup_lines > 30 * n_lines"),
+    QualityRule("repeated_lines", 3, "100 * n_dup_lines > 50 * n_lines"),
     QualityRule("short_or_long_words", 4, "word_chars < 2 * n_words or word_chars > 15 * n_words"),
 )
 
