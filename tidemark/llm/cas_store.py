@@ -63,7 +63,7 @@ class WordIds(dict):
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of the words that aren't kept yet; the long ones come back alone."""
-        new = list(words - self.keys())
+        new = [w for w in words if w not in self]
         if len(self) + len(new) > KEPT_WORDS:
             self.clear()
             new = list(words)

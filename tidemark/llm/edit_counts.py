@@ -162,7 +162,7 @@ class Counter:
         try:
             return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
         except KeyError:
-            new = list(set(pieces) - known.keys())
+            new = [p for p in set(pieces) if p not in known]
         if len(known) + len(new) > KEPT:
             known.clear()
             new = list(set(pieces))

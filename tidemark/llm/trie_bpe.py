@@ -142,7 +142,7 @@ class Bpe:
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids (4 bytes each) of the words that aren't kept yet, through the trie; the long ones come back alone."""
-        new = words - self.known.keys()
+        new = {w for w in words if w not in self.known}
         if len(self.known) + len(new) > KEPT:
             self.known.clear()
             new = words
