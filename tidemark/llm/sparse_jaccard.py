@@ -46,41 +46,88 @@ from tidemark.llm.common import ship, staged, table, text_bytes
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 ROUNDS = 2
+#: Times that the columns are gone through again after a first cut.
+PEELS = 2
 #: A shingle seen in so many sets comes late in the order; at most so many get a place of their own.
 FREQUENT, MOST_FREQUENT = 64, 1 << 16
 #: Partners that one task tests against a row before the row is sent to a further task.
 HUB_PARTNERS = 512
-KEPT_WORDS = 500_000
 #: Bits of the filter that picks candidate rows on the second reading.
 FILTER_BITS = 1 << 24
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_hashes = WordHashes()
-
-
-def shingles(text: bytes) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text."""
-    # bytes.lower and bytes.split know A-Z and the six blanks only
-    words = np.fromiter(map(_hashes.__getitem__, text.lower().split()), np.uint64)
-    if not len(words):
-        return words
-    n = max(1, len(words) - WORDS + 1)
-    x = np.full(n, min(len(words), WORDS), np.uint64)
-    for i in range(min(WORDS, len(words))):
-        x = (x + words[i : i + n]) * _ODD[i % len(_ODD)]
-        x ^= x >> np.uint64(29)
-    x.sort()
-    return x[np.concatenate(([True], x[1:] != x[:-1]))]
+def _table(seed: int, n: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, n, np.uint64)
+
+
+#: A random number for each byte; a word's hash is a polynomial over them, taken
+#: for all words at once from prefix sums.
+_BYTE = _table(5, 256)
+_BASE = 0x5851F42D4C957F2D
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _grow_powers(n: int) -> None:
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint64(32)
+    x *= _ODD[1]
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
+def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) < 1 << 20):
+            size += len(texts[j]) + 1
+            j += 1
+        yield from _shingle_sets(texts[i:j])
+        i = j
+
+
+def _shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+    # bytes.lower knows A-Z only
+    chars = np.frombuffer(b" ".join(texts).lower() + b" ", np.uint8)
+    _grow_powers(max(1 << 20, len(chars) + 1))
+    edges = np.diff(np.concatenate(([True], _BLANK[chars])).view(np.int8))
+    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[chars] * _powers[0][: len(chars)])))
+    words = _mixed((sums[ends] - sums[starts]) * _powers[1][starts])
+    full = np.full(max(0, len(words) - WORDS + 1), WORDS, np.uint64)
+    for k in range(WORDS if len(full) else 0):
+        full = (full + words[k : k + len(full)]) * _ODD[k % len(_ODD)]
+        full ^= full >> np.uint64(29)
+    bounds = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if last - first >= WORDS:
+            yield _distinct(full[first : last - WORDS + 1])
+        elif last == first:
+            yield np.zeros(0, np.uint64)
+        else:
+            x = np.uint64(last - first)
+            with np.errstate(over="ignore"):
+                for k in range(last - first):
+                    x = (x + words[first + k]) * _ODD[k]
+                    x ^= x >> np.uint64(29)
+            yield np.array([x], np.uint64)
 
 
 def set_id(s: np.ndarray) -> int:
@@ -105,10 +152,15 @@ def in_order(s: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndar
     return s[np.lexsort((s, weight))[:p]]
 
 
-def can_link(n: np.ndarray, pos: np.ndarray, n_one: int, pos_one: int) -> np.ndarray:
-    """Whether sizes and positions in a common column leave room for a link."""
+def can_link(n: np.ndarray, pos: np.ndarray, m: np.ndarray, one: tuple[int, int, int]) -> np.ndarray:
+    """Whether sizes n, positions pos in a common column, and the numbers m of a
+    row's columns in which anything is left, give room for a link with row ``one``.
+    Beyond the prefix that ends first in the order, a row has n - p elements."""
+    n_one, pos_one, m_one = one
     least = -(-NUMERATOR * (n + n_one) // (NUMERATOR + DENOMINATOR))
-    return (np.minimum(n, n_one) * DENOMINATOR >= NUMERATOR * np.maximum(n, n_one)) & (np.minimum(n - pos, n_one - pos_one) >= least)
+    beyond = np.maximum(-(-NUMERATOR * n // DENOMINATOR), -(-NUMERATOR * n_one // DENOMINATOR)) - 1
+    sized = np.minimum(n, n_one) * DENOMINATOR >= NUMERATOR * np.maximum(n, n_one)
+    return sized & (np.minimum(n - pos, n_one - pos_one) >= least) & (np.minimum(m, m_one) + beyond >= least)
 
 
 def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -125,8 +177,7 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
         size = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                s = shingles(text)
+            for s in shingle_sets(batch.column(0).to_pylist()):
                 if len(s) and (own := set_id(s)) not in seen:
                     seen.add(own)
                     held.append(s)
@@ -153,8 +204,7 @@ def _read_sets(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Dat
         seen: set[int] = set()
         for batch in batches:
             n, own, prefixes = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingles(text)
+            for s in shingle_sets(batch.column(1).to_pylist()):
                 n.append(len(s))
                 own.append(set_id(s) if len(s) else None)
                 if not len(s) or own[-1] in seen:
@@ -192,32 +242,48 @@ def _groups(rows: np.ndarray, work: Callable[[np.ndarray], Iterator[np.ndarray]]
 
 
 def _columns(sets: DataFrame) -> DataFrame:
-    """g, s, n, pos of every entry that can link with another one of its column."""
-    entries = sets.where("prefix is not null").select("s", "n", F.posexplode("prefix").alias("pos", "g")).select("g", "s", "n", F.col("pos").cast("long").alias("pos"))
-
+    """g, s, n, pos, m of every entry that can link with another one of its column.
+    A row whose entries have gone bounds its other pairs more tightly, so the
+    columns are gone through PEELS times more with the m that the last time left."""
+    entries = sets.where("prefix is not null").select("s", "n", F.posexplode("prefix").alias("pos", "g"))
+    m = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1
+    columns = _peeled(entries.select("g", "s", "n", F.col("pos").cast("long").alias("pos"), m.alias("m")))
+    for _ in range(PEELS):
+        left = columns.groupBy("s").agg(F.count("*").alias("m"))
+        columns = _peeled(columns.drop("m").join(left, "s").select("g", "s", "n", "pos", "m"))
+    left = columns.groupBy("s").agg(F.count("*").alias("m"))
+    return columns.drop("m").join(left, "s").select("g", "s", "n", "pos", "m")
+
+
+def _peeled(entries: DataFrame) -> DataFrame:
     def work(rows: np.ndarray) -> Iterator[np.ndarray]:
         _, first = np.unique(rows[1], return_index=True)  # a set may come from several tasks
-        rows = rows[:, first]
+        if len(first) < rows.shape[1]:
+            rows = rows[:, first]
         k = rows.shape[1]
         if k == 2:
-            if can_link(rows[2, :1], rows[3, :1], rows[2, 1], rows[3, 1])[0]:
+            if can_link(*rows[2:, :1], tuple(rows[2:, 1]))[0]:
                 yield rows
         elif k > 2:
             keep = np.zeros(k, bool)
-            for i in range(k) if k <= 2000 else ():
-                fits = can_link(rows[2], rows[3], rows[2, i], rows[3, i])
-                fits[i] = False
-                keep[i] = fits.any()
-            if k > 2000:
-                keep[:] = True
+            for i in range(k):
+                if not keep[i]:  # the search for a partner ends with the first block that has one
+                    for at in range(0, k, 4096):
+                        fits = can_link(*rows[2:, at : at + 4096], tuple(rows[2:, i]))
+                        if at <= i < at + 4096:
+                            fits[i - at] = False
+                        if fits.any():
+                            keep[i] = True
+                            keep[at : at + 4096] |= fits
+                            break
             if keep.any():
                 yield rows[:, keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _gathered(_by_column(batches, work, 4)):
-            yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["g", "s", "n", "pos"])
+        for rows in _gathered(_by_column(batches, work, 5)):
+            yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["g", "s", "n", "pos", "m"])
 
-    return entries.repartition("g").sortWithinPartitions("g").mapInArrow(run, "g long, s long, n long, pos long")
+    return staged(entries.repartition("g").sortWithinPartitions("g").mapInArrow(run, "g long, s long, n long, pos long, m long"), "jaccard-columns")
 
 
 def _gathered(parts: Iterator[np.ndarray], size: int = 100_000) -> Iterator[np.ndarray]:
@@ -239,7 +305,7 @@ def _some_pairs(seed: int) -> Callable[[np.ndarray], Iterator[np.ndarray]]:
     the column's largest component."""
 
     def work(rows: np.ndarray) -> Iterator[np.ndarray]:
-        _, s, n, pos, comp = rows
+        _, s, n, pos, m, comp = rows
         with np.errstate(over="ignore"):
             key = (s.view(np.uint64) ^ np.uint64(seed * 0x9E3779B9 + 1)) * _ODD[1]
         order = np.argsort(key ^ (key >> np.uint64(31)), kind="stable")
@@ -259,14 +325,14 @@ def _some_pairs(seed: int) -> Callable[[np.ndarray], Iterator[np.ndarray]]:
 
 
 def _all_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
-    if len(np.unique(rows[4])) > 1:
+    if len(np.unique(rows[5])) > 1:
         for i in range(rows.shape[1] - 1):  # a row at a time, so that a long column needs no square of memory
             yield _passing(rows, np.full(rows.shape[1] - 1 - i, i), np.arange(i + 1, rows.shape[1]))
 
 
 def _passing(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    _, s, n, pos, comp = rows
-    fits = (comp[i] != comp[j]) & can_link(n[i], pos[i], n[j], pos[j])
+    _, s, n, pos, m, comp = rows
+    fits = (comp[i] != comp[j]) & can_link(n[i], pos[i], m[i], (n[j], pos[j], m[j]))
     a, b = s[i][fits], s[j][fits]
     return np.stack([np.minimum(a, b), np.maximum(a, b)])
 
@@ -276,12 +342,12 @@ def _pairs(columns: DataFrame, labels: DataFrame | None, work: Callable[[np.ndar
     if labels is None:
         rows = columns.withColumn("comp", F.col("s"))
     else:
-        rows = columns.join(labels, "s", "left").select("g", "s", "n", "pos", F.coalesce("comp", "s").alias("comp"))
+        rows = columns.join(labels, "s", "left").select("g", "s", "n", "pos", "m", F.coalesce("comp", "s").alias("comp"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for pairs in _gathered(_by_column(batches, work, 5)):
-            new = list(set(zip(*pairs.tolist(), strict=True)) - seen)
+        for pairs in _gathered(_by_column(batches, work, 6)):
+            new = [p for p in set(zip(*pairs.tolist(), strict=True)) if p not in seen]
             if len(seen) + len(new) > 500_000:
                 seen.clear()
             seen.update(new)
@@ -306,8 +372,7 @@ def _candidate_sets(docs: DataFrame, columns: DataFrame) -> DataFrame:
         picked, seen = shared.value, set()
         for batch in batches:
             own, n, packed = [], [], []
-            for text in batch.column(0).to_pylist():
-                s = shingles(text)
+            for s in shingle_sets(batch.column(0).to_pylist()):
                 if not len(s):
                     continue
                 bit = (i := set_id(s)) & (FILTER_BITS - 1)
@@ -389,7 +454,7 @@ def jaccard_components(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     sets = staged(_read_sets(rows, *_frequent(rows)), "jaccard-sets")
-    columns = staged(_columns(sets), "jaccard-columns")
+    columns = _columns(sets)
     candidates = staged(_candidate_sets(rows, columns), "jaccard-candidates")
     labels, links, tested = None, None, None
     for r in range(rounds + 1):
