@@ -258,7 +258,9 @@ def read_sample(docs: DataFrame, labels: DataFrame, in_training: Column, most: i
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).join(ids, F.col("doc_id") == F.col("label_id")).select("label_id", "text", "toxic").orderBy("label_id", "text").collect()
     toxic = [r.toxic == 1 for r in rows]
     rates = tuple(sizes.get(t, 0) / max(1, toxic.count(t)) for t in (False, True))
-    return [[plain(w) for w in bytes(r.text).split()] for r in rows], toxic, rates
+    known: dict[bytes, str] = {}  # one string for each distinct word
+    texts = [[known[w] if w in known else known.setdefault(w, plain(w)) for w in bytes(r.text).split()] for r in rows]
+    return texts, toxic, rates
 
 
 def score_documents(docs: DataFrame, crf: Crf | None) -> DataFrame:
