@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -35,7 +34,7 @@ TOKENIZER = "byte_bpe_50k.json"
 #: The published pattern of this kind of pre-tokenizer (a fixed value), with white space spelled out as the Unicode property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Pre-tokens and pairs that a Python worker keeps; longer pre-tokens are not kept.
-KEPT, KEPT_PAIRS, KEPT_LENGTH = 500_000, 500_000, 48
+KEPT, KEPT_PAIRS, KEPT_LENGTH = 1_000_000, 800_000, 48
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -94,6 +93,7 @@ class Bpe:
     def walk(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """Encodings of distinct words through one trie."""
         children: list[dict[int, int]] = [{}]
+        owners: list[bytes] = [b""]  # some word through each node
         ends: dict[int, bytes] = {}
         for word in words:
             node = 0
@@ -102,35 +102,40 @@ class Bpe:
                 if step is None:
                     step = children[node][byte] = len(children)
                     children.append({})
+                    owners.append(word)
                 node = step
             ends[node] = word
         out: dict[bytes, list[int]] = {}
-        path, last = bytearray(), [-1]  # last[d]: last token of the prefix of length d
-        stack = [(child, byte, 1) for byte, child in children[0].items()]
-        suffix_ids, stands, longest = self.suffix_ids, self.stands, self.longest
+        last = [-1]  # last[d]: last token of the prefix of length d
+        stack = [(child, 1) for child in children[0].values()]
+        token_of, pair, stands, longest, bytes_of = self.suffix_ids.get, self._pairs.get, self.stands, self.longest, self.bytes_of
         while stack:
-            node, byte, depth = stack.pop()
-            del path[depth - 1 :]
+            node, depth = stack.pop()
             del last[depth:]
-            path.append(byte)
-            prefix = bytes(path[-longest:])
-            for n in range(len(prefix), 0, -1):
-                token = suffix_ids.get(prefix[-n:])
-                if token is not None and (n == depth or stands(last[depth - n], token)):
+            word = owners[node]
+            for start in range(max(0, depth - longest), depth):
+                token = token_of(word[start:depth])
+                if token is not None:
+                    if start:
+                        fits = pair((last[start], token))
+                        if not (stands(last[start], token) if fits is None else fits):
+                            continue
                     last.append(token)
                     break
             if node in ends:
                 ids, d = [], depth
                 while d:
                     ids.append(last[d])
-                    d -= len(self.bytes_of[last[d]])
+                    d -= len(bytes_of[last[d]])
                 out[ends[node]] = ids[::-1]
-            stack.extend((child, b, depth + 1) for b, child in children[node].items())
+            depth += 1
+            for child in children[node].values():
+                stack.append((child, depth))
         return out
 
     def pre_tokens(self, text: str) -> list[str | int]:
         """Pre-tokens in order; an added token stands as its id."""
-        if self._at_added is None or not self._at_added.search(text):
+        if not any(t in text for t in self.added):
             return self._pattern.findall(text)
         out: list[str | int] = []
         at = 0
@@ -156,7 +161,7 @@ class Bpe:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         for i in range(0, len(texts), 256):
             cut = [self.pre_tokens(t) for t in texts[i : i + 256]]
-            words = set(chain.from_iterable(cut))
+            words = set().union(*cut)
             ids = {w for w in words if isinstance(w, int)}
             long = self.learn(words - ids) | {x: np.array([x], "<u4").tobytes() for x in ids}
             known = self.known
