@@ -60,6 +60,9 @@ class WordIds(dict):
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
+        vocab = self._library.get_vocab(with_added_tokens=True)
+        self._closes = np.zeros(max(vocab.values()) + 1, bool)
+        self._closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of the words that aren't kept yet; the long ones come back alone."""
@@ -68,33 +71,54 @@ class WordIds(dict):
             self.clear()
             new = list(words)
         long: dict[bytes, bytes] = {}
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for word, got in zip(part, self._library.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                (self if len(word) <= KEPT_LENGTH else long)[word] = np.array(got.ids, "<u4").tobytes()
+        keep = lambda word: self if len(word) <= KEPT_LENGTH else long
+        texts = {w: w.decode("utf-8", "replace") for w in new}
+        # a word of letters is one pre-token, and the last token of each carries the
+        # end mark: many such words are encoded as one text and told apart by it
+        plain = [w for w in new if texts[w].isalpha()]
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        rest = [w for w in new if not texts[w].isalpha()]
+        for group, got in zip(groups, self._encode([" ".join([texts[w] for w in g]) for g in groups]), strict=True):
+            ids = np.array(got, "<u4")
+            ends = np.flatnonzero(self._closes[ids]) + 1
+            if len(ends) != len(group) or ends[-1] != len(ids):
+                rest += group
+                continue
+            data, start = ids.tobytes(), 0
+            for word, end in zip(group, (4 * ends).tolist(), strict=True):
+                keep(word)[word] = data[start:end]
+                start = end
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
+            for word, got in zip(part, self._encode([texts[w] for w in part]), strict=True):
+                keep(word)[word] = np.array(got, "<u4").tobytes()
         return long
 
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+
 
 _words: dict[str, WordIds] = {}
 
 
-def encode_texts(texts: list[bytes], path: str) -> Iterator[np.ndarray]:
-    """The ids of each text, without the end id."""
+GROUP = 256
+
+
+def encode_texts(texts: list[bytes], path: str, end: bytes = b"") -> Iterator[tuple[bytes, list[int]]]:
+    """For each GROUP of texts: the ids, 4 bytes each and ``end`` after each text, and where each text ends."""
     if path not in _words:
         _words.clear()
         _words[path] = WordIds(path)
     known = _words[path]
-    for i in range(0, len(texts), 256):
-        split = [t.split() for t in texts[i : i + 256]]
+    for i in range(0, len(texts), GROUP):
+        split = [t.split() for t in texts[i : i + GROUP]]
         long = known.learn(set().union(*split))
-        look = {**long}.get
-        for words in split:
-            ids = b"".join(map(known.__getitem__, words)) if not long else b"".join([known[w] if w in known else look(w) for w in words])
-            yield np.frombuffer(ids, "<u4")
+        ids = [b"".join(map(known.__getitem__, words) if not long else [known[w] if w in known else long[w] for w in words]) + end for words in split]
+        yield b"".join(ids), np.cumsum([len(x) // 4 for x in ids]).tolist()
 
 
 def rolling(ids: np.ndarray) -> np.ndarray:
-    """Hash of the ROLL ids that end at each position (fewer at the start)."""
+    """Hash of the ROLL ids that end at each position."""
     x = ids.astype(np.uint64) + np.uint64(1)
     x *= _MULTIPLIER
     x ^= x >> np.uint64(29)
@@ -106,22 +130,30 @@ def rolling(ids: np.ndarray) -> np.ndarray:
     return x >> np.uint64(32)
 
 
-def cut_points(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of one document."""
-    ends, start, n = [], 0, len(ids)
-    for at in (np.flatnonzero((rolling(ids) & np.uint64(CUT_MASK)) == 0) + 1).tolist():
-        while at - start > LONGEST:
+def cut_points(ids: np.ndarray, text_ends: list[int]) -> list[list[int]]:
+    """Ends of the chunks of each text. No cut lies within SHORTEST, which is more
+    than ROLL, of a text's start, so cuts depend on the text's own ids alone."""
+    marks = (np.flatnonzero((rolling(ids) & np.uint64(CUT_MASK)) == 0) + 1).tolist()
+    out, start, m = [], 0, 0
+    for text_end in text_ends:
+        ends: list[int] = []
+        while m < len(marks) and marks[m] <= text_end:
+            at = marks[m]
+            m += 1
+            while at - start > LONGEST:
+                start += LONGEST
+                ends.append(start)
+            if at - start >= SHORTEST:
+                start = at
+                ends.append(start)
+        while text_end - start > LONGEST:
             start += LONGEST
             ends.append(start)
-        if at - start >= SHORTEST:
-            start = at
-            ends.append(start)
-    while n - start > LONGEST:
-        start += LONGEST
-        ends.append(start)
-    if start < n:
-        ends.append(n)
-    return ends
+        if start < text_end:
+            ends.append(text_end)
+        start = text_end
+        out.append(ends)
+    return out
 
 
 def merkle_root(hashes: list[bytes]) -> bytes:
@@ -149,17 +181,19 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, hashes, payloads, roots = [], [], [], []
-            for ids in encode_texts(batch.column(1).to_pylist(), tokenizer):
-                ids = np.append(ids, np.uint32(end_id))
-                own, packed, start = [], [], 0
-                for end in cut_points(ids):
-                    own.append(hashlib.sha256(ids[start:end].tobytes()).digest())
-                    packed.append(_pack(ids[start:end], width))
-                    start = end
-                n.append(len(ids))
-                hashes.append(own)
-                payloads.append(packed)
-                roots.append(merkle_root(own))
+            for data, text_ends in encode_texts(batch.column(1).to_pylist(), tokenizer, np.uint32(end_id).tobytes()):
+                ids, start = np.frombuffer(data, "<u4"), 0
+                packed = _pack(ids, width)
+                for text_end, ends in zip(text_ends, cut_points(ids, text_ends), strict=True):
+                    n.append(text_end - start)
+                    own, parts = [], []
+                    for end in ends:
+                        own.append(hashlib.sha256(data[4 * start : 4 * end]).digest())
+                        parts.append(packed[width * start : width * end])
+                        start = end
+                    hashes.append(own)
+                    payloads.append(parts)
+                    roots.append(merkle_root(own))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.list_(pa.binary())), pa.array(payloads, pa.list_(pa.binary())), pa.array(roots, pa.binary())], ["doc_id", "n_tokens", "hashes", "payloads", "root"])
 
     encoded = staged(docs.select("doc_id", text_bytes().alias("text")).mapInArrow(encode, "doc_id long, n_tokens long, hashes array<binary>, payloads array<binary>, root binary"), "cas-encoded")
