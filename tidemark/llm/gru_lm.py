@@ -73,6 +73,20 @@ def count_tokens(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(count, "w binary, c long").where("c > 0").groupBy("w").agg(F.sum("c").alias("c"))
 
 
+def frequent_tokens(counts: DataFrame, most: int = BROADCAST_WORDS) -> list[tuple[bytes, int]]:
+    """At most ``most`` tokens, the most frequent first. The least count that fits is
+    found from the numbers of tokens with each count, so tasks send no more than is kept."""
+    upto, least = 0, None
+    for r in counts.groupBy("c").count().orderBy(F.desc("c")).toLocalIterator():
+        upto += r["count"]
+        if upto > most:
+            break
+        least = r.c
+    if least is None:
+        return []
+    return sorted(((bytes(r.w), r.c) for r in counts.where(F.col("c") >= least).collect()), key=lambda x: (-x[1], x[0]))
+
+
 class Gru:
     """Parameters and passes. Shapes: x (tokens + 2, 3H), u (H, 3H), bu (3H),
     wc (H, classes + 1), bc, wo (classes, H, size), bo (classes, size)."""
@@ -273,8 +287,7 @@ def score_documents(docs: DataFrame, in_training: object, sample: int = SAMPLE)
     training = rows.where(~F.col("held_out"))
     counts = staged(count_tokens(training), "gru-counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    frequent = counts.orderBy(F.desc("c"), "w").limit(BROADCAST_WORDS)
-    vocabulary = Vocabulary([(bytes(r.w), r.c) for r in frequent.collect()], totals.n, totals.v)
+    vocabulary = Vocabulary(frequent_tokens(counts), totals.n, totals.v)
     model = _train(training.where(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0), vocabulary, max(1, round(totals.n / sample / TRAINER_TOKENS)))
     shared = spark.sparkContext.broadcast((vocabulary, model))
 
