@@ -261,15 +261,19 @@ def _peeled(entries: DataFrame) -> DataFrame:
         if len(first) < rows.shape[1]:
             rows = rows[:, first]
         k = rows.shape[1]
+        # positions bound a pair in its first common column alone; here every common
+        # column must stay, or m would no longer bound what two rows share
+        free = rows[2:].copy()
+        free[1] = 0
         if k == 2:
-            if can_link(*rows[2:, :1], tuple(rows[2:, 1]))[0]:
+            if can_link(*free[:, :1], tuple(free[:, 1]))[0]:
                 yield rows
         elif k > 2:
             keep = np.zeros(k, bool)
             for i in range(k):
                 if not keep[i]:  # the search for a partner ends with the first block that has one
                     for at in range(0, k, 4096):
-                        fits = can_link(*rows[2:, at : at + 4096], tuple(rows[2:, i]))
+                        fits = can_link(*free[:, at : at + 4096], tuple(free[:, i]))
                         if at <= i < at + 4096:
                             fits[i - at] = False
                         if fits.any():
