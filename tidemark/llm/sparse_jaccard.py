@@ -10,9 +10,10 @@ Rows of the incidence matrix are distinct shingle sets, columns are shingles
    own), the rest by hash. A row takes part in the columns of its prefix alone:
    two rows that link share a column among the first n - ceil(0.75 n) + 1 of each.
    This is exact for any order.
-3. In a column (a block of the product), two rows whose sizes and positions bound
-   the overlap below what a link needs are discarded; a linking pair passes this
-   bound in its first common column.
+3. In a column (a block of the product), two rows whose sizes, positions and ranks
+   among the columns that are left bound the overlap below what a link needs are
+   discarded. While columns are discarded the bound holds in every common column of
+   a linking pair; pairs are made under a closer one that holds in its first.
 4. Overlaps of the pairs left are accumulated in full, in tasks that hold one row
    at a time and stream its partners.
 
@@ -39,7 +40,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship, staged, table, text_bytes
@@ -48,6 +49,8 @@ WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 ROUNDS = 2
 #: Times that the columns are gone through again after a first cut.
 PEELS = 2
+#: Columns of at most so many rows are worked through together.
+SMALL = 4
 #: A shingle seen in so many sets comes late in the order; at most so many get a place of their own.
 FREQUENT, MOST_FREQUENT = 64, 1 << 16
 #: Partners that one task tests against a row before the row is sent to a further task.
@@ -152,15 +155,24 @@ def in_order(s: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndar
     return s[np.lexsort((s, weight))[:p]]
 
 
-def can_link(n: np.ndarray, pos: np.ndarray, m: np.ndarray, one: tuple[int, int, int]) -> np.ndarray:
-    """Whether sizes n, positions pos in a common column, and the numbers m of a
-    row's columns in which anything is left, give room for a link with row ``one``.
-    Beyond the prefix that ends first in the order, a row has n - p elements."""
-    n_one, pos_one, m_one = one
-    least = -(-NUMERATOR * (n + n_one) // (NUMERATOR + DENOMINATOR))
-    beyond = np.maximum(-(-NUMERATOR * n // DENOMINATOR), -(-NUMERATOR * n_one // DENOMINATOR)) - 1
-    sized = np.minimum(n, n_one) * DENOMINATOR >= NUMERATOR * np.maximum(n, n_one)
-    return sized & (np.minimum(n - pos, n_one - pos_one) >= least) & (np.minimum(m, m_one) + beyond >= least)
+#: Numbers of the entries' fields g, s, n, pos, rank, m and comp.
+_G, _S, _N, _POS, _RANK, _M, _COMP = range(7)
+
+
+def can_link(a: np.ndarray, b: np.ndarray, first: bool = False) -> np.ndarray:
+    """Whether the entries a and b of a common column (fields by entries) give room for
+    a link of their rows. Of a row's m prefix columns in which anything is left, rank
+    come before this one, and n - pos elements of the row from this one on; past the
+    prefix that ends first in the order, a row has ceil(0.75 n) - 1 elements. A common
+    element before this column stands in a column before it in both rows, and none does
+    if this is their first common one: then the bound is closer, but holds there alone."""
+    n, k = a[_N], b[_N]
+    least = -(-NUMERATOR * (n + k) // (NUMERATOR + DENOMINATOR))
+    before = 0 if first else np.minimum(a[_RANK], b[_RANK])
+    behind = np.minimum(a[_M] - a[_RANK], b[_M] - b[_RANK]) - 1
+    beyond = -(-NUMERATOR * np.maximum(n, k) // DENOMINATOR) - 1
+    sized = np.minimum(n, k) * DENOMINATOR >= NUMERATOR * np.maximum(n, k)
+    return sized & (before + np.minimum(n - a[_POS], k - b[_POS]) >= least) & (before + 1 + behind + beyond >= least)
 
 
 def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -219,75 +231,91 @@ def _read_sets(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Dat
     return docs.mapInArrow(run, "doc_id long, n long, s long, prefix array<long>")
 
 
-def _by_column(batches: Iterator[pa.RecordBatch], work: Callable[[np.ndarray], Iterator[np.ndarray]], n_cols: int) -> Iterator[np.ndarray]:
-    """Cuts rows sorted by their first column into whole groups and runs ``work`` on
-    arrays of the groups of two rows or more, as (columns, rows)."""
+Work = Callable[[np.ndarray], Iterator[np.ndarray]]
+
+
+def _by_column(batches: Iterator[pa.RecordBatch], small: Work, large: Work, n_cols: int) -> Iterator[np.ndarray]:
+    """Cuts entries sorted by g and s into whole columns, each row once. ``small`` gets
+    all columns of one length up to SMALL as (fields, columns, rows), ``large`` every
+    longer column as (fields, rows)."""
     rest = np.zeros((n_cols, 0), np.int64)
     for batch in batches:
         rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])], axis=1)
-        ends = np.flatnonzero(np.diff(rows[0])) + 1
+        ends = np.flatnonzero(np.diff(rows[_G])) + 1
         last = int(ends[-1]) if len(ends) else 0
         rest = rows[:, last:]
         if last:
-            yield from _groups(rows[:, :last], work)
+            yield from _groups(rows[:, :last], small, large)
     if rest.shape[1]:
-        yield from _groups(rest, work)
+        yield from _groups(rest, small, large)
 
 
-def _groups(rows: np.ndarray, work: Callable[[np.ndarray], Iterator[np.ndarray]]) -> Iterator[np.ndarray]:
-    starts = np.concatenate(([0], np.flatnonzero(np.diff(rows[0])) + 1, [rows.shape[1]]))
+def _groups(rows: np.ndarray, small: Work, large: Work) -> Iterator[np.ndarray]:
+    # a set may come from several tasks
+    again = (rows[_G, 1:] == rows[_G, :-1]) & (rows[_S, 1:] == rows[_S, :-1])
+    if again.any():
+        rows = rows[:, np.concatenate(([True], ~again))]
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(rows[_G])) + 1, [rows.shape[1]]))
     sizes = np.diff(starts)
-    for i in np.flatnonzero(sizes > 1).tolist():
-        yield from work(rows[:, starts[i] : starts[i + 1]])
+    for size in range(2, SMALL + 1):
+        of_size = starts[:-1][sizes == size]
+        if len(of_size):
+            yield from small(rows[:, of_size[:, None] + np.arange(size)])
+    for i in np.flatnonzero(sizes > SMALL).tolist():
+        yield from large(rows[:, starts[i] : starts[i + 1]])
 
 
 def _columns(sets: DataFrame) -> DataFrame:
-    """g, s, n, pos, m of every entry that can link with another one of its column.
-    A row whose entries have gone bounds its other pairs more tightly, so the
-    columns are gone through PEELS times more with the m that the last time left."""
+    """g, s, n, pos, rank, m of every entry that can be the first common one of a link.
+    A row whose entries have gone bounds its other pairs more closely, so the columns
+    are gone through PEELS times more with the ranks and numbers that the last time left."""
     entries = sets.where("prefix is not null").select("s", "n", F.posexplode("prefix").alias("pos", "g"))
     m = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1
-    columns = _peeled(entries.select("g", "s", "n", F.col("pos").cast("long").alias("pos"), m.alias("m")))
-    for _ in range(PEELS):
-        left = columns.groupBy("s").agg(F.count("*").alias("m"))
-        columns = _peeled(columns.drop("m").join(left, "s").select("g", "s", "n", "pos", "m"))
-    left = columns.groupBy("s").agg(F.count("*").alias("m"))
-    return columns.drop("m").join(left, "s").select("g", "s", "n", "pos", "m")
-
-
-def _peeled(entries: DataFrame) -> DataFrame:
-    def work(rows: np.ndarray) -> Iterator[np.ndarray]:
-        _, first = np.unique(rows[1], return_index=True)  # a set may come from several tasks
-        if len(first) < rows.shape[1]:
-            rows = rows[:, first]
+    pos = F.col("pos").cast("long")
+    columns = _peeled(entries.select("g", "s", "n", pos.alias("pos"), pos.alias("rank"), m.alias("m")), False)
+    row = Window.partitionBy("s")
+    for i in range(PEELS):
+        rank = F.row_number().over(row.orderBy("pos")).cast("long") - 1
+        ranked = columns.select("g", "s", "n", "pos", rank.alias("rank"), F.count("*").over(row).alias("m"))
+        columns = _peeled(ranked, i == PEELS - 1)
+    return columns
+
+
+def _peeled(entries: DataFrame, first: bool) -> DataFrame:
+    """The entries that have a partner in their column. Only the last time ``first`` is
+    set: afterwards ranks and numbers must not be taken anew."""
+
+    def small(rows: np.ndarray) -> Iterator[np.ndarray]:
+        keep = np.zeros(rows.shape[1:], bool)
+        for i in range(rows.shape[2]):
+            for j in range(i):
+                fits = can_link(rows[:, :, i], rows[:, :, j], first)
+                keep[:, i] |= fits
+                keep[:, j] |= fits
+        yield rows[:, keep]
+
+    def large(rows: np.ndarray) -> Iterator[np.ndarray]:
         k = rows.shape[1]
-        # positions bound a pair in its first common column alone; here every common
-        # column must stay, or m would no longer bound what two rows share
-        free = rows[2:].copy()
-        free[1] = 0
-        if k == 2:
-            if can_link(*free[:, :1], tuple(free[:, 1]))[0]:
-                yield rows
-        elif k > 2:
-            keep = np.zeros(k, bool)
-            for i in range(k):
-                if not keep[i]:  # the search for a partner ends with the first block that has one
-                    for at in range(0, k, 4096):
-                        fits = can_link(*free[:, at : at + 4096], tuple(free[:, i]))
-                        if at <= i < at + 4096:
-                            fits[i - at] = False
-                        if fits.any():
-                            keep[i] = True
-                            keep[at : at + 4096] |= fits
-                            break
-            if keep.any():
-                yield rows[:, keep]
+        keep = np.zeros(k, bool)
+        for i in range(k):
+            if not keep[i]:  # the search for a partner ends with the first block that has one
+                for at in range(0, k, 4096):
+                    fits = can_link(rows[:, at : at + 4096], rows[:, i], first)
+                    if at <= i < at + 4096:
+                        fits[i - at] = False
+                    if fits.any():
+                        keep[i] = True
+                        keep[at : at + 4096] |= fits
+                        break
+        if keep.any():
+            yield rows[:, keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _gathered(_by_column(batches, work, 5)):
-            yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["g", "s", "n", "pos", "m"])
+        for rows in _gathered(_by_column(batches, small, large, 6)):
+            yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["g", "s", "n", "pos", "rank", "m"])
 
-    return staged(entries.repartition("g").sortWithinPartitions("g").mapInArrow(run, "g long, s long, n long, pos long, m long"), "jaccard-columns")
+    dealt = entries.repartition("g").sortWithinPartitions("g", "s")
+    return staged(dealt.mapInArrow(run, "g long, s long, n long, pos long, rank long, m long"), "jaccard-columns")
 
 
 def _gathered(parts: Iterator[np.ndarray], size: int = 100_000) -> Iterator[np.ndarray]:
@@ -303,13 +331,13 @@ def _gathered(parts: Iterator[np.ndarray], size: int = 100_000) -> Iterator[np.n
         yield np.concatenate(held, axis=1)
 
 
-def _some_pairs(seed: int) -> Callable[[np.ndarray], Iterator[np.ndarray]]:
+def _some_pairs(seed: int) -> Work:
     """A few pairs for each row: with the first row of the column and with its
     neighbour, in an order that is the same in every column; then with members of
     the column's largest component."""
 
     def work(rows: np.ndarray) -> Iterator[np.ndarray]:
-        _, s, n, pos, m, comp = rows
+        s, comp = rows[_S], rows[_COMP]
         with np.errstate(over="ignore"):
             key = (s.view(np.uint64) ^ np.uint64(seed * 0x9E3779B9 + 1)) * _ODD[1]
         order = np.argsort(key ^ (key >> np.uint64(31)), kind="stable")
@@ -323,41 +351,47 @@ def _some_pairs(seed: int) -> Callable[[np.ndarray], Iterator[np.ndarray]]:
             inside, outside = order[comp[order] == big][:4], np.flatnonzero(comp != big)
             i.append(np.repeat(inside, len(outside)))
             j.append(np.tile(outside, len(inside)))
-        yield _passing(rows, np.concatenate(i), np.concatenate(j))
+        yield _passing(rows[:, np.concatenate(i)], rows[:, np.concatenate(j)])
 
     return work
 
 
 def _all_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
-    if len(np.unique(rows[5])) > 1:
+    if (rows[_COMP] != rows[_COMP, 0]).any():
         for i in range(rows.shape[1] - 1):  # a row at a time, so that a long column needs no square of memory
-            yield _passing(rows, np.full(rows.shape[1] - 1 - i, i), np.arange(i + 1, rows.shape[1]))
+            yield _passing(rows[:, i : i + 1], rows[:, i + 1 :])
+
+
+def _small_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
+    for i in range(rows.shape[2]):
+        for j in range(i):
+            yield _passing(rows[:, :, i], rows[:, :, j])
 
 
-def _passing(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    _, s, n, pos, m, comp = rows
-    fits = (comp[i] != comp[j]) & can_link(n[i], pos[i], m[i], (n[j], pos[j], m[j]))
-    a, b = s[i][fits], s[j][fits]
-    return np.stack([np.minimum(a, b), np.maximum(a, b)])
+def _passing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    fits = (a[_COMP] != b[_COMP]) & can_link(a, b, True)
+    s, t = np.broadcast_arrays(a[_S], b[_S])
+    return np.stack([np.minimum(s[fits], t[fits]), np.maximum(s[fits], t[fits])])
 
 
-def _pairs(columns: DataFrame, labels: DataFrame | None, work: Callable[[np.ndarray], Iterator[np.ndarray]]) -> DataFrame:
+def _pairs(columns: DataFrame, labels: DataFrame | None, work: Work) -> DataFrame:
     """Distinct pairs (a, b) of sets to test."""
     if labels is None:
         rows = columns.withColumn("comp", F.col("s"))
     else:
-        rows = columns.join(labels, "s", "left").select("g", "s", "n", "pos", "m", F.coalesce("comp", "s").alias("comp"))
+        rows = columns.join(labels, "s", "left").withColumn("comp", F.coalesce("comp", "s"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for pairs in _gathered(_by_column(batches, work, 6)):
+        for pairs in _gathered(_by_column(batches, _small_pairs, work, 7)):
             new = [p for p in set(zip(*pairs.tolist(), strict=True)) if p not in seen]
             if len(seen) + len(new) > 500_000:
                 seen.clear()
             seen.update(new)
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in new], pa.int64()), pa.array([p[1] for p in new], pa.int64())], ["a", "b"])
 
-    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long").distinct()
+    dealt = rows.select("g", "s", "n", "pos", "rank", "m", "comp").repartition("g").sortWithinPartitions("g", "s")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def _candidate_sets(docs: DataFrame, columns: DataFrame) -> DataFrame:
@@ -405,7 +439,8 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     degree = pairs.groupBy("a").agg(F.count("*").alias("degree"))
     salted = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("degree") / HUB_PARTNERS)).alias("salt"))
     partners = salted.join(sets, F.col("b") == F.col("s")).select("a", "salt", "b", "n", "elements")
-    hubs = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("s")).select("a", "salt", F.lit(None).cast("long").alias("b"), "n", "elements")
+    salts = degree.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("degree") / HUB_PARTNERS) - 1)).alias("salt"))
+    hubs = salts.join(sets, F.col("a") == F.col("s")).select("a", "salt", F.lit(None).cast("long").alias("b"), "n", "elements")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own, size = None, np.zeros(0, np.uint64), 0
