@@ -138,7 +138,7 @@ def set_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def prefix_length(n: int) -> int:
+def prefix_length(n: int | np.ndarray) -> int | np.ndarray:
     return n - -(-NUMERATOR * n // DENOMINATOR) + 1
 
 
@@ -234,13 +234,13 @@ def _read_sets(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Dat
 Work = Callable[[np.ndarray], Iterator[np.ndarray]]
 
 
-def _by_column(batches: Iterator[pa.RecordBatch], small: Work, large: Work, n_cols: int) -> Iterator[np.ndarray]:
+def _by_column(batches: Iterator[list[pa.Array]], small: Work, large: Work, n_cols: int) -> Iterator[np.ndarray]:
     """Cuts entries sorted by g and s into whole columns, each row once. ``small`` gets
     all columns of one length up to SMALL as (fields, columns, rows), ``large`` every
     longer column as (fields, rows)."""
     rest = np.zeros((n_cols, 0), np.int64)
     for batch in batches:
-        rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])], axis=1)
+        rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in batch])], axis=1)
         ends = np.flatnonzero(np.diff(rows[_G])) + 1
         last = int(ends[-1]) if len(ends) else 0
         rest = rows[:, last:]
@@ -270,9 +270,7 @@ def _columns(sets: DataFrame) -> DataFrame:
     A row whose entries have gone bounds its other pairs more closely, so the columns
     are gone through PEELS times more with the ranks and numbers that the last time left."""
     entries = sets.where("prefix is not null").select("s", "n", F.posexplode("prefix").alias("pos", "g"))
-    m = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1
-    pos = F.col("pos").cast("long")
-    columns = _peeled(entries.select("g", "s", "n", pos.alias("pos"), pos.alias("rank"), m.alias("m")), False)
+    columns = _peeled(entries.select("g", "s", "n", F.col("pos").cast("long").alias("pos")), False)
     row = Window.partitionBy("s")
     for i in range(PEELS):
         rank = F.row_number().over(row.orderBy("pos")).cast("long") - 1
@@ -283,7 +281,8 @@ def _columns(sets: DataFrame) -> DataFrame:
 
 def _peeled(entries: DataFrame, first: bool) -> DataFrame:
     """The entries that have a partner in their column. Only the last time ``first`` is
-    set: afterwards ranks and numbers must not be taken anew."""
+    set: afterwards ranks and numbers must not be taken anew. Entries without rank
+    and m get those of whole prefixes; so the largest shuffle goes without them."""
 
     def small(rows: np.ndarray) -> Iterator[np.ndarray]:
         keep = np.zeros(rows.shape[1:], bool)
@@ -310,8 +309,12 @@ def _peeled(entries: DataFrame, first: bool) -> DataFrame:
         if keep.any():
             yield rows[:, keep]
 
+    def whole(batch: pa.RecordBatch) -> list[pa.Array]:
+        cols = batch.columns
+        return cols if len(cols) == 6 else [*cols, cols[_POS], pa.array(prefix_length(cols[_N].to_numpy(zero_copy_only=False)))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _gathered(_by_column(batches, small, large, 6)):
+        for rows in _gathered(_by_column(map(whole, batches), small, large, 6)):
             yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["g", "s", "n", "pos", "rank", "m"])
 
     dealt = entries.repartition("g").sortWithinPartitions("g", "s")
@@ -383,7 +386,7 @@ def _pairs(columns: DataFrame, labels: DataFrame | None, work: Work) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for pairs in _gathered(_by_column(batches, _small_pairs, work, 7)):
+        for pairs in _gathered(_by_column((b.columns for b in batches), _small_pairs, work, 7)):
             new = [p for p in set(zip(*pairs.tolist(), strict=True)) if p not in seen]
             if len(seen) + len(new) > 500_000:
                 seen.clear()
