@@ -125,6 +125,9 @@ def test_jaccard_is_brute_force(spark, odd, empty):
             rows.append((10 * i + k, " ".join(copy[: len(copy) - k])))
     passage = " ".join(words[:60])
     rows += [(1000 + i, f"{passage} " + " ".join(r.choice(words) for _ in range(12))) for i in range(40)]
+    for i in range(150):  # one group with many pairs on either side of the threshold
+        changed = r.sample(range(60), r.choice([0, 1, 2, 3]))
+        rows.append((2000 + i, " ".join(r.choice(words) if k in changed else w for k, w in enumerate(words[100:160]))))
     odd_rows = [(x.doc_id, x.text) for x in odd.collect()]
     for df, want in ((spark.createDataFrame(rows, "doc_id long, text string"), rows), (odd, odd_rows), (empty, [])):
         got = sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in sparse_jaccard.jaccard_components(df).collect())
