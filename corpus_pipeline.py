@@ -42,13 +42,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = grace_dedup.exact_groups(docs).where("kept").select(F.col("doc_id").alias(_ID), F.col("text_sha256").alias(_KEY))
-    # an id may stand beside several texts, so the text is compared as well
-    sha = F.sha2(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]", "").cast("binary"), 256)
-    found = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept[_ID]) & (sha == kept[_KEY]))
-    # of repeated rows one stays; rows with one id and text differ in other columns or blanks at most
-    longest = F.row_number().over(fair_mix.Window.partitionBy(_ID, _KEY).orderBy(F.length("text").desc_nulls_last()))
-    return found.withColumn(_ID + "_place", longest).where(F.col(_ID + "_place") == 1).drop(_ID, _KEY, _ID + "_place")
+    # an id may stand beside several texts, so the text is part of the key
+    key = lambda sha: F.concat_ws(":", F.col("doc_id").cast("long").cast("string"), sha)
+    sha = F.sha2(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]", "").cast("binary"), 256)
+    kept = grace_dedup.exact_groups(docs).where("kept").select(key(F.col("text_sha256")).alias(_KEY)).distinct()
+    # of repeated rows one stays (rows with one id and text differ in other columns or blanks at most);
+    # most of a hot one's rows go before the shuffle, and the join finds the rows where the window left them
+    longest = F.row_number().over(fair_mix.Window.partitionBy(_ID).orderBy(F.length("text").desc_nulls_last()))
+    first = docs.withColumn(_ID, key(sha)).withColumn(_ID + "_place", longest).where(F.col(_ID + "_place") == 1)
+    return first.join(kept, F.col(_ID) == F.col(_KEY)).drop(_ID, _KEY, _ID + "_place")
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
