@@ -225,6 +225,19 @@ def test_scores_against_counting(spark, odd, empty):
     assert gru_lm.score_documents(odd, F.lit(True)).count() == 10 and gru_lm.score_documents(empty, F.lit(True)).count() == 0
 
 
+def test_every_training_text_is_learnt_from(spark, monkeypatch):
+    learnt, train = [], gru_lm._train
+
+    def watched(texts, *rest):
+        learnt.append(sorted(r.doc_id for r in texts.collect()))
+        return train(texts, *rest)
+
+    monkeypatch.setattr(gru_lm, "_train", watched)
+    docs = spark.createDataFrame([(i, f"a b w{i}") for i in range(40)], "doc_id long, text string")
+    gru_lm.score_documents(docs, F.col("doc_id") % 4 != 0).collect()
+    assert learnt == [[i for i in range(40) if i % 4]]
+
+
 def test_gru_gradients_and_state():
     model = gru_lm.Gru(np.arange(50, 0, -1.0), 10.0)
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}

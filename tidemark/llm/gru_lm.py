@@ -9,9 +9,8 @@ words together), so the model gives a probability to every text.
 
 Training is truncated backpropagation over windows of WINDOW tokens; the state is
 carried from window to window and reset where a text begins. Trainers, as many as
-the sample has millions of tokens, run apart from one start and their weights are
-averaged by tokens. The sample is one text in SAMPLE, by hash: it grows with the
-input and has no cap. Counts, class shares and scores cover all texts.
+the training texts have millions of tokens, run apart from one start and their
+weights are averaged by tokens. Every training text is learnt from once.
 
 Scoring runs over whole texts with the state carried across windows, many texts
 side by side. Words beyond the most frequent BROADCAST_WORDS are counted through
@@ -38,7 +37,6 @@ from tidemark.llm.common import crc_mod, ship, staged, table, text_bytes
 HIDDEN, CLASSES, CLASS_SIZE, WINDOW, STREAMS = 16, 32, 32, 32, 64
 KNOWN = CLASSES * CLASS_SIZE
 OTHER, START = KNOWN, KNOWN + 1
-SAMPLE = 8
 TRAINER_TOKENS = 1_000_000
 RATE = 0.01
 BROADCAST_WORDS = 200_000
@@ -257,8 +255,8 @@ class Vocabulary:
         return np.fromiter((get(w, OTHER) for w in words), np.int64, len(words))
 
 
-def _train(sample: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
-    shared = sample.sparkSession.sparkContext.broadcast(vocabulary)
+def _train(training: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
+    shared = training.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -269,7 +267,7 @@ def _train(sample: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
             v = model.vector().astype(float) * n
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v))), pa.array(v), pa.array(np.full(len(v), float(n)))], ["i", "v", "n"])
 
-    rows = sample.select("text").repartition(n_trainers).mapInArrow(run, "i long, v double, n double").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect()  # one row a parameter
+    rows = training.select("text").repartition(n_trainers).mapInArrow(run, "i long, v double, n double").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect()  # one row a parameter
     model = vocabulary.model()
     if rows:
         v = np.zeros(len(rows))
@@ -278,7 +276,7 @@ def _train(sample: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
     return model
 
 
-def score_documents(docs: DataFrame, in_training: object, sample: int = SAMPLE) -> DataFrame:
+def score_documents(docs: DataFrame, in_training: object) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row
     of docs (doc_id, text); in_training: a condition on doc_id."""
     spark = docs.sparkSession
@@ -288,7 +286,7 @@ def score_documents(docs: DataFrame, in_training: object, sample: int = SAMPLE)
     counts = staged(count_tokens(training), "gru-counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     vocabulary = Vocabulary(frequent_tokens(counts), totals.n, totals.v)
-    model = _train(training.where(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0), vocabulary, max(1, round(totals.n / sample / TRAINER_TOKENS)))
+    model = _train(training, vocabulary, max(1, round(totals.n / TRAINER_TOKENS)))
     shared = spark.sparkContext.broadcast((vocabulary, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
