@@ -238,6 +238,25 @@ def test_every_training_text_is_learnt_from(spark, monkeypatch):
     assert learnt == [[i for i in range(40) if i % 4]]
 
 
+def test_vocabulary_grows_and_gives_a_distribution(spark):
+    r = random.Random(5)
+    words = [f"w{r.randrange(100)}" if i % 3 else f"v{i}x{r.choice('abc')}" for i in range(30_000)] + [f"u{i}" for i in range(60_000)]
+    counts = gru_lm.count_tokens(spark.createDataFrame([(" ".join(words).encode(),)], "text binary")).cache()
+    distinct = counts.count()
+    classes = gru_lm.class_count(distinct)
+    assert gru_lm.class_count(100) == gru_lm.LEAST_CLASSES < classes < gru_lm.class_count(100 * distinct)
+    v = gru_lm.Vocabulary(gru_lm.frequent_tokens(counts), classes, gru_lm.ending_sums(counts, classes))
+    assert len(v.known) == classes**2 > 1024
+    share, places = np.ones(classes), classes**2  # of the unseen words of each class
+    rest = [(w, r.c) for r in counts.collect() if (w := bytes(r.w)) not in v.known]
+    np.add.at(share, v.ids([w for w, _ in rest]) - places, [c + 1 for _, c in rest])
+    assert np.array_equal(share, v.rest) and len(np.unique(v.ids([w for w, _ in rest]))) == classes
+    model, ids = v.model(), np.arange(places + classes)
+    model.p["wc"] += np.random.Generator(np.random.PCG64(1)).normal(0, 1, model.p["wc"].shape)
+    h = np.full((len(ids), gru_lm.HIDDEN), 0.3, np.float32)
+    assert math.isclose(np.exp(model.log_probs(h, ids)[0].astype(float)).sum(), 1, rel_tol=1e-4)
+
+
 def test_gru_gradients_and_state():
     model = gru_lm.Gru(np.arange(50, 0, -1.0), 10.0)
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}

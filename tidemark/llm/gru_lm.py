@@ -1,15 +1,17 @@
 """LM scoring by a gated recurrent language model in numpy.
 
 Counts of every distinct token over all training texts are gathered first; they
-give the base score and the vocabulary. The model knows the most frequent tokens;
-its output softmax is factored: a class of equally ranked tokens, then the token
-in its class. One more class holds all other words: within it a word's
-probability is its share of the counts (plus one each, plus one for all unseen
-words together), so the model gives a probability to every text.
+give the base score and the vocabulary. The model knows the most frequent tokens, the
+distinct ones to the power GROWTH, so their number grows with the input; its
+output softmax is factored: a class of equally ranked tokens, then the token in
+its class, as many classes as tokens in each. All other words stand in as many
+more classes by their endings, which are inputs and outputs of their own: within
+one a word's probability is its share of the counts (plus one each, plus one for
+all unseen words of the class), so the model gives a probability to every text.
 
 Training is truncated backpropagation over windows of WINDOW tokens; the state is
 carried from window to window and reset where a text begins. Trainers, as many as
-the training texts have millions of tokens, run apart from one start and their
+the training texts have TRAINER_TOKENS, run apart from one start and their
 weights are averaged by tokens. Every training text is learnt from once.
 
 Scoring runs over whole texts with the state carried across windows, many texts
@@ -23,6 +25,8 @@ an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,10 +38,18 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_mod, ship, staged, table, text_bytes
 
-HIDDEN, CLASSES, CLASS_SIZE, WINDOW, STREAMS = 16, 32, 32, 32, 64
-KNOWN = CLASSES * CLASS_SIZE
-OTHER, START = KNOWN, KNOWN + 1
-TRAINER_TOKENS = 1_000_000
+HIDDEN, WINDOW = 16, 32
+#: Streams side by side, more of them for many tokens, so that at least STEPS windows are learnt from.
+FEWEST_STREAMS, MOST_STREAMS, STEPS = 64, 256, 500
+#: Classes of known tokens, and tokens in each, at least; the known ones are the distinct ones to the power GROWTH.
+LEAST_CLASSES, GROWTH = 32, 0.625
+#: Bytes of the ending that gives another word its class.
+ENDING = 3
+#: The input before a text's first token: the last row of the inputs.
+START = -1
+TRAINER_TOKENS = 4_000_000
+#: Parameters that are averaged together.
+BLOCK = 1 << 16
 RATE = 0.01
 BROADCAST_WORDS = 200_000
 #: The end of a text, as a token; no word is empty.
@@ -86,19 +98,22 @@ def frequent_tokens(counts: DataFrame, most: int = BROADCAST_WORDS) -> list[tupl
 
 
 class Gru:
-    """Parameters and passes. Shapes: x (tokens + 2, 3H), u (H, 3H), bu (3H),
-    wc (H, classes + 1), bc, wo (classes, H, size), bo (classes, size)."""
+    """Parameters and passes. Ids: of known tokens their rank, of other words the
+    number of places for known ones plus their class. Shapes: x (places + other classes
+    + 1, 3H), u (H, 3H), bu (3H), wc (H, classes + other classes), bc,
+    wo (classes, H, classes), bo (classes, classes)."""
 
-    def __init__(self, counts: np.ndarray, other: float, seed: int = 7) -> None:
-        """counts: of the known tokens, by rank. The biases start at the counts' shares."""
+    def __init__(self, counts: np.ndarray, other: float | np.ndarray, classes: int = LEAST_CLASSES, seed: int = 7) -> None:
+        """counts: of the known tokens, by rank; other: of the other classes. The biases start at the counts' shares."""
         r = np.random.Generator(np.random.PCG64(seed))
-        share = np.zeros(KNOWN)
+        self.classes, other = classes, np.maximum(np.atleast_1d(other), 0.1)
+        share = np.zeros(classes * classes)
         share[: len(counts)] = counts
-        share = (share + 0.1).reshape(CLASSES, CLASS_SIZE)
+        share = (share + 0.1).reshape(classes, classes)
         self.p = {
-            "x": r.normal(0, 0.3, (KNOWN + 2, 3 * HIDDEN)), "u": r.normal(0, 0.2, (HIDDEN, 3 * HIDDEN)), "bu": np.zeros(3 * HIDDEN),
-            "wc": np.zeros((HIDDEN, CLASSES + 1)), "bc": np.log(np.append(share.sum(1), max(other, 0.1)) / (share.sum() + max(other, 0.1))),
-            "wo": np.zeros((CLASSES, HIDDEN, CLASS_SIZE)), "bo": np.log(share / share.sum(1, keepdims=True)),
+            "x": r.normal(0, 0.3, (classes * classes + len(other) + 1, 3 * HIDDEN)), "u": r.normal(0, 0.2, (HIDDEN, 3 * HIDDEN)), "bu": np.zeros(3 * HIDDEN),
+            "wc": np.zeros((HIDDEN, classes + len(other))), "bc": np.log(np.append(share.sum(1), other) / (share.sum() + other.sum())),
+            "wo": np.zeros((classes, HIDDEN, classes)), "bo": np.log(share / share.sum(1, keepdims=True)),
         }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
@@ -120,9 +135,9 @@ class Gru:
         return h + z * (c - h), z, r, c, b[:, 2 * HIDDEN :]
 
     def log_probs(self, h: np.ndarray, ids: np.ndarray, grads: bool = False) -> tuple[np.ndarray, dict, np.ndarray]:
-        """Natural logs for targets ids (OTHER for the last class); with grads, those of the negative sum."""
-        p = self.p
-        cls = np.minimum(ids // CLASS_SIZE, CLASSES)
+        """Natural logs for targets ids (of other words those of their class); with grads, those of the negative sum."""
+        p, size = self.p, self.classes
+        cls = np.where(ids < size * size, ids // size, ids - size * size + size)
         logits = h @ p["wc"] + p["bc"]
         logits -= logits.max(1, keepdims=True)
         e = np.exp(logits)
@@ -137,8 +152,8 @@ class Gru:
             g |= {"wc": h.T @ d, "bc": d.sum(0), "wo": np.zeros_like(p["wo"]), "bo": np.zeros_like(p["bo"])}
             dh = d @ p["wc"].T
         order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
+        ends = np.searchsorted(cls[order], np.arange(size + 1))
+        for k in range(size):
             at = order[ends[k] : ends[k + 1]]
             if len(at):
                 own = h[at]
@@ -146,7 +161,7 @@ class Gru:
                 inner -= inner.max(1, keepdims=True)
                 e = np.exp(inner)
                 total = e.sum(1, keepdims=True)
-                place = ids[at] - k * CLASS_SIZE
+                place = ids[at] - k * size
                 out[at] += inner[np.arange(len(at)), place] - np.log(total[:, 0])
                 if grads:
                     d = e / total
@@ -168,7 +183,7 @@ class Gru:
         out, g, dout = self.log_probs(np.concatenate(states), targets.T.ravel(), True)
         dout = dout.reshape(steps, n, HIDDEN)
         g |= {"x": np.zeros_like(self.p["x"]), "u": np.zeros_like(self.p["u"]), "bu": np.zeros_like(self.p["bu"])}
-        dh = np.zeros((n, HIDDEN), np.float32)
+        dh, das = np.zeros((n, HIDDEN), np.float32), []
         for t in range(steps - 1, -1, -1):
             before, z, r, c, bc = kept[t]
             dh = dh + dout[t]
@@ -179,20 +194,25 @@ class Gru:
             da[:, 2 * HIDDEN :] = dc
             db = da.copy()
             db[:, 2 * HIDDEN :] = dc * r
-            np.add.at(g["x"], ids[:, t], da)
+            das.append(da)
             g["u"] += before.T @ db
             g["bu"] += db.sum(0)
             dh = dh * (1 - z) + db @ self.p["u"].T
             dh[ids[:, t] == START] = 0
+        own = ids[:, ::-1].T.ravel()
+        order = np.argsort(own, kind="stable")
+        firsts = np.flatnonzero(np.diff(own[order], prepend=START - 1))
+        g["x"][own[order[firsts]]] = np.add.reduceat(np.concatenate(das)[order], firsts)
         return h, -float(out.sum()), g
 
     def train(self, texts: list[np.ndarray], rate: float = RATE) -> int:
-        """One pass over the texts (ids with their end), laid out as STREAMS streams; the number of tokens."""
+        """One pass over the texts (ids with their end), laid out as streams; the number of tokens."""
         if not texts:
             return 0
         targets = np.concatenate(texts)
         inputs = np.concatenate([np.concatenate(([START], t[:-1])) for t in texts])
-        streams = max(1, min(STREAMS, len(targets) // WINDOW))
+        streams = min(MOST_STREAMS, max(FEWEST_STREAMS, len(targets) // (STEPS * WINDOW)))
+        streams = max(1, min(streams, len(targets) // WINDOW))
         steps = len(targets) // streams
         inputs, targets = (a[: streams * steps].reshape(streams, steps) for a in (inputs, targets))
         inputs[:, 0] = START
@@ -236,23 +256,38 @@ class Gru:
         return out
 
 
+def class_count(distinct: int) -> int:
+    """Classes of known tokens, tokens in each, and classes of other words."""
+    return max(LEAST_CLASSES, math.ceil(distinct ** (GROWTH / 2)))
+
+
+def ending_sums(counts: DataFrame, classes: int) -> dict[int, int]:
+    """The counts of all tokens, plus one each, by the class of their ending."""
+    ending = F.pmod(F.crc32(F.substring("w", -ENDING, ENDING)), F.lit(classes))
+    return dict(counts.groupBy(ending.alias("ending")).agg(F.sum(F.col("c") + 1)).collect())  # at most one row a class
+
+
 class Vocabulary:
-    """rank and count of the most frequent tokens, and the totals of all."""
+    """rank and count of the most frequent tokens, and the sums of the other words' classes."""
 
-    def __init__(self, frequent: list[tuple[bytes, int]], total: int, distinct: int) -> None:
-        self.total, self.distinct = total, distinct
-        self.counts = {w: c for w, c in frequent}
-        self.known = {w: i for i, (w, _) in enumerate(frequent[:KNOWN])}
-        inside = sum(c for _, c in frequent[:KNOWN])
-        #: the counts, plus one each and one for the unseen, of the words that the model does not know
-        self.rest = (total - inside) + (distinct - len(self.known)) + 1
+    def __init__(self, frequent: list[tuple[bytes, int]], classes: int, endings: dict[int, int]) -> None:
+        """endings: what ending_sums gives."""
+        self.classes, self.counts = classes, {w: c for w, c in frequent}
+        self.known = {w: i for i, (w, _) in enumerate(frequent[: classes * classes])}
+        #: the counts, plus one each and one for the unseen, of the other words of each class
+        self.rest = np.array([endings.get(k, 0) + 1 for k in range(classes)], float)
+        for w in self.known:
+            self.rest[self._ending(w)] -= self.counts[w] + 1
+
+    def _ending(self, word: bytes) -> int:
+        return zlib.crc32(word[-ENDING:]) % self.classes
 
     def model(self) -> Gru:
-        return Gru(np.array([self.counts[w] for w in self.known], float), self.rest)
+        return Gru(np.array([self.counts[w] for w in self.known], float), self.rest, self.classes)
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        get = self.known.get
-        return np.fromiter((get(w, OTHER) for w in words), np.int64, len(words))
+        known, places, crc, classes = self.known, self.classes**2, zlib.crc32, self.classes
+        return np.fromiter((known[w] if w in known else places + crc(w[-ENDING:]) % classes for w in words), np.int64, len(words))
 
 
 def _train(training: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
@@ -264,15 +299,23 @@ def _train(training: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
         for batch in batches:
             texts += [own.ids(tokens(t)) for t in batch.column(0).to_pylist()]
         if n := model.train(texts):
-            v = model.vector().astype(float) * n
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v))), pa.array(v), pa.array(np.full(len(v), float(n)))], ["i", "v", "n"])
+            v = model.vector().astype("<f4")
+            blocks = range(0, len(v), BLOCK)
+            yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()), pa.array([v[i : i + BLOCK].tobytes() for i in blocks], pa.binary()), pa.array([n] * len(blocks), pa.int64())], ["i", "v", "n"])
+
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[np.ndarray, int]] = {}
+        for batch in batches:
+            for i, v, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                had, m = sums.get(i, (0.0, 0))
+                sums[i] = had + np.frombuffer(v, "<f4").astype(float) * n, m + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([(v / n).astype("<f4").tobytes() for v, n in sums.values()], pa.binary())], ["i", "v"])
 
-    rows = training.select("text").repartition(n_trainers).mapInArrow(run, "i long, v double, n double").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect()  # one row a parameter
+    trained = training.select("text").repartition(n_trainers).mapInArrow(run, "i long, v binary, n long")
+    rows = trained.repartition("i").mapInArrow(average, "i long, v binary").collect()  # the parameters once
     model = vocabulary.model()
     if rows:
-        v = np.zeros(len(rows))
-        v[[r.i for r in rows]] = [r.v for r in rows]
-        model.load(v)
+        model.load(np.frombuffer(b"".join(bytes(r.v) for r in sorted(rows, key=lambda r: r.i)), "<f4"))
     return model
 
 
@@ -285,7 +328,8 @@ def score_documents(docs: DataFrame, in_training: object) -> DataFrame:
     training = rows.where(~F.col("held_out"))
     counts = staged(count_tokens(training), "gru-counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    vocabulary = Vocabulary(frequent_tokens(counts), totals.n, totals.v)
+    classes = class_count(totals.v)
+    vocabulary = Vocabulary(frequent_tokens(counts), classes, ending_sums(counts, classes))
     model = _train(training, vocabulary, max(1, round(totals.n / TRAINER_TOKENS)))
     shared = spark.sparkContext.broadcast((vocabulary, model))
 
@@ -293,6 +337,7 @@ def score_documents(docs: DataFrame, in_training: object) -> DataFrame:
         own, gru = shared.value
         task, row = TaskContext.get().partitionId() << 40, 0
         logs = {w: np.log10(c + 1) for w, c in own.counts.items()}
+        places, rest = own.classes**2, np.log10(own.rest)
         for batch in batches:
             n, base, ids, seen, outside, rare = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -304,8 +349,8 @@ def score_documents(docs: DataFrame, in_training: object) -> DataFrame:
                 base.append(float(sum(k for k in known if k is not None)) if missing else float(sum(known)))
                 ids.append(own.ids(words))
                 rare.append(missing)
-                outside.append(float(sum(k for k, i in zip(known, ids[-1].tolist(), strict=True) if i == OTHER and k is not None)))
-            scores = gru.score(ids) / np.log(10) + np.array(outside) - np.array([(i == OTHER).sum() for i in ids]) * np.log10(own.rest)
+                outside.append(float(sum(k for k, i in zip(known, ids[-1].tolist(), strict=True) if i >= places and k is not None)))
+            scores = gru.score(ids) / np.log(10) + np.array(outside) - np.array([rest[i[i >= places] - places].sum() for i in ids])
             keys = task + row + np.arange(len(n))
             row += len(n)
             yield pa.RecordBatch.from_arrays(
