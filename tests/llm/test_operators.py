@@ -134,6 +134,23 @@ def test_jaccard_is_brute_force(spark, odd, empty):
         assert got == brute_components(want)
 
 
+def test_join_finds_every_link(spark, odd, empty):
+    r = random.Random(6)
+    group = []
+    for i in range(80):  # one component whose members are not all linked
+        changed = r.sample(range(60), r.choice([0, 1, 2, 3]))
+        group.append((i, " ".join(f"x{r.randrange(99)}" if k in changed else f"w{k}" for k in range(60))))
+    for df in (spark.createDataFrame(group + [(100, "a b"), (101, "A  b"), (102, None)], "doc_id long, text string"), odd, empty):
+        sets = [(x.doc_id, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (x.text or "").lower().split()) else set()) for x in df.collect()]
+        link = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+        rows, links = sparse_jaccard.jaccard_join(df)
+        want = sorted((str(d), sum(link(s, t) for _, t in sets) - bool(s)) for d, s in sets)
+        assert sorted((str(x.doc_id), x.n_links) for x in rows.collect()) == want
+        distinct = list({frozenset(s) for _, s in sets})
+        found = [(x.a, x.b) for x in links.collect()]
+        assert len(found) == len(set(found)) == sum(link(a, b) for i, a in enumerate(distinct) for b in distinct[:i])
+
+
 def test_dedup_compares_contents(spark, odd, empty):
     want = {}
     for x in odd.collect():

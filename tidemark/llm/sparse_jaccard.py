@@ -17,9 +17,13 @@ Rows of the incidence matrix are distinct shingle sets, columns are shingles
 4. Overlaps of the pairs left are accumulated in full, in tasks that hold one row
    at a time and stream its partners.
 
-As the answer is components, not all pairs, a column does not test pairs of rows
-that are in one component already. ROUNDS passes test a few pairs for each row
-and column; a last pass tests every pair between components that the bounds
+jaccard_join tests every pair of rows that the bounds leave, so it finds every
+link between different sets and counts the links of each document; the work grows
+with the pairs, that is with the square of a group of near copies.
+
+jaccard_components gives the components alone. There a column does not test pairs
+of rows that are in one component already. ROUNDS passes test a few pairs for each
+row and column; a last pass tests every pair between components that the bounds
 leave. No link between different components is lost, and a group of thousands of
 near copies costs a few tests a row instead of all pairs.
 
@@ -489,15 +493,28 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("s"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("s"), F.col("v").alias("comp")).distinct())
 
 
-def jaccard_components(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, first of every row of docs (doc_id, text).
-    first: whether the row's id is its component's (of repeated rows, all are)."""
-    spark = docs.sparkSession
-    ship(spark)
+def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sets of all rows, the columns and the candidate sets."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     sets = staged(_read_sets(rows, *_frequent(rows)), "jaccard-sets")
     columns = _columns(sets)
-    candidates = staged(_candidate_sets(rows, columns), "jaccard-candidates")
+    return sets, columns, staged(_candidate_sets(rows, columns), "jaccard-candidates")
+
+
+def _named(sets: DataFrame, of_set: DataFrame, *more: str) -> DataFrame:
+    """of_set: s, comp and the columns ``more`` of sets; where it lacks a set, that is its own component."""
+    named = sets.join(of_set, "s", "left").select("doc_id", "n", "s", F.coalesce("comp", "s").alias("comp"), *more)
+    least = named.where("comp is not null").groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("component_id"))
+    joined = named.join(least, F.col("comp") == F.col("c"), "left")
+    component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("first"), F.col("s").alias("set_id"), *more)
+
+
+def jaccard_components(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, n_shingles, component_id, first of every row of docs (doc_id, text).
+    first: whether the row's id is its component's (of repeated rows, all are)."""
+    sets, columns, candidates = _prepared(docs)
     labels, links, tested = None, None, None
     for r in range(rounds + 1):
         pairs = _pairs(columns, labels, _some_pairs(r) if r < rounds else _all_pairs)
@@ -508,15 +525,28 @@ def jaccard_components(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         labels = staged(components(links), "jaccard-labels")
-    named = sets.select("doc_id", "n", "s").join(labels, "s", "left").select("doc_id", "n", F.coalesce("comp", "s").alias("comp"))
-    least = named.where("comp is not null").groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("component_id"))
-    joined = named.join(least, F.col("comp") == F.col("c"), "left")
-    component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("first"))
+    return _named(sets.select("doc_id", "n", "s"), labels).drop("set_id")
+
+
+def jaccard_join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n_shingles, component_id, first, set_id, n_links of every row of docs
+    (doc_id, text), and a, b (a < b) of every two different sets that link. n_links:
+    the other rows that a row links with, those of its own set among them."""
+    sets, columns, candidates = _prepared(docs)
+    # without labels every set is a component of its own, and no pair is left out
+    pairs = staged(_pairs(columns, None, _all_pairs), "jaccard-pairs")
+    links = staged(_links(pairs, candidates), "jaccard-links")
+    own = sets.where("s is not null").groupBy("s").agg(F.count("*").alias("copies"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(own, F.col("b") == F.col("s")).groupBy(F.col("a").alias("s")).agg(F.sum("copies").alias("others"))
+    n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    of_set = own.join(others, "s", "left").join(components(links), "s", "left").select("s", "comp", n_links)
+    rows = _named(sets.select("doc_id", "n", "s"), of_set, "n_links")
+    return rows.withColumn("n_links", F.coalesce("n_links", F.lit(0))), links
 
 
 def op8_sparse_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard_join(table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id")
 
 
 OP8_SQL = r"""
