@@ -13,6 +13,11 @@ of documents; what a stage rejects is gone for the next.
    takes twice stands there twice. Documents without words are kept once.
 5. bpe: doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row left.
 
+What a stage decides for a row goes for the rows with its id and its text (and, in
+the mix, its source) alone: an id may stand beside several texts, and a null id is
+an id like others. Of a group's rows with the smallest id, or with null ids alone,
+the one with the least digest of the text stays.
+
 Edge cases: null texts count as empty. An empty folder gives empty results. Extra
 columns of documents are carried along, whatever their names.
 """
@@ -20,7 +25,7 @@ columns of documents are carried along, whatever their names.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import fair_mix, grace_dedup, sparse_jaccard, toxic_crf, trie_bpe
@@ -30,15 +35,21 @@ from tidemark.llm.common import staged, table
 _ID, _KEY = "__tidemark_id", "__tidemark_key"
 
 
-def _matching(docs: DataFrame, decided: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows of docs whose id is in column _ID of ``decided``; null matches null."""
-    return docs.join(decided, docs["doc_id"].cast("long").eqNullSafe(decided[_ID]), how)
+def _row_key(*more: str) -> Column:
+    """The id, the digest of the text and ``more`` columns; never null."""
+    sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    return F.concat_ws(":", F.col("doc_id").cast("long").cast("string"), sha, *more)
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows of docs whose _row_key isn't in column _ID of ``rejected``."""
+    return docs.withColumn(_KEY, _row_key()).join(rejected, F.col(_KEY) == F.col(_ID), "left_anti").drop(_KEY)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     crf = toxic_crf.fit(docs, table(spark, sf_dir, "labels"))
-    judged = toxic_crf.score_documents(docs, crf).where(F.col("score") >= 0.5).select(F.col("doc_id").alias(_ID))
-    return _matching(docs, judged, "left_anti")
+    judged = toxic_crf.score_documents(docs, crf, _row_key()).where(F.col("score") >= 0.5).select(F.col("key").alias(_ID))
+    return _without(docs, judged)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,15 +65,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rest = sparse_jaccard.jaccard_components(docs).where(~F.col("first")).select(F.col("doc_id").alias(_ID))
-    return _matching(docs, rest, "left_anti")
+    rest = sparse_jaccard.jaccard_components(docs, key=_row_key()).where(~F.col("first")).select(F.col("key").alias(_ID))
+    return _without(docs, rest)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = fair_mix.mix(docs)
+    mixed = fair_mix.mix(docs, key=_row_key("source"))
     times = F.when(F.col("size") == 0, 1).otherwise((F.col("taken") / F.col("size")).cast("int"))
-    taken = mixed.groupBy(F.col("doc_id").alias(_ID)).agg(F.max(times).alias(_KEY)).where(F.col(_KEY) > 0)
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken[_ID]))
+    taken = mixed.groupBy(F.col("key").alias(_ID)).agg(F.max(times).alias(_KEY)).where(F.col(_KEY) > 0)
+    joined = docs.withColumn(_ID + "_row", _row_key("source")).join(taken, F.col(_ID + "_row") == F.col(_ID)).drop(_ID + "_row")
     return joined.withColumn(_KEY, F.explode(F.array_repeat(F.lit(1), F.col(_KEY)))).drop(_ID, _KEY)
 
 

@@ -326,3 +326,31 @@ def test_pipeline(spark):
             assert out.columns == docs.columns
         kept = out
     assert kept.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and kept.count() > 0
+
+
+def test_stages_decide_by_id_and_text(spark, monkeypatch, odd):
+    import corpus_pipeline
+
+    near, far = " ".join(f"n{i}" for i in range(80)), [" ".join(f"{c}{i}" for i in range(80)) for c in "abcd"]
+    rows = [(1, near, "x"), (None, near + " end", "x"), (None, far[0], "x"), (2, near + " fin", "x"), (2, far[1], "x"), (3, far[2], "x"), (3, far[2] + " end", "x"), (None, far[3], "y"), (None, far[3] + " end", "y")]
+    docs = spark.createDataFrame([(*r, "k", 0.5) for r in rows], DOCS)
+    left = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    got = left(corpus_pipeline.ngram_jaccard(spark, docs, SF))
+    assert len(got) == 5 and {(1, near), (None, far[0]), (2, far[1])} < set(got)
+    assert [d for d, t in got if t.startswith(far[2])] == [3] and [d for d, t in got if t.startswith(far[3])] == [None]
+
+    crf = toxic_crf.Crf(np.zeros(toxic_crf.FEATURES), -9.0, np.zeros((2, 2)), 0.0, np.array([1.0, 0.0, 0.0]))
+    crf.weights[toxic_crf.slots("badword")[0]] = 30.0
+    monkeypatch.setattr(toxic_crf, "fit", lambda *_: crf)
+    bad = docs.unionByName(spark.createDataFrame([(None, "a badword", "x", "k", 0.5), (2, "badword b", "x", "k", 0.5)], DOCS))
+    assert left(corpus_pipeline.toxicity(spark, bad, SF)) == left(docs)
+
+    # one id, two texts: each stands as often as it is taken itself
+    mixed = docs.unionByName(odd)
+    times = Counter()
+    for r in fair_mix.mix(mixed, key=corpus_pipeline._row_key("source")).collect():
+        times[r.key] = max(times[r.key], r.taken // r.size if r.size else 1)
+    keys = [r.k for r in mixed.select(corpus_pipeline._row_key("source").alias("k")).collect()]
+    out = Counter(r.k for r in corpus_pipeline.mix_sources(spark, mixed, SF).select(corpus_pipeline._row_key("source").alias("k")).collect())
+    assert out == Counter({k: n * times[k] for k, n in Counter(keys).items() if times[k]})
+    assert corpus_pipeline.toxicity(spark, odd, SF).count() == 10

@@ -67,10 +67,12 @@ def _key(epoch: int) -> Column:
     return F.struct(F.try_divide(end, F.col("target")).alias("finish"), F.col("place"), F.col("h"), F.col("size"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken of every row of docs (doc_id, text, source)."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, key: Column | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken of every row of docs (doc_id, text, source),
+    and ``key`` if it is given."""
+    more = [] if key is None else ["key"]
     h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = staged(docs.select("doc_id", "source", word_count().alias("size"), h.alias("h")), "mix-rows")
+    rows = staged(docs.select("doc_id", "source", word_count().alias("size"), h.alias("h"), *([] if key is None else [key.alias("key")])), "mix-rows")
     digits = _digits(rows.count())
     rows = rows.withColumn("slice", F.substring("h", 1, digits))
     slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
@@ -79,14 +81,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     starts = slices.withColumnRenamed("source", "s").join(targets, F.col("s").eqNullSafe(F.col("source"))).withColumn("start", F.coalesce(F.sum("slice_size").over(ahead), F.lit(0))).select(F.col("s").alias("slice_source"), F.col("slice").alias("own_slice"), "place", "source_size", "target", "budget", "start")
     own = Window.partitionBy("source", "slice").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("inside", F.sum("size").over(own)).join(starts, (F.col("slice") == F.col("own_slice")) & F.col("source").eqNullSafe(F.col("slice_source")))
-    placed = staged(placed.select("doc_id", "source", "size", "h", "place", "source_size", "target", "budget", (F.col("start") + F.col("inside")).alias("end")), "mix-queues")
+    placed = staged(placed.select("doc_id", "source", "size", "h", "place", "source_size", "target", "budget", (F.col("start") + F.col("inside")).alias("end"), *more), "mix-queues")
     cut = _cut(placed, 256 * 16 ** (digits - 1))
     taken = F.lit(0).cast("long")
     if cut is not None:
         last = F.struct(F.lit(cut["finish"]).alias("finish"), F.lit(cut["place"]).alias("place"), F.lit(cut["h"]).alias("h"), F.lit(cut["size"]).cast("long").alias("size"))
         for epoch in range(MOST_REPEATS):
             taken = taken + F.when(F.coalesce(_key(epoch) <= last, F.lit(False)), F.col("size")).otherwise(0)
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *more)
 
 
 def _cut(placed: DataFrame, steps: int) -> dict | None:

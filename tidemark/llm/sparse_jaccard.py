@@ -44,7 +44,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship, staged, table, text_bytes
@@ -212,7 +212,7 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _read_sets(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """doc_id, n, s and, once for each set and task, the prefix."""
+    """doc_id, key, n, s and, once for each set and task, the prefix."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,9 +230,9 @@ def _read_sets(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Dat
                         seen.clear()
                     seen.add(own[-1])
                     prefixes.append(in_order(s, g, c).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "n", "s", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "key", "n", "s", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, s long, prefix array<long>")
+    return docs.mapInArrow(run, "doc_id long, key string, n long, s long, prefix array<long>")
 
 
 Work = Callable[[np.ndarray], Iterator[np.ndarray]]
@@ -493,10 +493,11 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("s"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("s"), F.col("v").alias("comp")).distinct())
 
 
-def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _prepared(docs: DataFrame, key: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sets of all rows, the columns and the candidate sets."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
+    key = F.lit(None) if key is None else key
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"), key.cast("string").alias("key"))
     sets = staged(_read_sets(rows, *_frequent(rows)), "jaccard-sets")
     columns = _columns(sets)
     return sets, columns, staged(_candidate_sets(rows, columns), "jaccard-candidates")
@@ -504,17 +505,19 @@ def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def _named(sets: DataFrame, of_set: DataFrame, *more: str) -> DataFrame:
     """of_set: s, comp and the columns ``more`` of sets; where it lacks a set, that is its own component."""
-    named = sets.join(of_set, "s", "left").select("doc_id", "n", "s", F.coalesce("comp", "s").alias("comp"), *more)
-    least = named.where("comp is not null").groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("component_id"))
+    named = sets.join(of_set, "s", "left").select("doc_id", "key", "n", "s", F.coalesce("comp", "s").alias("comp"), *more)
+    place = lambda: F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    least = named.where("comp is not null").groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("component_id"), F.min(place()).alias("least"))
     joined = named.join(least, F.col("comp") == F.col("c"), "left")
     component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("first"), F.col("s").alias("set_id"), *more)
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("comp").isNull() | place().eqNullSafe(F.col("least"))).alias("first"), "key", F.col("s").alias("set_id"), *more)
 
 
-def jaccard_components(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, first of every row of docs (doc_id, text).
-    first: whether the row's id is its component's (of repeated rows, all are)."""
-    sets, columns, candidates = _prepared(docs)
+def jaccard_components(docs: DataFrame, rounds: int = ROUNDS, key: Column | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, first, key of every row of docs (doc_id, text).
+    first: whether the row's id is its component's (of repeated rows, all are); among
+    rows with that id those with the least ``key`` are, which tells rows of one id apart."""
+    sets, columns, candidates = _prepared(docs, key)
     labels, links, tested = None, None, None
     for r in range(rounds + 1):
         pairs = _pairs(columns, labels, _some_pairs(r) if r < rounds else _all_pairs)
@@ -525,7 +528,7 @@ def jaccard_components(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         labels = staged(components(links), "jaccard-labels")
-    return _named(sets.select("doc_id", "n", "s"), labels).drop("set_id")
+    return _named(sets.drop("prefix"), labels).drop("set_id")
 
 
 def jaccard_join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -541,7 +544,7 @@ def jaccard_join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     others = both.join(own, F.col("b") == F.col("s")).groupBy(F.col("a").alias("s")).agg(F.sum("copies").alias("others"))
     n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
     of_set = own.join(others, "s", "left").join(components(links), "s", "left").select("s", "comp", n_links)
-    rows = _named(sets.select("doc_id", "n", "s"), of_set, "n_links")
+    rows = _named(sets.drop("prefix"), of_set, "n_links").drop("key")
     return rows.withColumn("n_links", F.coalesce("n_links", F.lit(0))), links
 
 

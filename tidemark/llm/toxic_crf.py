@@ -263,12 +263,14 @@ def read_sample(docs: DataFrame, labels: DataFrame, in_training: Column, most: i
     return texts, toxic, rates
 
 
-def score_documents(docs: DataFrame, crf: Crf | None) -> DataFrame:
-    """doc_id, score, n_toxic_words, spans (start, end: places of code points) of every row of docs (doc_id, text)."""
+def score_documents(docs: DataFrame, crf: Crf | None, key: Column | None = None) -> DataFrame:
+    """doc_id, score, n_toxic_words, spans (start, end: places of code points) of every row of docs (doc_id, text),
+    and ``key``, a string, if it is given."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(crf)
-    fields = ["doc_id", "score", "n_toxic_words", "spans"]
+    fields = ["doc_id", "score", "n_toxic_words", "spans"] + ["key"] * (key is not None)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"), *([] if key is None else [key.alias("key")]))
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,9 +304,9 @@ def score_documents(docs: DataFrame, crf: Crf | None) -> DataFrame:
                     spans[low + i] = places(texts[low + i], p[starts[i] : starts[i] + counts[i]] > 0.5)
                 low = high
             score = own.rate(largest, above) if own else np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(above), pa.array(spans, span_type)], fields)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(above), pa.array(spans, span_type), *batch.columns[2:]], fields)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).mapInArrow(run, "doc_id long, score double, n_toxic_words long, spans array<struct<start: long, end: long>>")
+    return rows.mapInArrow(run, "doc_id long, score double, n_toxic_words long, spans array<struct<start: long, end: long>>" + ", key string" * (key is not None))
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
