@@ -218,6 +218,15 @@ def test_chain_marginals():
     assert np.allclose(crf.marginals(e, first), want)
 
 
+def test_field_learns_from_whole_texts(monkeypatch):
+    seen, fit, r = [], toxic_crf._fit, random.Random(7)
+    monkeypatch.setattr(toxic_crf, "_fit", lambda crf, windows, random: (seen.extend(windows), fit(crf, windows, random)))
+    texts = [[f"c{r.randrange(40)}" for _ in range(300 + k)] for k in range(30)] + [["vile" if i % 60 == 5 else f"c{r.randrange(40)}" for i in range(200)] for _ in range(30)]
+    toxic_crf.train_crf(texts, [k >= 30 for k in range(60)])
+    assert Counter(w for words, _ in seen for w in words) == Counter(w for words in texts for w in words)
+    assert {w for words, states in seen for w, s in zip(words, states, strict=True) if s} == {"vile"}
+
+
 def test_toxicity_on_held_out_rows(spark, odd, empty):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")

@@ -4,8 +4,8 @@ The chain runs over the words of a text with two states, clean and toxic. Labels
 are of documents, so token labels are derived first: a word, or a prefix of it,
 marks toxicity if its distinct contexts (the words before and after; copies of a
 text give the same contexts and so count once) stand in toxic texts significantly
-more often than in clean ones. The field is trained on windows around marked words and windows of
-clean texts; word features are dropped at random, so that prefixes carry over to
+more often than in clean ones. The field is trained on windows that tile the whole
+of every sampled text; word features are dropped at random, so that prefixes carry over to
 forms not seen. Forward-backward gives every word its marginal; runs of words
 above 1/2 are the offending spans, and a logistic model over the largest marginal
 and the number of such words gives the document's score.
@@ -164,19 +164,8 @@ def train_crf(texts: list[list[str]], toxic: list[bool], rates: tuple[float, flo
     windows: list[tuple[list[str], list[bool]]] = []
     span = 2 * REACH + 1
     for words, label in zip(texts, toxic, strict=True):
-        if label:
-            hit = [w in marking for w in words]
-            at = 0
-            for i in np.flatnonzero(hit).tolist():
-                if i >= at:
-                    low = max(0, i - REACH)
-                    windows.append((words[low : low + span], hit[low : low + span]))
-                    at = low + span
-        else:
-            for low in random.integers(0, max(1, len(words) - span + 1), 3).tolist():
-                part = words[low : low + span]
-                windows.append((part, [False] * len(part)))
-    windows = [w for w in windows if w[0]]
+        hit = [label and w in marking for w in words]
+        windows += [(words[low : low + span], hit[low : low + span]) for low in range(0, len(words), span)]
     crf = Crf(np.zeros(FEATURES), -2.0, np.zeros((2, 2)), 0.0, np.zeros(3))
     _fit(crf, windows, random)
     largest, above = np.zeros(len(texts)), np.zeros(len(texts))
@@ -199,7 +188,7 @@ def _fit(crf: Crf, windows: list[tuple[list[str], list[bool]]], random: np.rando
     """Adagrad on the conditional log-likelihood of the windows' states."""
     width, n = 2 * REACH + 1, len(windows)
     per = 2 + len(PREFIXES)
-    slot, mask, gold = np.full((n, width, per), FEATURES), np.zeros((n, width), bool), np.zeros((n, width), np.int64)
+    slot, mask, gold = np.full((n, width, per), FEATURES, np.int32), np.zeros((n, width), bool), np.zeros((n, width), np.int64)
     known: dict[str, list[int]] = {}
     for i, (words, states) in enumerate(windows):
         for j, (w, s) in enumerate(zip(words, states, strict=True)):
