@@ -99,6 +99,23 @@ def test_damage_is_found(spark, tmp_path):
         cas_store.read_digests(spark, path).collect()
 
 
+def test_lost_recipes_are_found(spark, tmp_path):
+    path = str(tmp_path / "s")
+    cas_store.write_store(spark.createDataFrame([(i, f"a b c{i}") for i in range(40)], "doc_id long, text string").repartition(3), path, public_tokenizers.path(cas_store.TOKENIZER))
+    assert cas_store.read_digests(spark, path).count() == 40
+    recipes = spark.read.parquet(f"{path}/recipes")
+    recipes.where("doc_id <> 39").write.parquet(f"{path}/less")
+    recipes.withColumn("start", F.when(F.col("doc_id") == 17, F.col("start") + 1).otherwise(F.col("start"))).write.parquet(f"{path}/moved")
+    import shutil
+
+    for other in ("less", "moved"):
+        shutil.rmtree(f"{path}/recipes")
+        shutil.copytree(f"{path}/{other}", f"{path}/recipes")
+        for read in (cas_store.read_digests, cas_store.read_ids):
+            with pytest.raises(Exception, match="differ"):
+                read(spark, path)
+
+
 def test_edits_equal_recounting(spark, odd):
     path = public_tokenizers.path(trie_bpe.TOKENIZER)
     own, library, r = edit_counts.counter(path), Tokenizer.from_file(path), random.Random(2)

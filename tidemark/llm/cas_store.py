@@ -14,7 +14,8 @@ three Parquet tables:
 ``manifest``  one row for each range of documents: ids, documents, and the
               Merkle root over the roots of its documents.
 
-Reading verifies every chunk against its hash, and every document's root.
+Reading verifies every chunk against its hash, every document's root, and the
+recipes against the manifest.
 
 The library is called on words between blanks, once for each distinct word in a
 batch, and its answers are kept in a bounded table; this tokenizer's normaliser
@@ -224,12 +225,34 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
     recipes = ranged.withColumn("start", (before + F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0))).cast("long"))
     recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
 
+    _manifest(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
+
+
+def _manifest(recipes: DataFrame) -> DataFrame:
+    """The row of each range; raises where starts don't follow from the ids before."""
+
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array([merkle_root(r) for r in batch.column(5).to_pylist()], pa.binary())], [*batch.schema.names[:5], "root"])
+            roots = []
+            for at, docs in zip(batch.column(1).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                for d in docs:
+                    if d["start"] != at:
+                        raise ValueError("a document's start differs from the ids before it")
+                    at += d["n_tokens"]
+                roots.append(merkle_root([d["root"] for d in docs]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(roots, pa.binary())], [*batch.schema.names[:5], "root"])
+
+    docs = F.sort_array(F.collect_list(F.struct("start", "n_tokens", "root"))).alias("docs")
+    ranges = recipes.groupBy("range").agg(F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"), F.min("doc_id").alias("first_id"), docs)
+    return ranges.mapInArrow(fold, "range int, start long, n_tokens long, n_docs long, first_id long, root binary")
+
 
-    roots = spark.read.parquet(f"{path}/recipes").groupBy("range").agg(F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"), F.min("doc_id").alias("first_id"), F.transform(F.sort_array(F.collect_list(F.struct("start", "root"))), lambda x: x["root"]).alias("roots"))
-    roots.mapInArrow(fold, "range int, start long, n_tokens long, n_docs long, first_id long, root binary").write.parquet(f"{path}/manifest")
+def verify_manifest(spark: SparkSession, path: str) -> None:
+    """Raises where the recipes aren't those that the manifest was made from."""
+    recipes, manifest = spark.read.parquet(f"{path}/recipes"), spark.read.parquet(f"{path}/manifest")
+    found, want = (sorted(map(tuple, df.collect()), key=lambda r: r[0]) for df in (_manifest(recipes), manifest))  # a row a range
+    if found != want:
+        raise ValueError("the recipes differ from the manifest")
 
 
 def _product(a: int, b: int) -> int:
@@ -280,6 +303,7 @@ def verified_chunks(spark: SparkSession, path: str, with_ids: bool) -> DataFrame
 
 def _assembled(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
     """Each recipe with its chunks in order; no document loses or gains one."""
+    verify_manifest(spark, path)
     recipes = spark.read.parquet(f"{path}/recipes")
     parts = recipes.select("doc_id", "start", "n_tokens", "root", F.posexplode("hashes").alias("pos", "hash"))
     fields = ["pos", "hash", "n", "crc"] + ["payload", "width"] * with_ids
