@@ -99,6 +99,21 @@ def test_damage_is_found(spark, tmp_path):
         cas_store.read_digests(spark, path).collect()
 
 
+def test_recipes_stand_in_document_order(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "s")
+    docs = spark.createDataFrame([(i * 7919 % 1000, f"text {i}") for i in range(1000)], "doc_id long, text string").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cas_store.write_store(docs, path, public_tokenizers.path(cas_store.TOKENIZER))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "s" / "recipes").glob("part-*"))
+    rows = [(r["doc_id"], r["start"]) for f in files for r in pq.read_table(f).to_pylist()]
+    assert len(files) > 1 and [d for d, _ in rows] == list(range(1000)) and rows == sorted(rows, key=lambda r: r[1])
+
+
 def test_lost_recipes_are_found(spark, tmp_path):
     path = str(tmp_path / "s")
     cas_store.write_store(spark.createDataFrame([(i, f"a b c{i}") for i in range(40)], "doc_id long, text string").repartition(3), path, public_tokenizers.path(cas_store.TOKENIZER))

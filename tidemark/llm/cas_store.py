@@ -223,7 +223,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
     before = F.element_at(F.create_map(*(F.lit(x) for kv in starts.items() for x in kv)), F.col("range")) if starts else F.lit(0)
     ahead = Window.partitionBy("range").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
     recipes = ranged.withColumn("start", (before + F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0))).cast("long"))
-    recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
+    # files and their rows in document order
+    place = ["range", "doc_id", "root"]
+    recipes.repartitionByRange(*place).sortWithinPartitions(*place).write.option("compression", "zstd").parquet(f"{path}/recipes")
 
     _manifest(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
 
