@@ -162,25 +162,77 @@ def test_jaccard_is_brute_force(spark, odd, empty):
         rows.append((2000 + i, " ".join(r.choice(words) if k in changed else w for k, w in enumerate(words[100:160]))))
     odd_rows = [(x.doc_id, x.text) for x in odd.collect()]
     for df, want in ((spark.createDataFrame(rows, "doc_id long, text string"), rows), (odd, odd_rows), (empty, [])):
-        got = sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in sparse_jaccard.jaccard_components(df).collect())
+        got = sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in sparse_jaccard.jaccard_join(df).collect())
         assert got == brute_components(want)
 
 
-def test_join_finds_every_link(spark, odd, empty):
-    r = random.Random(6)
-    group = []
-    for i in range(80):  # one component whose members are not all linked
-        changed = r.sample(range(60), r.choice([0, 1, 2, 3]))
-        group.append((i, " ".join(f"x{r.randrange(99)}" if k in changed else f"w{k}" for k in range(60))))
-    for df in (spark.createDataFrame(group + [(100, "a b"), (101, "A  b"), (102, None)], "doc_id long, text string"), odd, empty):
-        sets = [(x.doc_id, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (x.text or "").lower().split()) else set()) for x in df.collect()]
-        link = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
-        rows, links = sparse_jaccard.jaccard_join(df)
-        want = sorted((str(d), sum(link(s, t) for _, t in sets) - bool(s)) for d, s in sets)
-        assert sorted((str(x.doc_id), x.n_links) for x in rows.collect()) == want
-        distinct = list({frozenset(s) for _, s in sets})
-        found = [(x.a, x.b) for x in links.collect()]
-        assert len(found) == len(set(found)) == sum(link(a, b) for i, a in enumerate(distinct) for b in distinct[:i])
+def links_by_hand(rows):
+    sets = [(d, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set()) for d, t in rows]
+    link = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+    return sorted((str(d), sum(link(s, t) for _, t in sets) - bool(s)) for d, s in sets)
+
+
+def near_copies(n, seed=6, words=60):
+    """One group whose members are not all linked."""
+    r = random.Random(seed)
+    out = []
+    for i in range(n):
+        changed = r.sample(range(words), r.choice([0, 1, 2, 3]))
+        out.append((i, " ".join(f"x{r.randrange(99)}" if k in changed else f"w{k}" for k in range(words))))
+    return out
+
+
+@pytest.mark.parametrize("dense, tile", [(64, 1_000_000), (8, 1_500), (1 << 30, 1_000_000)])
+def test_join_finds_every_link(spark, odd, empty, monkeypatch, dense, tile):
+    monkeypatch.setattr(sparse_jaccard, "DENSE", dense)
+    monkeypatch.setattr(sparse_jaccard, "TILE_ELEMENTS", tile)
+    group = near_copies(80) + [(i + 200, t + " " + " ".join(f"y{k}" for k in range(i % 9))) for i, t in near_copies(60, 8)] + [(300, "a b"), (301, "A  b"), (302, None)]
+    for df in (spark.createDataFrame(group, "doc_id long, text string"), odd, empty):
+        rows = [(x.doc_id, x.text) for x in df.collect()]
+        got = sparse_jaccard.jaccard_join(df).collect()
+        assert sorted((str(x.doc_id), x.n_links) for x in got) == links_by_hand(rows)
+        assert sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in got) == brute_components(rows)
+
+
+def test_large_groups_send_no_pairs(spark, monkeypatch):
+    sent, keep = [], sparse_jaccard.staged
+
+    def watched(df, label):
+        out = keep(df, label)
+        if label in ("jaccard-cells", "jaccard-marked", "jaccard-links", "jaccard-tiles"):
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(sparse_jaccard, "staged", watched)
+    totals = []
+    for n in (200, 400, 800):
+        sent.clear()
+        rows = sparse_jaccard.jaccard_join(spark.createDataFrame(near_copies(n, 9), "doc_id long, text string")).collect()
+        totals.append((sum(sent), sum(x.n_links for x in rows)))
+    assert all(b[0] < 2.6 * a[0] and b[1] > 3 * a[1] for a, b in zip(totals, totals[1:], strict=False))
+
+
+def test_colliding_names_are_done_again(spark, monkeypatch):
+    ids = sparse_jaccard.set_ids
+    monkeypatch.setattr(sparse_jaccard, "set_ids", lambda s, seed: (ids(s, seed)[0] if seed else 7, ids(s, seed)[1]))
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "g h i j k l")]
+    monkeypatch.setattr(sparse_jaccard, "staged", lambda df, label, keep=sparse_jaccard.staged: keep(df, label))
+    got = sparse_jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.component_id, x.n_links) for x in got) == [(1, 1, 1), (2, 1, 1), (3, 3, 0)]
+
+
+def test_blocks_of_the_product():
+    r = np.random.Generator(np.random.PCG64(3))
+    sets = [np.unique(r.integers(0, 1 << k, 90).astype(np.uint64)) for k in (7, 7, 8, 9, 20, 20, 7, 8)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert sparse_jaccard.block_product(sets, sets).tolist() == want
+    assert sparse_jaccard.block_product(sets[:3], sets[3:]).tolist() == [w[3:] for w in want[:3]]
+    owner = np.array([0, 0, 2, 1])
+    assert sparse_jaccard.masked_overlaps(sets[:3], sets[3:7], owner).tolist() == [want[o][3 + i] for i, o in enumerate(owner)]
+    for a in sets:
+        for b in sets:
+            bound = sparse_jaccard.most_overlap(sparse_jaccard.histogram(a << np.uint64(40)), sparse_jaccard.histogram(b << np.uint64(40)), len(a), len(b))
+            assert bound >= len(np.intersect1d(a, b))
 
 
 def test_dedup_compares_contents(spark, odd, empty):

@@ -7,6 +7,8 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +18,13 @@ WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where that is unset."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a folder of this machine on
+    a local master, and an error elsewhere: other machines would not see it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -34,7 +40,68 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def discard(*dfs: DataFrame) -> None:
+    """Deletes the files of staged tables that nothing reads any more."""
+    for df in dfs:
+        spark, path = df.sparkSession, df._tidemark_path
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: A key with more than one row in so many is hot.
+HOT_SHARE = 1000
+
+
+def join_hot(rows: DataFrame, lookup: DataFrame, on: str, weight: str, total: int) -> DataFrame:
+    """rows left join lookup, which has each key once and in ``weight`` its number of rows of
+    ``total``. Rows of hot keys don't meet in one task: at most HOT_SHARE keys can be hot,
+    so these are broadcast."""
+    hot = F.broadcast(lookup.where(F.col(weight) * HOT_SHARE > total))
+    cold = rows.join(hot.select(on), on, "left_anti").join(lookup, on, "left")
+    return rows.join(hot, on).unionByName(cold)
+
+
+def most_counted(counts: DataFrame, name: str, most: int) -> list[tuple]:
+    """At most ``most`` rows (name, c), the largest c first, among equal ones by name. The
+    least c that is taken whole comes from the numbers of rows with each c, so tasks send
+    little more than is kept."""
+    upto, least, rest = 0, None, None
+    for c, n in counts.groupBy("c").count().orderBy(F.desc("c")).toLocalIterator():
+        if upto + n > most:
+            rest = c
+            break
+        upto, least = upto + n, c
+    rows = [] if least is None else list(zip(*(x.to_pylist() for x in counts.where(F.col("c") >= least).select(name, "c").toArrow().columns), strict=True))
+    if rest is not None and upto < most:
+        rows += [(x, rest) for x in counts.where(F.col("c") == rest).select(name).orderBy(name).limit(most - upto).toArrow().column(0).to_pylist()]
+    return sorted(rows, key=lambda x: (-x[1], x[0]))
+
+
+#: Words of 64 bits that a block of a gathered filter holds.
+FILTER_BLOCK = 4096
+
+
+def gather_bits(places: DataFrame, n_bits: int) -> np.ndarray:
+    """A filter of n_bits bits, as words of 64, with those set that the one column of
+    ``places`` numbers. The driver gets blocks of packed words, 32 KiB each."""
+    place = F.col(places.columns[0])
+    words = places.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({places.columns[0]} & 63 as int))")).alias("mask"))
+
+    def pack(rows: pa.Table) -> pa.Table:
+        out = np.zeros(FILTER_BLOCK, np.int64)
+        out[rows.column("word").to_numpy() % FILTER_BLOCK] = rows.column("mask").to_numpy()
+        return pa.table({"block": rows.column("block")[:1], "packed": pa.array([out.tobytes()], pa.binary())})
+
+    blocks = words.withColumn("block", F.floor(F.col("word") / FILTER_BLOCK)).groupBy("block").applyInArrow(pack, "block long, packed binary")
+    filled = np.zeros(-(-n_bits // (64 * FILTER_BLOCK)) * FILTER_BLOCK, np.uint64)
+    for block, packed in zip(*(c.to_pylist() for c in blocks.toArrow().columns), strict=True):
+        filled[block * FILTER_BLOCK : (block + 1) * FILTER_BLOCK] = np.frombuffer(packed, np.uint64)
+    return filled
 
 
 def ship(spark: SparkSession) -> None:
