@@ -65,7 +65,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rest = sparse_jaccard.jaccard_components(docs, key=_row_key()).where(~F.col("first")).select(F.col("key").alias(_ID))
+    rest = sparse_jaccard.jaccard_join(docs, _row_key()).where(~F.col("first")).select(F.col("key").alias(_ID))
     return _without(docs, rest)
 
 
