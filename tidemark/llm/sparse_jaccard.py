@@ -52,11 +52,11 @@ WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Columns of more rows make dense groups; their pairs are never listed.
 DENSE = 64
 #: A shingle seen in so many sets comes late in the order; at most so many get a place of their own.
-FREQUENT, MOST_FREQUENT = 64, 1 << 18
+FREQUENT, MOST_FREQUENT = 8, 1 << 18
 #: Columns that are known to have so many rows go to the dense groups without being gathered in one task.
-HOT_ROWS = 1 << 14
-#: Entries that a block of columns, elements that a tile, and partners that a row of the product should hold.
-BLOCK_ENTRIES, TILE_ELEMENTS, HUB_PARTNERS = 2_000_000, 1_000_000, 512
+HOT_ROWS = 1 << 20
+#: Entries that a block of columns, elements and rows that a tile, and partners that a row of the product should hold.
+BLOCK_ENTRIES, TILE_ELEMENTS, TILE_ROWS, HUB_PARTNERS = 2_000_000, 2_000_000, 2048, 512
 #: Elements for each cell of the histogram that bounds overlaps.
 PER_CELL = 2
 #: Bits of the filter that picks candidate rows on the last reading, for each row and at most.
@@ -191,10 +191,11 @@ def most_overlap(a: bytes, b: bytes, n: int, k: int) -> int:
 
 
 def _read_rows(docs: DataFrame, seed: int) -> DataFrame:
-    """For every document doc_id, key, n, s, s2; beside these rows g, c: counts of the
-    shingles that a stretch of documents holds several times (they steer the order of
-    columns, that is speed; any order gives the same links)."""
-    names = ["doc_id", "key", "n", "s", "s2", "g", "c"]
+    """For every document doc_id, key, n, s, s2 and, once for each set and task, cells (its
+    histogram); beside these rows g, c: counts of the shingles that a stretch of documents
+    holds several times (they steer the order of columns, that is speed; any order gives
+    the same links)."""
+    names = ["doc_id", "key", "n", "s", "s2", "cells", "g", "c"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -203,29 +204,31 @@ def _read_rows(docs: DataFrame, seed: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             g, c = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
-            many = c >= 4
-            nulls = [pa.nulls(int(many.sum()), t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())]
+            many = c >= 2
+            nulls = [pa.nulls(int(many.sum()), t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
             return pa.RecordBatch.from_arrays([*nulls, pa.array(g[many].view(np.int64)), pa.array(c[many])], names)
 
         for batch in batches:
-            n, own = [], []
+            n, own, cells = [], [], []
             for s in shingle_sets(batch.column(1).to_pylist()):
                 n.append(len(s))
                 own.append(set_ids(s, seed) if len(s) else (None, None))
+                cells.append(None)
                 if len(s) and own[-1][0] not in seen:
+                    cells[-1] = histogram(s)
                     seen.add(own[-1][0])
                     held.append(s)
                     size += len(s)
-                if size > 2_000_000:
+                if size > 4_000_000:
                     yield flush()
                     held, size = [], 0
                     if len(seen) > 1_000_000:
                         seen.clear()
             ids = [pa.array([o[i] for o in own], pa.int64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), *ids, pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), *ids, pa.array(cells, pa.binary()), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], names)
         yield flush()
 
-    return docs.mapInArrow(run, "doc_id long, key string, n long, s long, s2 long, g long, c long")
+    return docs.mapInArrow(run, "doc_id long, key string, n long, s long, s2 long, cells binary, g long, c long")
 
 
 #: Entries of a column: shingle, row, size of the row, place in its prefix.
@@ -373,8 +376,7 @@ def _cells(entries: DataFrame) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
-    """s, n, cells (the histogram), elements (6 bytes each) of the rows in ``wanted`` (s,
-    distinct), from one more reading. A bit filter of bounded size picks them; where it
+    """s, n, elements (6 bytes each) of the rows in ``wanted`` (s, distinct), from one more reading. A bit filter of bounded size picks them; where it
     lets others through, the join drops them."""
     n_wanted, bits = wanted.count(), 1 << 18
     while bits < min(FILTER_PER_ROW * n_wanted, MOST_FILTER_BITS):
@@ -384,7 +386,7 @@ def _candidates(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         picked, seen = shared.value, set()
         for batch in batches:
-            own, n, cells, packed = [], [], [], []
+            own, n, packed = [], [], []
             for s in shingle_sets(batch.column(0).to_pylist()):
                 if not len(s):
                     continue
@@ -395,11 +397,10 @@ def _candidates(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
                     seen.add(i)
                     own.append(i)
                     n.append(len(s))
-                    cells.append(histogram(s))
                     packed.append(s.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(n, pa.int64()), pa.array(cells, pa.binary()), pa.array(packed, pa.binary())], ["s", "n", "cells", "elements"])
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(n, pa.int64()), pa.array(packed, pa.binary())], ["s", "n", "elements"])
 
-    found = docs.select("text").mapInArrow(run, "s long, n long, cells binary, elements binary")
+    found = docs.select("text").mapInArrow(run, "s long, n long, elements binary")
     return found.join(wanted, "s", "left_semi").dropDuplicates(["s"])
 
 
@@ -546,8 +547,12 @@ def _tiles(groups: DataFrame, rows: DataFrame, copies: DataFrame) -> DataFrame:
     """groups: s, label. The product of each dense group: s, others (documents of the rows
     that a row links with) and a, b (a forest of the links), from pairs of tiles."""
     width = float(np.log(DENOMINATOR / NUMERATOR) * (1 + 1e-9))
-    sized_rows = groups.join(rows.select("s", "n"), "s").select("s", "label", F.floor(F.log(F.col("n")) / width).alias("class"), "n")
-    shares = sized_rows.groupBy("label", "class").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / TILE_ELEMENTS)).alias("parts"))
+    # what one tile holds; a group that it holds needs no classes
+    tiles = F.greatest(F.ceil(F.sum("n") / TILE_ELEMENTS), F.ceil(F.count("*") / TILE_ROWS)).alias("parts")
+    labelled = groups.join(rows.select("s", "n"), "s")
+    whole = labelled.groupBy("label").agg(tiles).select("label", (F.col("parts") == 1).alias("whole"))
+    sized_rows = labelled.join(whole, "label").select("s", "label", F.when(F.col("whole"), -1).otherwise(F.floor(F.log(F.col("n")) / width)).alias("class"), "n")
+    shares = sized_rows.groupBy("label", "class").agg(tiles)
     # rows that link are of one class or of neighbours: each class meets itself and the next
     after = shares.select("label", (F.col("class") - 1).alias("class"), F.col("parts").alias("parts_after"))
     before = shares.select("label", (F.col("class") + 1).alias("class"), F.col("parts").alias("parts_before"))
@@ -590,11 +595,10 @@ def _tiles(groups: DataFrame, rows: DataFrame, copies: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """s, comp (the least s that links reach) of every end of a link, by alternating
-    large and small stars until nothing changes; each step is a table in the shared folder."""
+    """s, comp (the least s that links reach) of every end of a link, by alternating large
+    and small stars until only stars are left; each step is a table in the shared folder."""
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars")
-    before = None
-    while True:
+    while not edges.select("u", F.lit(0).alias("inner")).unionByName(edges.select(F.col("v").alias("u"), F.lit(1).alias("inner"))).groupBy("u").agg(F.count_if(F.col("inner") == 0).alias("n"), F.max("inner").alias("inner")).where("n > 1 or n = 1 and inner = 1").isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -603,11 +607,6 @@ def components(links: DataFrame) -> DataFrame:
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         last, edges = edges, staged(small, "stars")
         discard(last)
-        # as exact sums of hashes: equal sums mean that the set of edges is the same
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("s"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("s"), F.col("v").alias("comp")).distinct())
 
 
@@ -651,11 +650,11 @@ def jaccard_join(docs: DataFrame, key: Column | None = None) -> DataFrame:
         label = lambda c: groups.select(F.col("s").alias(c), F.col("label").alias(f"label_{c}"))
         cells = cells.join(label("a"), "a", "left").join(label("b"), "b", "left").where("not (label_a <=> label_b) or label_a is null").select("a", "b")
     cells = staged(cells, "jaccard-marked")
-    wanted = cells.select(F.explode(F.array("a", "b")).alias("s"))
+    bounded = staged(_bounded(cells, sets.where("cells is not null").select("s", "n", "cells").dropDuplicates(["s"])), "jaccard-bounded")
+    wanted = bounded.select(F.explode(F.array("a", "b")).alias("s"))
     if has_dense:
         wanted = wanted.unionByName(groups.select("s"))
     candidates = staged(_candidates(rows, staged(wanted.distinct(), "jaccard-wanted"), seed), "jaccard-candidates")
-    bounded = staged(_bounded(cells, candidates), "jaccard-bounded")
     links = staged(_links(bounded, candidates), "jaccard-links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(copies, F.col("b") == F.col("s")).select(F.col("a").alias("s"), F.col("copies").alias("others"))
@@ -667,7 +666,7 @@ def jaccard_join(docs: DataFrame, key: Column | None = None) -> DataFrame:
     discard(found, cells, bounded, candidates)
     of_set = copies.join(others.groupBy("s").agg(F.sum("others").alias("others")), "s", "left").join(labels, "s", "left")
     of_set = staged(of_set.select("s", "copies", F.coalesce("comp", "s").alias("comp"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "jaccard-classes")
-    return _named(sets.drop("s2"), of_set)
+    return _named(sets.drop("s2", "cells"), of_set)
 
 
 def _named(sets: DataFrame, of_set: DataFrame) -> DataFrame:
