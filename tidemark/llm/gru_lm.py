@@ -9,18 +9,21 @@ more classes by their endings, which are inputs and outputs of their own: within
 one a word's probability is its share of the counts (plus one each, plus one for
 all unseen words of the class), so the model gives a probability to every text.
 
-Training is truncated backpropagation over windows of WINDOW tokens; the state is
-carried from window to window and reset where a text begins. Trainers, as many as
-the training texts have TRAINER_TOKENS, run apart from one start and their
-weights are averaged by tokens. Every training text is learnt from once.
+Every text is turned into ids once; these rows, in the shared folder, serve training
+and scoring. Training is truncated backpropagation over windows of WINDOW tokens; the
+state is carried from window to window and reset where a text begins. Trainers, as
+many as the training texts have TRAINER_TOKENS, run apart from one start and their
+weights are averaged by tokens. Every token of every training text is learnt from
+once; texts are dealt to trainers and ordered by a hash of their row.
 
 Scoring runs over whole texts with the state carried across windows, many texts
-side by side. Words beyond the most frequent BROADCAST_WORDS are counted through
-a join, so what is sent to every task has a fixed bound.
+side by side. Words beyond the most frequent BROADCAST_WORDS (ties go by the word) are
+counted through a join, so what is sent to every task has a fixed bound.
 
 Edge cases: null counts as empty text, of which the end alone is scored. Repeated
-rows each get a row. With no training text all counts are 0. An empty table gives
-an empty result; other columns are not looked at.
+rows each get a row. A very long text is one long stream of windows; its ids are held
+at once. With no training text all counts are 0. An empty table gives an empty
+result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, ship, staged, table, text_bytes
+from tidemark.llm.common import crc_mod, most_counted, ship, staged, table, text_bytes
 
 HIDDEN, WINDOW = 16, 32
 #: Streams side by side, more of them for many tokens, so that at least STEPS windows are learnt from.
@@ -52,6 +56,9 @@ TRAINER_TOKENS = 4_000_000
 BLOCK = 1 << 16
 RATE = 0.01
 BROADCAST_WORDS = 200_000
+#: Tokens whose class logits are held at once, texts that are scored side by side, and
+#: logits up to which exponentials need no shift.
+CHUNK, ABREAST, SAFE = 8192, 1024, 60.0
 #: The end of a text, as a token; no word is empty.
 END = b""
 
@@ -83,25 +90,11 @@ def count_tokens(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(count, "w binary, c long").where("c > 0").groupBy("w").agg(F.sum("c").alias("c"))
 
 
-def frequent_tokens(counts: DataFrame, most: int = BROADCAST_WORDS) -> list[tuple[bytes, int]]:
-    """At most ``most`` tokens, the most frequent first. The least count that fits is
-    found from the numbers of tokens with each count, so tasks send no more than is kept."""
-    upto, least = 0, None
-    for r in counts.groupBy("c").count().orderBy(F.desc("c")).toLocalIterator():
-        upto += r["count"]
-        if upto > most:
-            break
-        least = r.c
-    if least is None:
-        return []
-    return sorted(((bytes(r.w), r.c) for r in counts.where(F.col("c") >= least).collect()), key=lambda x: (-x[1], x[0]))
-
-
 class Gru:
     """Parameters and passes. Ids: of known tokens their rank, of other words the
     number of places for known ones plus their class. Shapes: x (places + other classes
-    + 1, 3H), u (H, 3H), bu (3H), wc (H, classes + other classes), bc,
-    wo (classes, H, classes), bo (classes, classes)."""
+    + 1, 3H), u (H, 3H), bu (3H), wc (H + 1, classes + other classes), wo (classes,
+    H + 1, classes); the last row of wc and wo is the bias."""
 
     def __init__(self, counts: np.ndarray, other: float | np.ndarray, classes: int = LEAST_CLASSES, seed: int = 7) -> None:
         """counts: of the known tokens, by rank; other: of the other classes. The biases start at the counts' shares."""
@@ -110,12 +103,11 @@ class Gru:
         share = np.zeros(classes * classes)
         share[: len(counts)] = counts
         share = (share + 0.1).reshape(classes, classes)
-        self.p = {
-            "x": r.normal(0, 0.3, (classes * classes + len(other) + 1, 3 * HIDDEN)), "u": r.normal(0, 0.2, (HIDDEN, 3 * HIDDEN)), "bu": np.zeros(3 * HIDDEN),
-            "wc": np.zeros((HIDDEN, classes + len(other))), "bc": np.log(np.append(share.sum(1), other) / (share.sum() + other.sum())),
-            "wo": np.zeros((classes, HIDDEN, classes)), "bo": np.log(share / share.sum(1, keepdims=True)),
-        }
-        self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
+        wc, wo = np.zeros((HIDDEN + 1, classes + len(other))), np.zeros((classes, HIDDEN + 1, classes))
+        wc[HIDDEN] = np.log(np.append(share.sum(1), other) / (share.sum() + other.sum()))
+        wo[:, HIDDEN] = np.log(share / share.sum(1, keepdims=True))
+        x, u = r.normal(0, 0.3, (classes * classes + len(other) + 1, 3 * HIDDEN)), r.normal(0, 0.2, (HIDDEN, 3 * HIDDEN))
+        self.p = {k: v.astype(np.float32) for k, v in {"x": x, "u": u, "bu": np.zeros(3 * HIDDEN), "wc": wc, "wo": wo}.items()}
 
     def vector(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.p.values()])
@@ -127,82 +119,120 @@ class Gru:
             at += old.size
         return self
 
-    def step(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
-        a, b = self.p["x"][ids], h @ self.p["u"] + self.p["bu"]
-        gates = 1 / (1 + np.exp(-(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])))
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        c = np.tanh(a[:, 2 * HIDDEN :] + r * b[:, 2 * HIDDEN :])
-        return h + z * (c - h), z, r, c, b[:, 2 * HIDDEN :]
-
-    def log_probs(self, h: np.ndarray, ids: np.ndarray, grads: bool = False) -> tuple[np.ndarray, dict, np.ndarray]:
-        """Natural logs for targets ids (of other words those of their class); with grads, those of the negative sum."""
-        p, size = self.p, self.classes
-        cls = np.where(ids < size * size, ids // size, ids - size * size + size)
-        logits = h @ p["wc"] + p["bc"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1, keepdims=True)
-        rows = np.arange(len(ids))
-        out = logits[rows, cls] - np.log(total[:, 0])
+    def step(self, h: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The next state from states h and inputs a (rows of x); and the gates z and r side by
+        side, the candidate, and what the gate r scales."""
+        b = h @ self.p["u"]
+        b += self.p["bu"]
+        gates = a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        scaled = b[:, 2 * HIDDEN :]
+        c = gates[:, HIDDEN:] * scaled
+        c += a[:, 2 * HIDDEN :]
+        np.tanh(c, out=c)
+        new = c - h
+        new *= gates[:, :HIDDEN]
+        new += h
+        return new, gates, c, scaled
+
+    def log_probs(self, states: np.ndarray, ids: np.ndarray, grads: bool = False, live: np.ndarray | None = None) -> tuple[np.ndarray, dict, np.ndarray]:
+        """Natural logs for targets ids (of other words those of their class) after states
+        (their last column is one); with grads, those of the negative sum. live: the targets that count."""
+        p, size, kind = self.p, self.classes, states.dtype
+        places = size * size
+        cls = np.where(ids < places, ids // size, ids - places + size)
+        out = np.empty(len(ids), kind)
         g: dict[str, np.ndarray] = {}
-        dh = np.zeros_like(h)
+        dh = np.zeros((len(ids) if grads else 0, HIDDEN), kind)
         if grads:
-            d = e / total
-            d[rows, cls] -= 1
-            g |= {"wc": h.T @ d, "bc": d.sum(0), "wo": np.zeros_like(p["wo"]), "bo": np.zeros_like(p["bo"])}
-            dh = d @ p["wc"].T
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(size + 1))
+            g = {"wc": np.zeros_like(p["wc"]), "wo": np.zeros_like(p["wo"])}
+        shift = np.abs(p["wc"]).sum(0).max() > SAFE
+        for low in range(0, len(ids), CHUNK):
+            own, at = states[low : low + CHUNK], cls[low : low + CHUNK]
+            rows = np.arange(len(own))
+            logits = own @ p["wc"]
+            if shift:
+                logits -= logits.max(1, keepdims=True)
+            hit = logits[rows, at]
+            np.exp(logits, out=logits)
+            total = logits.sum(1)
+            out[low : low + CHUNK] = hit - np.log(total)
+            if grads:
+                logits /= total[:, None]
+                logits[rows, at] -= 1
+                if live is not None:
+                    logits *= live[low : low + CHUNK, None]
+                g["wc"] += own.T @ logits
+                dh[low : low + CHUNK] = logits @ p["wc"][:HIDDEN].T
+        inner = np.flatnonzero(ids < places if live is None else (ids < places) & live)
+        order = inner[np.argsort(cls[inner].astype(np.uint16 if size < 1 << 16 else np.int64), kind="stable")]
+        ends = np.searchsorted(cls[order], np.arange(size + 1)).tolist()
+        own_all, place_all, found, dh_all = states[order], ids[order] % size, np.empty(len(order), kind), np.empty((len(order) if grads else 0, HIDDEN), kind)
+        shift = np.abs(p["wo"]).sum(1).max() > SAFE
         for k in range(size):
-            at = order[ends[k] : ends[k + 1]]
-            if len(at):
-                own = h[at]
-                inner = own @ p["wo"][k] + p["bo"][k]
-                inner -= inner.max(1, keepdims=True)
-                e = np.exp(inner)
-                total = e.sum(1, keepdims=True)
-                place = ids[at] - k * size
-                out[at] += inner[np.arange(len(at)), place] - np.log(total[:, 0])
-                if grads:
-                    d = e / total
-                    d[np.arange(len(at)), place] -= 1
-                    g["wo"][k], g["bo"][k] = own.T @ d, d.sum(0)
-                    dh[at] += d @ p["wo"][k].T
-        return out, g, dh
-
-    def window(self, h: np.ndarray, ids: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, float, dict[str, np.ndarray]]:
-        """One window of truncated backpropagation: (streams, steps) ids and targets."""
-        kept, states = [], []
-        for t in range(ids.shape[1]):
-            h = np.where((ids[:, t] == START)[:, None], np.float32(0), h)
-            new, z, r, c, bc = self.step(h, ids[:, t])
-            kept.append((h, z, r, c, bc))
-            states.append(new)
-            h = new
-        n, steps = ids.shape
-        out, g, dout = self.log_probs(np.concatenate(states), targets.T.ravel(), True)
+            low, high = ends[k], ends[k + 1]
+            if low == high:
+                continue
+            own, place, rows = own_all[low:high], place_all[low:high], np.arange(high - low)
+            logits = own @ p["wo"][k]
+            if shift:
+                logits -= logits.max(1, keepdims=True)
+            hit = logits[rows, place]
+            np.exp(logits, out=logits)
+            total = logits.sum(1)
+            found[low:high] = hit - np.log(total)
+            if grads:
+                logits /= total[:, None]
+                logits[rows, place] -= 1
+                g["wo"][k] = own.T @ logits
+                dh_all[low:high] = logits @ p["wo"][k, :HIDDEN].T
+        out[order] += found
+        if grads:
+            dh[order] += dh_all
+        return out if live is None else out * live, g, dh
+
+    def window(self, h: np.ndarray, ids: np.ndarray, targets: np.ndarray, live: np.ndarray | None = None) -> tuple[np.ndarray, float, dict]:
+        """One window of truncated backpropagation: (streams, steps) ids, targets and, unless
+        all count, which do. The gradient of x is given by rows: (ids, sums)."""
+        (n, steps), u = ids.shape, self.p["u"]
+        inputs, begins = self.p["x"][ids.T], ids.T == START
+        some = begins.any(1).tolist()
+        states, before = np.ones((steps, n, HIDDEN + 1), u.dtype), np.empty((steps, n, HIDDEN), u.dtype)
+        gates, c, scaled = (np.empty((steps, n, k * HIDDEN), u.dtype) for k in (2, 1, 1))
+        for t in range(steps):
+            if some[t]:
+                h = np.where(begins[t][:, None], u.dtype.type(0), h)
+            before[t] = h
+            h, gates[t], c[t], scaled[t] = self.step(h, inputs[t])
+            states[t, :, :HIDDEN] = h
+        out, g, dout = self.log_probs(states.reshape(-1, HIDDEN + 1), targets.T.ravel(), True, None if live is None else live.T.ravel())
         dout = dout.reshape(steps, n, HIDDEN)
-        g |= {"x": np.zeros_like(self.p["x"]), "u": np.zeros_like(self.p["u"]), "bu": np.zeros_like(self.p["bu"])}
-        dh, das = np.zeros((n, HIDDEN), np.float32), []
+        z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        keep, of_c = 1 - z, z * (1 - c * c)
+        of_z, of_r = (c - before) * z * keep, scaled * r * (1 - r)
+        da, db = np.empty((steps, n, 3 * HIDDEN), u.dtype), np.empty((steps, n, 3 * HIDDEN), u.dtype)
+        dh, back = np.zeros((n, HIDDEN), u.dtype), np.ascontiguousarray(u.T)
         for t in range(steps - 1, -1, -1):
-            before, z, r, c, bc = kept[t]
-            dh = dh + dout[t]
-            da = np.empty((n, 3 * HIDDEN), np.float32)
-            dc = dh * z * (1 - c * c)
-            da[:, :HIDDEN] = dh * (c - before) * z * (1 - z)
-            da[:, HIDDEN : 2 * HIDDEN] = dc * bc * r * (1 - r)
-            da[:, 2 * HIDDEN :] = dc
-            db = da.copy()
-            db[:, 2 * HIDDEN :] = dc * r
-            das.append(da)
-            g["u"] += before.T @ db
-            g["bu"] += db.sum(0)
-            dh = dh * (1 - z) + db @ self.p["u"].T
-            dh[ids[:, t] == START] = 0
-        own = ids[:, ::-1].T.ravel()
+            dh += dout[t]
+            dc = dh * of_c[t]
+            da[t, :, 2 * HIDDEN :] = dc
+            np.multiply(dc, of_r[t], out=da[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(dh, of_z[t], out=da[t, :, :HIDDEN])
+            db[t, :, : 2 * HIDDEN] = da[t, :, : 2 * HIDDEN]
+            np.multiply(dc, r[t], out=db[t, :, 2 * HIDDEN :])
+            dh *= keep[t]
+            dh += db[t] @ back
+            if some[t]:
+                dh[begins[t]] = 0
+        flat = db.reshape(-1, 3 * HIDDEN)
+        g["u"], g["bu"] = before.reshape(-1, HIDDEN).T @ flat, flat.sum(0)
+        own = ids.T.ravel()
         order = np.argsort(own, kind="stable")
         firsts = np.flatnonzero(np.diff(own[order], prepend=START - 1))
-        g["x"][own[order[firsts]]] = np.add.reduceat(np.concatenate(das)[order], firsts)
+        g["x"] = (own[order[firsts]], np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], firsts))
         return h, -float(out.sum()), g
 
     def train(self, texts: list[np.ndarray], rate: float = RATE) -> int:
@@ -210,49 +240,62 @@ class Gru:
         if not texts:
             return 0
         targets = np.concatenate(texts)
-        inputs = np.concatenate([np.concatenate(([START], t[:-1])) for t in texts])
-        streams = min(MOST_STREAMS, max(FEWEST_STREAMS, len(targets) // (STEPS * WINDOW)))
-        streams = max(1, min(streams, len(targets) // WINDOW))
-        steps = len(targets) // streams
-        inputs, targets = (a[: streams * steps].reshape(streams, steps) for a in (inputs, targets))
+        n_tokens = len(targets)
+        inputs = np.empty_like(targets)
+        inputs[1:] = targets[:-1]
+        inputs[np.cumsum([0, *map(len, texts[:-1])])] = START
+        streams = min(MOST_STREAMS, max(FEWEST_STREAMS, n_tokens // (STEPS * WINDOW)))
+        streams = max(1, min(streams, n_tokens // WINDOW))
+        steps = -(-n_tokens // streams)
+        spare = streams * steps - n_tokens  # the last streams are filled up with places that don't count
+        live = np.arange(streams * steps).reshape(streams, steps) < n_tokens
+        targets = np.append(targets, np.zeros(spare, targets.dtype)).reshape(streams, steps)
+        inputs = np.append(inputs, np.full(spare, START, inputs.dtype)).reshape(streams, steps)
         inputs[:, 0] = START
         h = np.zeros((streams, HIDDEN), np.float32)
         first, second, n = {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}, 0
         for at in range(0, steps, WINDOW):
-            h, _, g = self.window(h, inputs[:, at : at + WINDOW], targets[:, at : at + WINDOW])
+            part = live[:, at : at + WINDOW]
+            h, _, g = self.window(h, inputs[:, at : at + WINDOW], targets[:, at : at + WINDOW], None if part.all() else part)
             n += 1
+            scale, one, two = 1 / part.sum(), 1 - 0.9**n, 1 - 0.99**n
             for k, d in g.items():
-                d /= streams * min(WINDOW, steps - at)
-                first[k] += 0.1 * (d - first[k])
-                second[k] += 0.01 * (d * d - second[k])
-                self.p[k] -= rate * (first[k] / (1 - 0.9**n)) / (np.sqrt(second[k] / (1 - 0.99**n)) + 1e-6)
-        return len(targets.ravel())
+                rows, d = d if k == "x" else (slice(None), d)  # moments of x move where there is a gradient
+                d *= scale
+                a, b = first[k][rows], second[k][rows]
+                a += 0.1 * (d - a)
+                b += 0.01 * (d * d - b)
+                first[k][rows], second[k][rows] = a, b
+                self.p[k][rows] -= (rate / one) * a / (np.sqrt(b / two) + 1e-6)
+        return n_tokens
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log-probability of each text (ids with their end), the state carried across windows."""
-        out = np.zeros(len(texts))
-        order = np.argsort([-len(t) for t in texts], kind="stable")
-        lengths = np.array([len(texts[i]) for i in order])
-        h = np.zeros((len(texts), HIDDEN), np.float32)
-        before = np.full(len(texts), START)
-        for at in range(0, int(lengths[0]) if len(texts) else 0, WINDOW):
-            n = int(np.searchsorted(-lengths, -at, "left"))  # texts longer than at
-            steps = min(WINDOW, int(lengths[0]) - at)
-            ids = np.full((n, steps), -1)
-            for i in range(n):
-                part = texts[order[i]][at : at + steps]
-                ids[i, : len(part)] = part
-            states, targets, owners = [], [], []
-            for t in range(steps):
-                live = int(np.searchsorted(-lengths, -(at + t), "left"))
-                if not live:
-                    break
-                h[:live] = self.step(h[:live], before[:live])[0]
-                before[:live] = ids[:live, t]
-                states.append(h[:live].copy())
-                targets.append(ids[:live, t])
-                owners.append(order[:live])
-            out += np.bincount(np.concatenate(owners), self.log_probs(np.concatenate(states), np.concatenate(targets))[0], len(texts))
+        out, order = np.zeros(len(texts)), np.argsort([-len(t) for t in texts], kind="stable")
+        for i in range(0, len(texts), ABREAST):
+            part = order[i : i + ABREAST]
+            out[part] = self._score([texts[k] for k in part])
+        return out
+
+    def _score(self, texts: list[np.ndarray]) -> np.ndarray:
+        """The longest first."""
+        flat, lengths = np.concatenate(texts), np.array([len(t) for t in texts])
+        starts, out = np.cumsum(lengths) - lengths, np.zeros(len(texts))
+        h, last = np.zeros((len(texts), HIDDEN), np.float32), np.full(len(texts), START)
+        for at in range(0, int(lengths[0]), WINDOW):
+            live = np.searchsorted(-lengths, -(at + np.arange(min(WINDOW, int(lengths[0]) - at))), "left")  # texts longer than that
+            n, steps = int(live[0]), len(live)
+            places = np.minimum(starts[:n] + at + np.arange(steps)[:, None], len(flat) - 1)
+            ids = flat[places]
+            inputs = self.p["x"][np.concatenate([last[None, :n], ids[:-1]])]
+            states = np.ones((steps, n, HIDDEN + 1), np.float32)
+            for t, m in enumerate(live.tolist()):
+                h[:m] = self.step(h[:m], inputs[t, :m])[0]
+                states[t, :m, :HIDDEN] = h[:m]
+            last[:n] = ids[-1]
+            counts = np.arange(n) < live[:, None]
+            logs = self.log_probs(states[counts], ids[counts])[0]
+            out += np.bincount(np.nonzero(counts)[1], logs, len(texts))
         return out
 
 
@@ -268,36 +311,80 @@ def ending_sums(counts: DataFrame, classes: int) -> dict[int, int]:
 
 
 class Vocabulary:
-    """rank and count of the most frequent tokens, and the sums of the other words' classes."""
+    """Row, count and id of the most frequent tokens, and the sums of the other words' classes."""
 
     def __init__(self, frequent: list[tuple[bytes, int]], classes: int, endings: dict[int, int]) -> None:
-        """endings: what ending_sums gives."""
-        self.classes, self.counts = classes, {w: c for w, c in frequent}
-        self.known = {w: i for i, (w, _) in enumerate(frequent[: classes * classes])}
+        """frequent: the most frequent first; endings: what ending_sums gives."""
+        self.classes, self.places = classes, classes * classes
+        self.rows = {w: i for i, (w, _) in enumerate(frequent)}
+        self.counts = np.array([c for _, c in frequent], np.int64)
+        self.n_known = min(len(frequent), self.places)
+        self._ids = np.array([i if i < self.places else self.places + self._ending(w) for i, (w, _) in enumerate(frequent)], np.int32)
         #: the counts, plus one each and one for the unseen, of the other words of each class
         self.rest = np.array([endings.get(k, 0) + 1 for k in range(classes)], float)
-        for w in self.known:
-            self.rest[self._ending(w)] -= self.counts[w] + 1
+        for w, c in frequent[: self.places]:
+            self.rest[self._ending(w)] -= c + 1
 
     def _ending(self, word: bytes) -> int:
         return zlib.crc32(word[-ENDING:]) % self.classes
 
     def model(self) -> Gru:
-        return Gru(np.array([self.counts[w] for w in self.known], float), self.rest, self.classes)
+        return Gru(self.counts[: self.n_known].astype(float), self.rest, self.classes)
+
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's row among the most frequent (-1: none) and its id."""
+        rows = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(rows < 0).tolist()
+        ids = self._ids[rows] if len(self._ids) else np.zeros(len(words), np.int32)
+        if missing:
+            ids[missing] = [self.places + self._ending(words[i]) for i in missing]
+        return rows, ids
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        known, places, crc, classes = self.known, self.classes**2, zlib.crc32, self.classes
-        return np.fromiter((known[w] if w in known else places + crc(w[-ENDING:]) % classes for w in words), np.int64, len(words))
+
+def _encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """For each row k (its number), doc_id, held_out, n_tokens; seen and base: tokens among the
+    most frequent and the logs of their counts; outside: logs of those that the model
+    doesn't know itself, less the logs of their classes; ids; rare: the other words."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    names = ["k", "doc_id", "held_out", "n_tokens", "seen", "base", "outside", "ids", "rare"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        logs, rest, row = np.append(np.log10(own.counts + 1), 0.0), np.log10(own.rest), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                words, ends = [], []
+                for text in part.column(1).to_pylist():
+                    words += text.lower().split()
+                    words.append(END)
+                    ends.append(len(words))
+                found, ids = own.look_up(words)
+                missing, other = np.flatnonzero(found < 0), np.flatnonzero(ids >= own.places)
+                starts, n = np.array([0, *ends[:-1]]), len(ends)
+                outside = np.zeros(len(words))
+                outside[other] = logs[found[other]] - rest[ids[other] - own.places]
+                rare: list[list[bytes]] = [[] for _ in ends]
+                for i, text in zip(missing.tolist(), np.searchsorted(ends, missing, "right").tolist(), strict=True):
+                    rare[text].append(words[i])
+                sums = [np.add.reduceat(x, starts) for x in ((found >= 0).astype(np.int64), logs[found], outside)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + n)), part.column(0), part.column(2), pa.array(np.array(ends) - starts), *map(pa.array, sums), pa.array([ids[i:j].tobytes() for i, j in zip(starts.tolist(), ends, strict=True)], pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
+                    names,
+                )
+                row += n
+
+    return rows.mapInArrow(run, "k long, doc_id long, held_out boolean, n_tokens long, seen long, base double, outside double, ids binary, rare array<binary>")
 
 
 def _train(training: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
+    """training: k, ids of every training text."""
     shared = training.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        model, texts = own.model(), []
+        model, texts = shared.value.model(), []
         for batch in batches:
-            texts += [own.ids(tokens(t)) for t in batch.column(0).to_pylist()]
+            texts += [np.frombuffer(x, np.int32) for x in batch.column(0).to_pylist()]
         if n := model.train(texts):
             v = model.vector().astype("<f4")
             blocks = range(0, len(v), BLOCK)
@@ -311,8 +398,11 @@ def _train(training: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
                 sums[i] = had + np.frombuffer(v, "<f4").astype(float) * n, m + n
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([(v / n).astype("<f4").tobytes() for v, n in sums.values()], pa.binary())], ["i", "v"])
 
-    trained = training.select("text").repartition(n_trainers).mapInArrow(run, "i long, v binary, n long")
-    rows = trained.repartition("i").mapInArrow(average, "i long, v binary").collect()  # the parameters once
+    place = F.xxhash64("k")
+    dealt = training.select("ids", place.alias("place"), "k").repartition(n_trainers, "place").sortWithinPartitions("place", "k")
+    trained = dealt.select("ids").mapInArrow(run, "i long, v binary, n long")
+    # one order of the sums, so that reruns agree
+    rows = trained.repartition("i").sortWithinPartitions("i", "n", "v").mapInArrow(average, "i long, v binary").collect()  # the parameters once
     model = vocabulary.model()
     if rows:
         model.load(np.frombuffer(b"".join(bytes(r.v) for r in sorted(rows, key=lambda r: r.i)), "<f4"))
@@ -325,47 +415,28 @@ def score_documents(docs: DataFrame, in_training: object) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"), (~in_training).alias("held_out"))
-    training = rows.where(~F.col("held_out"))
-    counts = staged(count_tokens(training), "gru-counts")
+    counts = staged(count_tokens(rows.where(~F.col("held_out"))), "gru-counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     classes = class_count(totals.v)
-    vocabulary = Vocabulary(frequent_tokens(counts), classes, ending_sums(counts, classes))
-    model = _train(training, vocabulary, max(1, round(totals.n / TRAINER_TOKENS)))
-    shared = spark.sparkContext.broadcast((vocabulary, model))
+    vocabulary = Vocabulary(most_counted(counts, "w", BROADCAST_WORDS), classes, ending_sums(counts, classes))
+    encoded = staged(_encode(rows, vocabulary), "gru-encoded")
+    model = _train(encoded.where(~F.col("held_out")), vocabulary, max(1, round(totals.n / TRAINER_TOKENS)))
+    shared = spark.sparkContext.broadcast(model)
+    names = ["k", "doc_id", "held_out", "n_tokens", "seen", "base", "outside", "model"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, gru = shared.value
-        task, row = TaskContext.get().partitionId() << 40, 0
-        logs = {w: np.log10(c + 1) for w, c in own.counts.items()}
-        places, rest = own.classes**2, np.log10(own.rest)
         for batch in batches:
-            n, base, ids, seen, outside, rare = [], [], [], [], [], []
-            for text in batch.column(1).to_pylist():
-                words = tokens(text)
-                known = [logs.get(w) for w in words]
-                missing = [w for w, k in zip(words, known, strict=True) if k is None]
-                n.append(len(words))
-                seen.append(len(words) - len(missing))
-                base.append(float(sum(k for k in known if k is not None)) if missing else float(sum(known)))
-                ids.append(own.ids(words))
-                rare.append(missing)
-                outside.append(float(sum(k for k, i in zip(known, ids[-1].tolist(), strict=True) if i >= places and k is not None)))
-            scores = gru.score(ids) / np.log(10) + np.array(outside) - np.array([rest[i[i >= places] - places].sum() for i in ids])
-            keys = task + row + np.arange(len(n))
-            row += len(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.binary()))],
-                ["k", "doc_id", "held_out", "n_tokens", "seen", "base", "model", "rare"],
-            )
-
-    scored = staged(rows.mapInArrow(run, "k long, doc_id long, held_out boolean, n_tokens long, seen long, base double, model double, rare array<binary>"), "gru-scored")
-    words = scored.select("k", F.explode("rare").alias("w"))
+            scores = shared.value.score([np.frombuffer(x, np.int32) for x in batch.column(7).to_pylist()]) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(scores)], names)
+
+    scored = encoded.select(*names[:7], "ids").mapInArrow(run, "k long, doc_id long, held_out boolean, n_tokens long, seen long, base double, outside double, model double")
+    words = encoded.select("k", F.explode("rare").alias("w"))
     looked = words.join(counts, "w", "left").groupBy("k").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("logs"), F.count("c").alias("known"))
-    joined = scored.drop("rare").join(looked, "k", "left")
+    joined = scored.join(looked, "k", "left")
     logs = F.coalesce("logs", F.lit(0.0))
     return joined.select(
         "doc_id", "held_out", "n_tokens", (F.col("seen") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(totals.n).cast("long").alias("train_tokens"),
-        (F.col("base") + logs - F.col("n_tokens") * float(np.log10(totals.n + totals.v + 1))).alias("base_score"), (F.col("model") + logs).alias("score"),
+        (F.col("base") + logs - F.col("n_tokens") * float(np.log10(totals.n + totals.v + 1))).alias("base_score"), (F.col("model") + F.col("outside") + logs).alias("score"),
     )
 
 
