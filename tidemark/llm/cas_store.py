@@ -5,14 +5,16 @@ rolling hash over the last 16 ids cuts the stream of a document into chunks, so
 equal passages give equal chunks wherever they stand. The store is a folder of
 three Parquet tables:
 
-``chunks``    hash, payload: each distinct chunk once. hash is the SHA-256 of
+``chunks``    hash, payload, uses: each distinct chunk once. hash is the SHA-256 of
               the ids as little-endian unsigned 32-bit integers; payload holds
-              them in 2 bytes each where all fit, else in 4 (``width``).
-``recipes``   doc_id, start, n_tokens, hashes, root: documents in ascending
-              doc_id order; start counts the ids of all documents before; root
-              is the Merkle root of the chunk hashes.
-``manifest``  one row for each range of documents: ids, documents, and the
-              Merkle root over the roots of its documents.
+              them in 2 bytes each where all fit, else in 4 (``width``); uses
+              counts the places where it stands.
+``recipes``   doc_id, range, inside, n_tokens, hashes, root: documents in ascending
+              doc_id order, a range of them in each file; inside counts the ids
+              before the document in its range; root is the Merkle root of the
+              chunk hashes.
+``manifest``  one row for each range: start (the ids of all ranges before), ids,
+              documents, and the Merkle root over the roots of its documents.
 
 Reading verifies every chunk against its hash, every document's root, and the
 recipes against the manifest.
@@ -24,7 +26,8 @@ text gives.
 
 Edge cases: null counts as empty text and holds the end id alone. Rows with one
 doc_id are documents of their own, in an order fixed by their content; null ids
-come first. An empty table gives an empty store; other columns are not looked at.
+come first. A very long text is one recipe of many chunks; its ids are held at once.
+An empty table gives an empty store; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -32,16 +35,17 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import ship, shared_path, shuffle_partitions, staged, table, text_bytes
+from tidemark.llm.common import discard, join_hot, ship, shared_path, staged, table, text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -104,14 +108,17 @@ _words: dict[str, WordIds] = {}
 
 
 GROUP = 256
-_TAIL = re.compile(rb"(?<=[a-z])([.,;:!?*$%&#]+)(?=[ \t\n]|$)")
+#: Marks that end a word after a letter; a match is found by its first mark.
+_TAIL = re.compile(rb"[.,;:!?*$%&#](?<=[a-z].)[.,;:!?*$%&#]*(?=[ \t\n]|\Z)")
 
 
 def loosened(text: bytes) -> bytes:
     """The text with A-Z lower-cased and a blank between a letter and the marks that
     end its word: the tokenizer does the first and cuts there by itself, and fewer
-    distinct words are left. Texts that may hold an added token stay as they are."""
-    return text if b"<|" in text else _TAIL.sub(rb" \1", text.lower())
+    distinct words are left. Texts that may hold an added token stay as they are, and
+    so do those with bytes of U+0300 to U+037F: the tokenizer composes such marks
+    with the letter before it lower-cases, and some letters compose in one case alone."""
+    return text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else _TAIL.sub(rb" \g<0>", text.lower())
 
 
 def encode_texts(texts: list[bytes], path: str, end: bytes = b"") -> Iterator[tuple[bytes, list[int]]]:
@@ -166,12 +173,34 @@ def cut_points(ids: np.ndarray, text_ends: list[int]) -> list[list[int]]:
     return out
 
 
+class Merkle:
+    """A Merkle root, built from the left. Pairs are hashed together; an odd last one goes up
+    as it is. Holds one hash a level."""
+
+    def __init__(self, hashes: Iterable[bytes] = ()) -> None:
+        self._levels: list[bytes | None] = []
+        for h in hashes:
+            self.add(h)
+
+    def add(self, h: bytes) -> None:
+        for i, left in enumerate(self._levels):
+            if left is None:
+                self._levels[i] = h
+                return
+            self._levels[i] = None
+            h = hashlib.sha256(left + h).digest()
+        self._levels.append(h)
+
+    def root(self) -> bytes:
+        out = None
+        for left in self._levels:
+            if left is not None:
+                out = left if out is None else hashlib.sha256(left + out).digest()
+        return hashlib.sha256(b"").digest() if out is None else out
+
+
 def merkle_root(hashes: list[bytes]) -> bytes:
-    """Pairs are hashed together; an odd last one goes up as it is."""
-    level = hashes or [hashlib.sha256(b"").digest()]
-    while len(level) > 1:
-        level = [hashlib.sha256(b"".join(level[i : i + 2])).digest() if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
-    return level[0]
+    return hashes[0] if len(hashes) == 1 else Merkle(hashes).root()
 
 
 def _pack(ids: np.ndarray, width: int) -> bytes:
@@ -206,54 +235,66 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
                     roots.append(merkle_root(own))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.list_(pa.binary())), pa.array(payloads, pa.list_(pa.binary())), pa.array(roots, pa.binary())], ["doc_id", "n_tokens", "hashes", "payloads", "root"])
 
-    encoded = staged(docs.select("doc_id", text_bytes().alias("text")).mapInArrow(encode, "doc_id long, n_tokens long, hashes array<binary>, payloads array<binary>, root binary"), "cas-encoded")
+    salt = F.xxhash64(F.monotonically_increasing_id())
+    rows = docs.select("doc_id", text_bytes().alias("text")).mapInArrow(encode, "doc_id long, n_tokens long, hashes array<binary>, payloads array<binary>, root binary")
+    encoded = staged(rows.withColumn("salt", salt), "cas-encoded")
     chunks = encoded.select(F.explode(F.arrays_zip("hashes", "payloads")).alias("c")).select(F.col("c.hashes").alias("hash"), F.col("c.payloads").alias("payload"))
-    chunks.dropDuplicates(["hash"]).withColumn("width", F.lit(width)).write.option("compression", "zstd").parquet(f"{path}/chunks")
-
-    # ranges of documents by quantiles of the id; each range is summed alone
-    n_ranges = shuffle_partitions(spark)
-    bounds = encoded.agg(F.percentile_approx("doc_id", [i / n_ranges for i in range(1, n_ranges)], 10_000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    of_range = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: F.col("doc_id") > b)) if bounds else F.lit(0)
-    ranged = encoded.select("doc_id", "n_tokens", "hashes", "root", F.when(F.col("doc_id").isNull(), -1).otherwise(of_range).alias("range"))
-    sums = dict(ranged.groupBy("range").agg(F.sum("n_tokens")).collect())  # at most n_ranges + 1 rows
-    starts, total = {}, 0
-    for r in sorted(sums):
-        starts[r], total = total, total + sums[r]
-    before = F.element_at(F.create_map(*(F.lit(x) for kv in starts.items() for x in kv)), F.col("range")) if starts else F.lit(0)
-    ahead = Window.partitionBy("range").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
-    recipes = ranged.withColumn("start", (before + F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0))).cast("long"))
-    # files and their rows in document order
-    place = ["range", "doc_id", "root"]
-    recipes.repartitionByRange(*place).sortWithinPartitions(*place).write.option("compression", "zstd").parquet(f"{path}/recipes")
-
-    _manifest(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
-
-
-def _manifest(recipes: DataFrame) -> DataFrame:
-    """The row of each range; raises where starts don't follow from the ids before."""
+    chunks.groupBy("hash").agg(F.first("payload").alias("payload"), F.count("*").alias("uses")).withColumn("width", F.lit(width)).write.option("compression", "zstd").parquet(f"{path}/chunks")
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, ahead = TaskContext.get().partitionId(), 0
         for batch in batches:
-            roots = []
-            for at, docs in zip(batch.column(1).to_pylist(), batch.column(5).to_pylist(), strict=True):
-                for d in docs:
-                    if d["start"] != at:
-                        raise ValueError("a document's start differs from the ids before it")
-                    at += d["n_tokens"]
-                roots.append(merkle_root([d["root"] for d in docs]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(roots, pa.binary())], [*batch.schema.names[:5], "root"])
+            n = batch.column(1).to_numpy()
+            inside = ahead + np.cumsum(n) - n
+            ahead += int(n.sum())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(n), own, np.int32)), pa.array(inside), *batch.columns[1:]], ["doc_id", "range", "inside", "n_tokens", "hashes", "root"])
 
-    docs = F.sort_array(F.collect_list(F.struct("start", "n_tokens", "root"))).alias("docs")
-    ranges = recipes.groupBy("range").agg(F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"), F.min("doc_id").alias("first_id"), docs)
-    return ranges.mapInArrow(fold, "range int, start long, n_tokens long, n_docs long, first_id long, root binary")
+    # files and their rows in document order; the salt parts rows that are alike
+    place = ["doc_id", "root", "salt"]
+    dealt = encoded.select("doc_id", "n_tokens", "hashes", "root", "salt").repartitionByRange(*place).sortWithinPartitions(*place).drop("salt")
+    dealt.mapInArrow(number, "doc_id long, range int, inside long, n_tokens long, hashes array<binary>, root binary").write.option("compression", "zstd").parquet(f"{path}/recipes")
+    discard(encoded)
+
+    found, start = [], 0
+    for row in _manifest(spark.read.parquet(f"{path}/recipes")):
+        found.append((row[0], start, *row[1:]))
+        start += row[1]
+    spark.createDataFrame(found, "range int, start long, n_tokens long, n_docs long, first_id long, root binary").write.parquet(f"{path}/manifest")
+
+
+def _manifest(recipes: DataFrame) -> list[tuple]:
+    """range, n_tokens, n_docs, first_id, root of each range, of which there are as many as
+    files; raises where the places of documents don't follow from the ids before."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, own, at, n, first, roots = [], None, 0, 0, None, Merkle()
+        for batch in batches:
+            for number, inside, n_tokens, doc_id, root in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if number != own:
+                    if own is not None:
+                        out.append((own, at, n, first, roots.root()))
+                    own, at, n, first, roots = number, 0, 0, doc_id, Merkle()
+                if inside != at:
+                    raise ValueError("a document's place differs from the ids before it")
+                at, n = at + n_tokens, n + 1
+                roots.add(root)
+        if own is not None:
+            out.append((own, at, n, first, roots.root()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["range", "n_tokens", "n_docs", "first_id", "root"])
+
+    rows = recipes.select("range", "inside", "n_tokens", "doc_id", "root").repartition("range").sortWithinPartitions("range", "inside")
+    return sorted((r[0], r[1], r[2], r[3], bytes(r[4])) for r in rows.mapInArrow(fold, "range int, n_tokens long, n_docs long, first_id long, root binary").collect())
 
 
 def verify_manifest(spark: SparkSession, path: str) -> None:
     """Raises where the recipes aren't those that the manifest was made from."""
-    recipes, manifest = spark.read.parquet(f"{path}/recipes"), spark.read.parquet(f"{path}/manifest")
-    found, want = (sorted(map(tuple, df.collect()), key=lambda r: r[0]) for df in (_manifest(recipes), manifest))  # a row a range
-    if found != want:
+    want, start = [], 0
+    for r in sorted(spark.read.parquet(f"{path}/manifest").collect()):
+        want.append((r.range, r.n_tokens, r.n_docs, r.first_id, bytes(r.root)))
+        if r.start != start:
+            raise ValueError("the manifest's starts differ from its ids")
+        start += r.n_tokens
+    if _manifest(spark.read.parquet(f"{path}/recipes")) != want:
         raise ValueError("the recipes differ from the manifest")
 
 
@@ -286,30 +327,32 @@ def crc_join(first: int, second: int, second_bytes: int) -> int:
 
 
 def verified_chunks(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
-    """hash, n, crc[, payload] of every chunk; raises where content and hash differ."""
+    """hash, uses, n, crc[, payload, width] of every chunk; raises where content and hash differ."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, crcs = [], []
-            for own, payload, width in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for own, payload, width in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
                 ids = _unpack(payload, width).tobytes()
                 if hashlib.sha256(ids).digest() != own:
                     raise ValueError(f"chunk {own.hex()} is damaged")
                 n.append(len(ids) // 4)
                 crcs.append(zlib.crc32(ids))
-            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(crcs, pa.int64()), batch.column(1), batch.column(2)]
-            yield pa.RecordBatch.from_arrays(cols[: 5 if with_ids else 3], ["hash", "n", "crc", "payload", "width"][: 5 if with_ids else 3])
+            cols, names = [*batch.columns[:2], pa.array(n, pa.int64()), pa.array(crcs, pa.int64()), *batch.columns[2:]], ["hash", "uses", "n", "crc", "payload", "width"]
+            yield pa.RecordBatch.from_arrays(cols[: 6 if with_ids else 4], names[: 6 if with_ids else 4])
 
-    return spark.read.parquet(f"{path}/chunks").select("hash", "payload", "width").mapInArrow(check, "hash binary, n long, crc long" + ", payload binary, width int" * with_ids)
+    return spark.read.parquet(f"{path}/chunks").select("hash", "uses", "payload", "width").mapInArrow(check, "hash binary, uses long, n long, crc long" + ", payload binary, width int" * with_ids)
 
 
 def _assembled(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
     """Each recipe with its chunks in order; no document loses or gains one."""
     verify_manifest(spark, path)
-    recipes = spark.read.parquet(f"{path}/recipes")
-    parts = recipes.select("doc_id", "start", "n_tokens", "root", F.posexplode("hashes").alias("pos", "hash"))
+    starts = spark.read.parquet(f"{path}/manifest").select("range", F.col("start").alias("ahead"))  # a row a file
+    recipes = spark.read.parquet(f"{path}/recipes").join(F.broadcast(starts), "range")
+    parts = recipes.select("doc_id", (F.col("ahead") + F.col("inside")).alias("start"), "n_tokens", "root", F.posexplode("hashes").alias("pos", "hash"))
     fields = ["pos", "hash", "n", "crc"] + ["payload", "width"] * with_ids
-    joined = parts.join(verified_chunks(spark, path, with_ids), "hash", "left")
+    chunks = staged(verified_chunks(spark, path, with_ids), "cas-verified")
+    joined = join_hot(parts, chunks, "hash", "uses", chunks.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0])
     return joined.groupBy("start").agg(F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.first("root").alias("root"), F.sort_array(F.collect_list(F.struct(*fields))).alias("parts"))
 
 
