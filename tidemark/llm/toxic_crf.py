@@ -10,11 +10,13 @@ forms not seen. Forward-backward gives every word its marginal; runs of words
 above 1/2 are the offending spans, and a logistic model over the largest marginal
 and the number of such words gives the document's score.
 
-Training reads a bounded sample: MOST_LABELLED rows of each label, picked by hash.
-Scoring reads every whole text, in blocks of a chain product.
+Training reads a bounded sample: MOST_LABELLED ids of each label, picked by hash, and
+of these, in the same order, as many as hold MOST_WORDS words together; a longer text
+is never among them, and of several texts of an id one is. Scoring reads every whole
+text, in blocks of a chain product.
 
 Edge cases: null and empty texts have no word and the score of a text without
-any sign. Labels that are null are not used; of repeated label rows the largest
+any sign. Very long texts are one chain, scored whole. Labels that are null are not used; of repeated label rows the largest
 counts. With no toxic or no clean label, every score is 0. Repeated rows each get
 a row; an empty table gives an empty result; other columns are not looked at.
 """
@@ -28,13 +30,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, ship, table, text_bytes
+from tidemark.llm.common import crc_mod, ship, table, text_bytes, word_count
 
-#: Labelled rows of each label that training reads at most.
-MOST_LABELLED = 2000
+#: Labelled rows of each label, and words of these, that training reads at most.
+MOST_LABELLED, MOST_WORDS = 2000, 2_000_000
 FEATURES = 1 << 18
 PREFIXES, SUFFIX = (3, 4, 5, 6), 3
 #: Log-likelihood that a mark needs, and the share of its contexts in toxic texts.
@@ -238,18 +240,23 @@ def _fit(crf: Crf, windows: list[tuple[list[str], list[bool]]], random: np.rando
     crf.weights, crf.bias, crf.start, crf.trans = weights[:FEATURES], float(other[0]), float(other[1]), other[2:].reshape(2, 2)
 
 
-def read_sample(docs: DataFrame, labels: DataFrame, in_training: Column, most: int = MOST_LABELLED) -> tuple[list[list[str]], list[bool], tuple[float, float]]:
-    """Words and labels of at most ``most`` rows of each label (a fixed bound), and how many rows each stands for."""
-    own = labels.where(in_training & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.max("toxic").alias("toxic"))
-    sizes = {bool(r.toxic): r.n for r in own.groupBy((F.col("toxic") == 1).alias("toxic")).agg(F.count("*").alias("n")).collect()}
-    picked = [own.where((F.col("toxic") == 1) == F.lit(t)).orderBy(F.xxhash64("label_id"), "label_id").limit(most) for t in (False, True)]
+def read_sample(docs: DataFrame, labels: DataFrame, in_training: Column, most: int = MOST_LABELLED, most_words: int = MOST_WORDS) -> tuple[list[list[str]], list[bool], tuple[float, float]]:
+    """Words and labels of at most ``most`` rows and ``most_words`` words of each label (fixed bounds),
+    and how many rows each stands for."""
+    own = labels.where(in_training & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.max("toxic") == 1).alias("toxic"))
+    sizes = {r.toxic: r.n for r in own.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    place = lambda: (F.xxhash64("label_id"), F.col("label_id"))
+    picked = [own.where(F.col("toxic") == F.lit(t)).orderBy(*place()).limit(most) for t in (False, True)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).join(ids, F.col("doc_id") == F.col("label_id")).select("label_id", "text", "toxic").orderBy("label_id", "text").collect()
-    toxic = [r.toxic == 1 for r in rows]
+    texts = docs.select(F.col("doc_id").cast("long").alias("label_id"), text_bytes().alias("text"), word_count().alias("n")).where(F.col("n") <= most_words).join(ids, "label_id")
+    # one text an id: at most two times ``most`` rows go on
+    one = texts.groupBy("label_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "n")).alias("t")).select("label_id", "toxic", "t.text", "t.n")
+    upto = F.sum("n").over(Window.partitionBy("toxic").orderBy(*place()).rowsBetween(Window.unboundedPreceding, 0))
+    rows = sorted(one.withColumn("upto", upto).where(F.col("upto") <= most_words).select("label_id", "toxic", "text").collect(), key=lambda r: r.label_id)
+    toxic = [r.toxic for r in rows]
     rates = tuple(sizes.get(t, 0) / max(1, toxic.count(t)) for t in (False, True))
     known: dict[bytes, str] = {}  # one string for each distinct word
-    texts = [[known[w] if w in known else known.setdefault(w, plain(w)) for w in bytes(r.text).split()] for r in rows]
-    return texts, toxic, rates
+    return [[known[w] if w in known else known.setdefault(w, plain(w)) for w in bytes(r.text).split()] for r in rows], toxic, rates
 
 
 def score_documents(docs: DataFrame, crf: Crf | None, key: Column | None = None) -> DataFrame:
