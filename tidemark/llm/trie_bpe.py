@@ -5,12 +5,16 @@ p. The encoding of p is the encoding of p without that token, then the token;
 and the token is the one suffix t of p for which the pair (last(p - t), t) is
 left alone by the merges. So a prefix needs only the states of shorter prefixes,
 and these are shared by all words that begin alike: the distinct new words of a
-batch go into a trie, and a depth-first walk gives each node its state once.
+batch go into a trie, and a depth-first walk gives each node its state once. The
+trie is held as its words in depth-first order, that is sorted: the nodes that a
+word shares with the one before are their common prefix. So the walk holds the
+states on one path alone, 4 bytes for each byte of a very long pre-token.
 
 Texts are cut at the added tokens, then into pre-tokens by the library's own
 pattern. Encodings of distinct pre-tokens are kept in a bounded table.
 
-Edge cases: null counts as empty text, without tokens. Texts are read whole;
+Edge cases: null counts as empty text, without tokens. Texts are read whole, very
+long ones and long pre-tokens too; of merges of one rank the leftmost goes first;
 repeated rows each get a row; an empty table gives an empty result; other
 columns are not looked at.
 """
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +40,8 @@ TOKENIZER = "byte_bpe_50k.json"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Pre-tokens and pairs that a Python worker keeps; longer pre-tokens are not kept.
 KEPT, KEPT_PAIRS, KEPT_LENGTH = 1_000_000, 800_000, 48
+#: Beyond so many bytes the states of a path are held in 4 bytes each.
+LONG_PATH = 1 << 16
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -91,46 +98,39 @@ class Bpe:
         return found
 
     def walk(self, words: list[bytes]) -> dict[bytes, list[int]]:
-        """Encodings of distinct words through one trie."""
-        children: list[dict[int, int]] = [{}]
-        owners: list[bytes] = [b""]  # some word through each node
-        ends: dict[int, bytes] = {}
-        for word in words:
-            node = 0
-            for byte in word:
-                step = children[node].get(byte)
-                if step is None:
-                    step = children[node][byte] = len(children)
-                    children.append({})
-                    owners.append(word)
-                node = step
-            ends[node] = word
+        """Encodings of distinct words through one trie, depth first."""
         out: dict[bytes, list[int]] = {}
-        last = [-1]  # last[d]: last token of the prefix of length d
-        stack = [(child, 1) for child in children[0].values()]
+        words = sorted(words)
+        # last[d]: last token of the prefix of length d, on the path to the current node
+        last = array("i", [-1]) if max(map(len, words), default=0) > LONG_PATH else [-1]
         token_of, pair, stands, longest, bytes_of = self.suffix_ids.get, self._pairs.get, self.stands, self.longest, self.bytes_of
-        while stack:
-            node, depth = stack.pop()
-            del last[depth:]
-            word = owners[node]
-            for start in range(max(0, depth - longest), depth):
-                token = token_of(word[start:depth])
-                if token is not None:
-                    if start:
-                        fits = pair((last[start], token))
-                        if not (stands(last[start], token) if fits is None else fits):
-                            continue
-                    last.append(token)
-                    break
-            if node in ends:
-                ids, d = [], depth
-                while d:
-                    ids.append(last[d])
-                    d -= len(bytes_of[last[d]])
-                out[ends[node]] = ids[::-1]
-            depth += 1
-            for child in children[node].values():
-                stack.append((child, depth))
+        before = b""
+        for word in words:
+            depth, most = 0, min(len(before), len(word))
+            if word[:most] == before[:most]:
+                depth = most
+            else:
+                while word[depth] == before[depth]:
+                    depth += 1
+            before = word
+            del last[depth + 1 :]
+            for depth in range(depth + 1, len(word) + 1):
+                for start in range(max(0, depth - longest), depth):
+                    token = token_of(word[start:depth])
+                    if token is not None:
+                        if start:
+                            fits = pair((last[start], token))
+                            if not (stands(last[start], token) if fits is None else fits):
+                                continue
+                        last.append(token)
+                        break
+            ids, depth = [], len(word)
+            while depth:
+                token = last[depth]
+                ids.append(token)
+                depth -= len(bytes_of[token])
+            ids.reverse()
+            out[word] = ids
         return out
 
     def pre_tokens(self, text: str) -> list[str | int]:
