@@ -1,21 +1,22 @@
 """Mixing sources to target weights by weighted fair queueing, in DataFrame functions alone.
 
-The documents of a source stand in a shuffled queue (by md5 of the id) that is
+The documents of a source stand in a shuffled queue (by md5 of id and text) that is
 read up to twice. A copy's virtual finish time is its source's cumulative words,
 this copy included, divided by the source's target. All copies are range-sorted
-by that time and cut at the total budget, so every source has come equally far
-when the budget ends.
+globally by that time and truncated at the total budget, so every source has come
+equally far when the budget ends: the words of each range are summed, the range in
+which the budget ends is summed row by row, and the last copy that fits is the cut.
 
 No sort or window runs over a whole source: queues are cut into slices by the
 leading digits of the md5, and slice totals are summed first, so a source with
-a third of all rows is spread over as many tasks as there are slices. The cut is
-found in the same way: totals of equal steps of virtual time, then one window
-over the step in which the budget ends.
+a third of all rows is spread over as many tasks as there are slices; the sort's
+ranges are as many as there are shuffle partitions.
 
 Edge cases: a null text has no words; a null source is a source of its own and
 comes last; documents without words are taken 0 words; repeated rows stand side
-by side in the queue; an empty table, or one without words, takes nothing; other
-columns are not looked at. Documents are taken whole.
+by side in the queue; ties of the finish time go by source, then by place in the
+queue; an empty table, or one without words, takes nothing; other columns are not
+looked at. Documents are taken whole, very long ones too.
 """
 
 from __future__ import annotations
@@ -23,12 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged, table, word_count
+from tidemark.llm.common import staged, table, text_bytes, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_REPEATS = 2
-#: Rows that one slice of a queue, or one step of virtual time, should hold.
+#: Rows that one slice of a queue should hold.
 SLICE_ROWS = 20_000
 
 
@@ -71,7 +72,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     """doc_id, source, size, source_size, target, taken of every row of docs (doc_id, text, source),
     and ``key`` if it is given."""
     more = [] if key is None else ["key"]
-    h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    h = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text_bytes())).cast("binary"))
     rows = staged(docs.select("doc_id", "source", word_count().alias("size"), h.alias("h"), *([] if key is None else [key.alias("key")])), "mix-rows")
     digits = _digits(rows.count())
     rows = rows.withColumn("slice", F.substring("h", 1, digits))
@@ -82,7 +83,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     own = Window.partitionBy("source", "slice").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("inside", F.sum("size").over(own)).join(starts, (F.col("slice") == F.col("own_slice")) & F.col("source").eqNullSafe(F.col("slice_source")))
     placed = staged(placed.select("doc_id", "source", "size", "h", "place", "source_size", "target", "budget", (F.col("start") + F.col("inside")).alias("end"), *more), "mix-queues")
-    cut = _cut(placed, 256 * 16 ** (digits - 1))
+    cut = _cut(in_order(placed))
     taken = F.lit(0).cast("long")
     if cut is not None:
         last = F.struct(F.lit(cut["finish"]).alias("finish"), F.lit(cut["place"]).alias("place"), F.lit(cut["h"]).alias("h"), F.lit(cut["size"]).cast("long").alias("size"))
@@ -91,22 +92,28 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *more)
 
 
-def _cut(placed: DataFrame, steps: int) -> dict | None:
-    """The last copy that the budget holds, None if it holds none."""
+ORDER = ("finish", "place", "h", "size")
+
+
+def in_order(placed: DataFrame) -> DataFrame:
+    """All copies, range-sorted by virtual finish time: part numbers the ranges."""
     copies = placed.select(F.explode(F.array(*map(_key, range(MOST_REPEATS)))).alias("k"), "budget").select("k.*", "budget").where("finish is not null")
-    copies = copies.withColumn("step", F.floor(F.least(F.col("finish"), F.lit(float(MOST_REPEATS + 1))) * steps))
-    upto = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    # one row for each step: at most steps * (MOST_REPEATS + 1), however many documents
-    totals = copies.groupBy("step").agg(F.sum("size").alias("n"), F.max("budget").alias("budget")).withColumn("upto", F.sum("n").over(upto))
-    over = totals.where("upto > budget").orderBy("step").first()
+    return staged(copies.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).withColumn("part", F.spark_partition_id()), "mix-order")
+
+
+def _cut(ordered: DataFrame) -> dict | None:
+    """The last copy that the budget holds, None if it holds none."""
+    last = lambda rows: rows.agg(F.max(F.struct(*ORDER)).alias("k")).first().k
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    # one row for each range of the sort, however many documents
+    totals = ordered.groupBy("part").agg(F.sum("size").alias("n"), F.max("budget").alias("budget")).withColumn("upto", F.sum("n").over(upto))
+    over = totals.where("upto > budget").orderBy("part").first()
     if over is None:
-        best = copies.agg(F.max(F.struct("finish", "place", "h", "size")).alias("k")).first().k
+        best = last(ordered)
         return best and best.asDict()
-    inside = Window.partitionBy("step").orderBy("finish", "place", "h", "size").rowsBetween(Window.unboundedPreceding, 0)
-    fits = copies.where(F.col("step") == over.step).withColumn("upto", F.sum("size").over(inside) + (over.upto - over.n)).where(F.col("upto") <= F.col("budget"))
-    best = fits.agg(F.max(F.struct("finish", "place", "h", "size")).alias("k")).first().k
-    if best is None:
-        best = copies.where(F.col("step") < over.step).agg(F.max(F.struct("finish", "place", "h", "size")).alias("k")).first().k
+    inside = Window.partitionBy("part").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    fits = ordered.where(F.col("part") == over.part).withColumn("upto", F.sum("size").over(inside) + (over.upto - over.n)).where(F.col("upto") <= F.col("budget"))
+    best = last(fits) or last(ordered.where(F.col("part") < over.part))
     return best and best.asDict()
 
 
@@ -116,7 +123,7 @@ def op9_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = f"""
 with r as (select row_number() over () as k, doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size,
-                  md5(coalesce(cast(doc_id as varchar), '')) as h from documents),
+                  md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as h from documents),
 s as (select source, cast(sum(size) as bigint) as source_size from r group by source),
 p as (select *, row_number() over (order by source nulls last) as place from s),
 w as (select *, cast([5, 2, 1][(place - 1) % 3 + 1] as double) as weight, source_size * 2.0::double as cap from p),
