@@ -1,7 +1,7 @@
 """Exact dedup by Grace hash partitioning.
 
 1. Every text is normalised (the six blank characters deleted) and digested; the
-   digests (44 bytes a row) are written to the shared folder.
+   digests (52 bytes a row) are written to the shared folder.
 2. From the digests' sizes a partition tree is planned: a bucket of distinct
    content that would exceed ``leaf_bytes`` is split by its next digest bits,
    recursively, until each leaf fits. The tree holds one entry for each inner
@@ -16,8 +16,9 @@
 
 Edge cases: null counts as empty text; all texts without other characters are
 equal. Of repeated rows (same id, same text) one is kept. Null ids lose every
-tie. An empty table gives an empty result; other columns are not looked at.
-Two different contents with one SHA-256 raise ValueError: none are known.
+tie. A very long text is one record, held whole by the task that compares it. An
+empty table gives an empty result; other columns are not looked at. Rows of hot
+texts find their group without meeting in one task. Two different contents with one SHA-256 raise ValueError: none are known.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship, shuffle_partitions, staged, table, text_bytes
+from tidemark.llm.common import join_hot, ship, shuffle_partitions, staged, table, text_bytes
 
 LEAF_BYTES = 64 << 20
 #: What a task's folding table may hold before it hands its records on.
@@ -176,15 +177,15 @@ def exact_groups(docs: DataFrame, leaf_bytes: int = LEAF_BYTES, hash_bits: int =
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), text_bytes().alias("text"))
-    digests = staged(digest_rows(rows), "grace-digests")
+    digests = staged(digest_rows(rows).withColumn("row", F.monotonically_increasing_id()), "grace-digests")
     inner, total = plan_leaves(digests, leaf_bytes)
     n_parts = max(shuffle_partitions(spark), -(-total // leaf_bytes))
-    groups = distinct_contents(rows, inner, n_parts, hash_bits)
-    # of repeated rows of the id that stays, one stays; no sort runs over a hot group
-    copy = F.row_number().over(Window.partitionBy("sha", "doc_id").orderBy(F.col("n_chars").desc()))
-    joined = digests.withColumn("copy", copy).join(groups, "sha")
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars")) & (F.col("copy") == 1)
-    return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    # of repeated rows of the id that stays, one stays: the least row, as an aggregate
+    least = F.min(F.struct((-F.col("n_chars")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("least")
+    groups = distinct_contents(rows, inner, n_parts, hash_bits).join(digests.groupBy("sha").agg(least), "sha")
+    groups = staged(groups.select("sha", "keep_id", "group_size", F.col("least.row").alias("keep_row")), "grace-groups")
+    joined = join_hot(digests, groups, "sha", "group_size", digests.count())
+    return joined.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def op3_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
