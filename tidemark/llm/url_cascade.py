@@ -1,6 +1,7 @@
 """URL filters by a Bloom filter cascade.
 
-Listed keys are host names; a key stands for its host and every subdomain.
+Listed keys are host names; a key stands for its host and every subdomain, so a
+host is looked up by its endings of as many labels as listed keys have.
 Level 0 encodes the listed keys. The keys of the corpus that are not listed and
 yet hit level 0 are its false positives; level 1 encodes them. The listed keys
 that hit level 1 are encoded by level 2, and so on, until a level has no false
@@ -13,8 +14,10 @@ set of level 1 is about as large as the list; the others take 1/2. The filters
 are bounded by ``max_bytes``; a longer list raises ValueError.
 
 Edge cases: a null url, or one without ``://``, has empty host and path, fits no
-rule and is allowed. Repeated rows are judged alike; an empty table gives an
-empty result; other columns are not looked at.
+rule and is allowed. Of rules that fit, the longest wins, of equally long ones that
+with the longer host. Very long urls are judged whole, in
+time in proportion to their length. Repeated rows are judged alike; an empty table
+gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship, staged, table
+from tidemark.llm.common import gather_bits, ship, staged, table
 
 MAX_FILTER_BYTES = 64 << 20
 
@@ -55,15 +58,8 @@ RULES = (
     Rule("org", "/es/", "block"),
 )
 
-#: The listed keys of the production query.
-LISTED_HOSTS = (
-    "ads-track.example.com",
-    "adult-x.example.com",
-    "casino-win.example.net",
-    "cheap-pills.example.net",
-    "free-bets.example.net",
-    "spam-farm.example.org",
-)
+#: The listed keys of the production query: each name under every ending.
+LISTED_HOSTS = tuple(f"{name}.example.{ending}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for ending in ("com", "net", "org"))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -78,20 +74,17 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def longest_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column, Column]:
     """The rule text and the verdict of the longest fitting rule, null without one."""
     text, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda r: len(r.text)):
+    for rule in sorted(rules, key=lambda r: (len(r.text), len(r.host))):
         fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
         text = F.when(fits, rule.text).otherwise(text)
         verdict = F.when(fits, rule.verdict).otherwise(verdict)
     return text, verdict
 
 
-def parents(host: str) -> list[str]:
-    """The host and every domain above it."""
-    out = [host]
-    while "." in host:
-        host = host.split(".", 1)[1]
-        out.append(host)
-    return out
+def endings(host: str, depths: tuple[int, ...]) -> list[str]:
+    """The domains of the host with so many labels."""
+    labels = host.split(".")
+    return [".".join(labels[-d:]) for d in depths if d <= len(labels)]
 
 
 @dataclass
@@ -114,7 +107,10 @@ class Level:
 
 @dataclass
 class Cascade:
+    """depths: the numbers of labels of listed keys."""
+
     levels: list[Level]
+    depths: tuple[int, ...] = ()
 
     def __contains__(self, key: str) -> bool:
         for i, level in enumerate(self.levels):
@@ -123,7 +119,7 @@ class Cascade:
         return len(self.levels) % 2 == 1
 
     def lists(self, host: str) -> bool:
-        return any(key in self for key in parents(host) if key)
+        return any(key in self for key in endings(host, self.depths) if key)
 
 
 def _shape(n_keys: int, rate: float, max_bytes: int) -> tuple[int, int]:
@@ -138,20 +134,12 @@ def _build_level(keys: DataFrame, n_keys: int, rate: float, seed: int, max_bytes
     bits, probes = _shape(n_keys, rate, max_bytes)
     empty = Level(np.zeros(0, np.uint64), bits, probes, seed)
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[int, int] = {}
-            for key in batch.column(0).to_pylist():
-                for p in empty.probes(key):
-                    found[p >> 6] = found.get(p >> 6, 0) | 1 << (p & 63)
-            masks = np.array(list(found.values()), np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(masks)], ["word", "mask"])
+            found = {p for key in batch.column(0).to_pylist() for p in empty.probes(key)}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64())], ["place"])
 
-    rows = keys.mapInArrow(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).collect()
-    filled = np.zeros((bits + 63) // 64, np.uint64)
-    for word, mask in rows:
-        filled[word] = np.uint64(mask & 0xFFFFFFFFFFFFFFFF)
-    return Level(filled, bits, probes, seed)
+    return Level(gather_bits(keys.mapInArrow(places, "place long"), bits), bits, probes, seed)
 
 
 def _hits(keys: DataFrame, level: Level) -> DataFrame:
@@ -165,10 +153,15 @@ def _hits(keys: DataFrame, level: Level) -> DataFrame:
     return keys.mapInArrow(keep, "key string")
 
 
-def key_universe(hosts: DataFrame) -> DataFrame:
-    """Every distinct host of column ``host`` and every domain above it."""
-    parts = F.split("host", r"\.")
-    keys = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+def label_depths(listed: DataFrame) -> tuple[int, ...]:
+    """The different numbers of labels of the listed keys: a name has 127 at most."""
+    return tuple(sorted(r[0] for r in listed.where("key is not null").select(F.size(F.split("key", r"\."))).distinct().collect()))
+
+
+def key_universe(hosts: DataFrame, depths: tuple[int, ...]) -> DataFrame:
+    """Every distinct domain with so many labels of the hosts in column ``host``."""
+    labels = F.size(F.split("host", r"\."))
+    keys = F.array(*(F.when(labels >= d, F.substring_index("host", ".", -d)) for d in depths)).cast("array<string>")
     return hosts.where("host <> ''").distinct().select(F.explode(keys).alias("key")).where("key <> ''").distinct()
 
 
@@ -179,6 +172,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_F
     n_in = inside.count()
     if not n_in:
         return Cascade([])
+    depths = label_depths(inside)
     outside = staged(universe.select("key").join(inside, "key", "left_anti"), "cascade-others")
     rate = min(0.5, n_in / (1.41 * max(1, outside.count())))
     levels: list[Level] = []
@@ -187,7 +181,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_F
         wrong = staged(_hits(outside, levels[-1]), "cascade-level")
         n_wrong = wrong.count()
         if not n_wrong:
-            return Cascade(levels)
+            return Cascade(levels, depths)
         inside, outside, n_in = wrong, inside, n_wrong
     raise ValueError("the cascade does not end: the listed keys and the universe overlap")
 
@@ -198,7 +192,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: tuple[Rule, ...] = RU
     ship(spark)
     host, path = host_and_path(F.col("url"))
     cut = pages.select("page_id", host.alias("host"), path.alias("path"))
-    cascade = spark.sparkContext.broadcast(build_cascade(listed, key_universe(cut.select("host"))))
+    cascade = spark.sparkContext.broadcast(build_cascade(listed, key_universe(cut.select("host"), label_depths(listed))))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +217,7 @@ def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    ordered = sorted(RULES, key=lambda r: -len(r.text))
+    ordered = sorted(RULES, key=lambda r: (-len(r.text), -len(r.host)))
     fits = [(r, f"(host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')") for r in ordered]
     listed = " or ".join(f"host = '{h}' or ends_with(host, '.{h}')" for h in LISTED_HOSTS)
     return f"""
