@@ -18,8 +18,11 @@ the mix, its source) alone: an id may stand beside several texts, and a null id
 an id like others. Of a group's rows with the smallest id, or with null ids alone,
 the one with the least digest of the text stays.
 
-Edge cases: null texts count as empty. An empty folder gives empty results. Extra
-columns of documents are carried along, whatever their names.
+Edge cases: null texts count as empty. Repeated rows, alike in id and text, are one
+document for exact_dedup: of those with the most code points the one with the least
+hash of all its columns stays. Very long texts are judged whole in every stage. Empty
+tables give empty results, and without labels nothing is toxic. Extra columns of
+documents are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -59,7 +62,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = grace_dedup.exact_groups(docs).where("kept").select(key(F.col("text_sha256")).alias(_KEY)).distinct()
     # of repeated rows one stays (rows with one id and text differ in other columns or blanks at most);
     # most of a hot one's rows go before the shuffle, and the join finds the rows where the window left them
-    longest = F.row_number().over(fair_mix.Window.partitionBy(_ID).orderBy(F.length("text").desc_nulls_last()))
+    longest = F.row_number().over(fair_mix.Window.partitionBy(_ID).orderBy(F.length("text").desc_nulls_last(), F.xxhash64(*docs.columns)))
     first = docs.withColumn(_ID, key(sha)).withColumn(_ID + "_place", longest).where(F.col(_ID + "_place") == 1)
     return first.join(kept, F.col(_ID) == F.col(_KEY)).drop(_ID, _KEY, _ID + "_place")
 
@@ -89,7 +92,7 @@ STAGES = [
     ("bpe", bpe),
 ]
 
-#: The random field and the tokenizer are beyond SQL; tests hold each stage against a brute-force version.
+#: The random field and the tokenizer are beyond SQL; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 
