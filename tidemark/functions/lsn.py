@@ -6,6 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def from_text(text: str) -> int:
+    """A position outside of a query; ``X/Y``."""
+    high, _, low = text.partition("/")
+    return (int(high, 16) << 32) + int(low, 16)
+
+
 def parse_lsn(text: Column) -> Column:
     half = lambda i: F.conv(F.split(text, "/")[i], 16, 10).cast("bigint")
     return half(0) * F.lit(4294967296) + half(1)

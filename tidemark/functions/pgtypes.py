@@ -24,6 +24,21 @@ SPARK_TYPES = {
 }
 
 
+#: Object ids of the source's own types and, where there is one, of their arrays.
+TYPE_OIDS = {
+    "boolean": (16, 1000), "bytea": (17, 1001), "bigint": (20, 1016), "smallint": (21, 1005), "integer": (23, 1007), "text": (25, 1009), "json": (114, 199),
+    "real": (700, 1021), "double precision": (701, 1022), "inet": (869, 1041), "character": (1042, 1014), "character varying": (1043, 1015), "date": (1082, 1182),
+    "time without time zone": (1083, 1183), "timestamp without time zone": (1114, 1115), "timestamp with time zone": (1184, 1185), "interval": (1186, 1187),
+    "time with time zone": (1266, 1270), "numeric": (1700, 1231), "uuid": (2950, 2951), "jsonb": (3802, 3807),
+}
+_OF_OID = {oid: name + "[]" * i for name, oids in TYPE_OIDS.items() for i, oid in enumerate(oids)}
+
+
+def type_name(oid: int) -> str:
+    """The type of an object id; of types that aren't the source's own, text."""
+    return _OF_OID.get(oid, "text")
+
+
 @dataclass(frozen=True)
 class SourceType:
     base: str
@@ -100,14 +115,37 @@ def unsigned(v: Column, bits: int) -> Column:
     """An unsigned number in the next wider type; out of range is an error."""
     wide = v.cast("decimal(38,0)")
     kind = {8: "smallint", 16: "int", 32: "bigint", 64: "decimal(20,0)"}[bits]
-    return F.when((wide >= 0) & (wide < 2**bits), wide.cast(kind)).when(v.isNotNull(), F.raise_error(F.concat(F.lit("out of range: "), v)).cast(kind))
+    return F.when((wide >= 0) & (wide < F.lit(str(2**bits)).cast("decimal(38,0)")), wide.cast(kind)).when(v.isNotNull(), F.raise_error(F.concat(F.lit("out of range: "), v)).cast(kind))
+
+
+#: Items of an array's text: quoted ones, with escapes, or plain ones.
+_ITEMS = r'"(?:[^"\\]|\\.)*"|[^,{}"]+'
 
 
 def array_items(v: Column, item: SourceType, compat: bool = False) -> Column:
-    """``{1,2,NULL}`` without quoted or nested items."""
-    items = F.split(F.substr(v, F.lit(2), F.length(v) - 2), ",")
-    items = F.when(v == "{}", F.array().cast("array<string>")).otherwise(items)
-    return F.transform(items, lambda x: convert(F.when(x != "NULL", x), item, compat))
+    """``{1,NULL,"a,b"}``: quoted items keep what they hold; arrays of arrays are an error."""
+    flat = F.when(~F.substr(v, F.lit(2)).startswith("{"), v).when(v.isNotNull(), F.raise_error(F.concat(F.lit("an array of arrays: "), v)).cast("string"))
+    items = F.regexp_extract_all(F.substr(flat, F.lit(2), F.length(flat) - 2), F.lit(f"(?s){_ITEMS}"), F.lit(0))
+    quoted = lambda x: F.regexp_replace(F.substr(x, F.lit(2), F.length(x) - 2), r"(?s)\\(.)", "$1")
+    text = lambda x: F.when(x.startswith('"'), quoted(x)).when(F.upper(x) != "NULL", x)
+    return F.transform(items, lambda x: convert(text(x), item, compat))
+
+
+#: Targets that are narrower than their source type, or without sign: bits.
+UNSIGNED = {"UInt8": 8, "UInt16": 16, "UInt32": 32, "UInt64": 64}
+_WHOLE = ("smallint", "integer", "bigint", "numeric", "decimal")
+
+
+def to_target(v: Column, t: SourceType, target: str, compat: bool = False) -> Column:
+    """Text to the type of an existing target column: whole numbers take the target's range,
+    other values what their own type gives."""
+    base, is_array, _ = parse_target_type(target)
+    if not is_array and not t.is_array and t.base in _WHOLE:
+        if base in UNSIGNED:
+            return unsigned(v, UNSIGNED[base])
+        if base == "Int8":
+            return v.cast("tinyint")
+    return convert(v, t, compat)
 
 
 def convert(v: Column, t: SourceType, compat: bool = False) -> Column:
@@ -137,6 +175,10 @@ def convert(v: Column, t: SourceType, compat: bool = False) -> Column:
     return v if kind == "string" else v.cast(kind)
 
 
+def quoted_identifier(text: str) -> str:
+    return '"' + text.replace('"', '""') + '"'
+
+
 def not_null(v: Column, name: str) -> Column:
     return F.coalesce(v, F.raise_error(F.lit(f"null in column {name}, which allows none")))
 

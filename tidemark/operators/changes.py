@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.pgtypes import convert, not_null, parse_source_type
+from tidemark.functions.pgtypes import convert, not_null, parse_source_type, to_target
 
 
 def route(changes: DataFrame, tables: DataFrame) -> DataFrame:
@@ -34,18 +34,32 @@ def project(source: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return source.select(*(F.col(a).alias(b) for a, b in mapping.items()))
 
 
-def typed_row(cells: Column, old: Column | None, columns: list[tuple[str, str, bool]], compat: bool = False) -> Column:
-    """Struct of typed values. columns: target name, source type, nullable. An
-    unchanged cell takes the old image's value, unless compat, where it is empty."""
+def cell_of(cells: Column, name: str, names: Column | None, i: int) -> Column:
+    """The cell of a source column: by its name in the relation that the row came with, or
+    by place. A column that the relation lacks is an error."""
+    if names is None:
+        return F.get(cells, F.lit(i))
+    place = F.array_position(names, name)
+    gone = F.raise_error(F.concat(F.lit(f"column {name} isn't among "), F.array_join(names, ", "))).cast("bigint")
+    return F.get(cells, F.when(place > 0, place - 1).otherwise(gone).cast("int"))
+
+
+def typed_row(cells: Column, old: Column | None, columns: list[tuple[str, str, bool]], compat: bool = False, names: Column | None = None, sources: list[str] | None = None, targets: list[str] | None = None) -> Column:
+    """Struct of typed values. columns: target name, source type, nullable. An unchanged
+    cell takes the old image's value, unless compat, where it is empty. With ``names``,
+    the columns of the row's own relation, cells are found by the names in ``sources``, so
+    that new and moved source columns do no harm. targets: types of existing target columns."""
     fields = []
     for i, (name, kind, nullable) in enumerate(columns):
-        cell = F.get(cells, i) if isinstance(i, Column) else F.get(cells, F.lit(i))
+        source = sources[i] if sources else name
+        cell = cell_of(cells, source, names, i)
         text = F.when(cell["kind"] == "t", cell["value"])
         if compat:
             text = F.when(cell["kind"] == "u", "").otherwise(text)
         elif old is not None:
-            text = F.when(cell["kind"] == "u", F.get(old, F.lit(i))["value"]).otherwise(text)
-        value = convert(text, parse_source_type(kind), compat)
+            text = F.when(cell["kind"] == "u", cell_of(old, source, names, i)["value"]).otherwise(text)
+        t = parse_source_type(kind)
+        value = to_target(text, t, targets[i], compat) if targets else convert(text, t, compat)
         fields.append((value if nullable else not_null(value, name)).alias(name))
     return F.struct(*fields)
 
@@ -64,21 +78,66 @@ def all_same(pairs: list[tuple[str, str]], compat: bool = False) -> Column:
     return out
 
 
+#: Rows that a stretch of positions should hold.
+STRETCH = 20_000
+
+
+def stretch(rows: DataFrame, position: str) -> Column:
+    """Numbers stretches of positions, equally wide, with STRETCH rows each on average, so that
+    no window needs all rows of a table, or of the stream, in one task."""
+    r = rows.agg(F.min(position).alias("low"), F.max(position).alias("high"), F.count("*").alias("n")).first()
+    if not r.n:
+        return F.lit(0).cast("bigint")
+    return F.expr(f"({position} - {r.low}) div {max(1, -(-(r.high - r.low + 1) * STRETCH // r.n))}")
+
+
 def relation_as_of(changes: DataFrame, relations: DataFrame) -> DataFrame:
     """Each change with the latest relation message of its oid before it. Both have
-    rel_oid and wal_start; relations also layout."""
+    rel_oid and wal_start; relations also layout. Inside a stretch of positions a window
+    finds it; what a stretch begins with is carried from the last one that has a message."""
     marked = changes.withColumn("layout", F.lit(None).cast(relations.schema["layout"].dataType)).withColumn("__rel", F.lit(1))
     both = marked.unionByName(relations.select("rel_oid", "wal_start", "layout", F.lit(0).alias("__rel")), allowMissingColumns=True)
-    upto = Window.partitionBy("rel_oid").orderBy("wal_start", "__rel").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("layout", F.last("layout", ignorenulls=True).over(upto)).where("__rel = 1").drop("__rel")
+    both = both.withColumn("__stretch", stretch(both, "wal_start"))
+    keys = ["rel_oid", "__stretch"]
+    carry = Window.partitionBy("rel_oid").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    # a row for each table and stretch
+    ends = both.groupBy(*keys).agg(F.max_by("layout", F.when(F.col("__rel") == 0, F.col("wal_start"))).alias("__end"))
+    ends = ends.select(*keys, F.last("__end", ignorenulls=True).over(carry).alias("__carried"))
+    upto = Window.partitionBy(*keys).orderBy("wal_start", "__rel").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("layout", F.last("layout", ignorenulls=True).over(upto)).where("__rel = 1").join(ends, keys)
+    return found.withColumn("layout", F.coalesce("layout", "__carried")).drop("__rel", "__stretch", "__carried")
 
 
 def transactions(changes: DataFrame) -> DataFrame:
-    """commit_lsn, n_changes, tables, has_truncate of every non-empty transaction."""
+    """commit_lsn, n_changes, n_tables, has_truncate of every transaction that changed something."""
     return changes.groupBy("commit_lsn").agg(F.count("*").alias("n_changes"), F.count_distinct("table_name").alias("n_tables"), F.bool_or(F.col("op") == "T").alias("has_truncate"))
 
 
+def transaction_effects(changes: DataFrame, state: DataFrame, threshold: int) -> DataFrame:
+    """For every transaction: is_empty (nothing lies beyond its table's position, and no table is
+    truncated, even one that is skipped), dirty (names of the tables that it changes) and
+    wants_flush (some table gets ``threshold`` changes or more). state: table_name, table_lsn."""
+    applied = F.col("commit_lsn") > F.coalesce("table_lsn", F.lit(-1))
+    by_table = changes.join(state, "table_name", "left").groupBy("commit_lsn", "table_name").agg(F.count_if(applied).alias("n"), F.bool_or(F.col("op") == "T").alias("has_truncate"))
+    return by_table.groupBy("commit_lsn").agg(
+        (~(F.bool_or(F.col("n") > 0) | F.bool_or("has_truncate"))).alias("is_empty"),
+        F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.col("table_name")))).alias("dirty"),
+        F.bool_or(F.col("n") >= threshold).alias("wants_flush"),
+    )
+
+
 def with_generation(changes: DataFrame, base: int = 0) -> DataFrame:
-    """The generation before its transaction: the window runs over transactions, not rows."""
-    clock = changes.select("commit_lsn").distinct().withColumn("generation", (F.lit(base) + F.row_number().over(Window.orderBy("commit_lsn")) - 1).cast("bigint") % 4294967296)
+    """The generation before its transaction, from the number of transactions before it: those
+    of earlier stretches of positions, then those of its own."""
+    commits = changes.select("commit_lsn").distinct()
+    commits = commits.withColumn("__stretch", stretch(commits, "commit_lsn"))
+    before = Window.orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)  # a row for each stretch
+    starts = commits.groupBy("__stretch").agg(F.count("*").alias("n")).select("__stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__stretch").orderBy("commit_lsn")) - 1
+    clock = commits.join(starts, "__stretch").select("commit_lsn", ((F.lit(base) + F.col("__start") + place) % 4294967296).cast("bigint").alias("generation"))
     return changes.join(clock, "commit_lsn")
+
+
+def with_row_ids(rows: DataFrame) -> DataFrame:
+    """The arrival number of every row of a log in its transaction."""
+    return rows.withColumn("row_id", (F.row_number().over(Window.partitionBy("commit_lsn").orderBy("seq", "sub")) - 1).cast("bigint"))

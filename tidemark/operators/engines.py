@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import all_same
@@ -104,10 +104,14 @@ def snapshot_and_stream(snapshot: DataFrame, stream: DataFrame, snapshot_lsn: in
 
 
 def compact(engine: ReplacingEngine | CollapsingEngine, log: DataFrame) -> DataFrame:
-    """The log with what its own rows make obsolete left out; its current state is the same."""
+    """The log with what its own rows make obsolete left out; its current state is the same.
+    Rows before a truncate have to be gone already (after_truncates): what it removed must
+    not cancel what came later. A row that is left keeps its last position, so truncates
+    that come after it still find it."""
     if isinstance(engine, ReplacingEngine):
-        order = Window.partitionBy(*engine.keys).orderBy(F.desc("ver"), F.desc("seq"), F.desc("sub"))
-        return log.withColumn("__r", F.row_number().over(order)).where("__r = 1").drop("__r")
-    sums = log.groupBy(*engine.columns).agg(F.sum("sign").alias("n"), F.max("commit_lsn").alias("commit_lsn"), F.max("seq").alias("seq"))
+        rest = [c for c in log.columns if c not in engine.keys]
+        best = F.max_by(F.struct(*rest), F.struct("ver" if "ver" in rest else engine.extra[0], "seq", "sub")).alias("best")
+        return log.groupBy(*engine.keys).agg(best).select(*(F.col(c) if c in engine.keys else F.col(f"best.{c}") for c in log.columns))
+    sums = log.groupBy(*engine.columns).agg(F.sum("sign").alias("n"), F.max(F.struct("commit_lsn", "seq")).alias("at"))
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("n"))).alias("__i")
-    return sums.where("n <> 0").select(*engine.columns, F.signum("n").cast("tinyint").alias("sign"), "commit_lsn", "seq", F.lit(1).alias("sub"), copies).drop("__i")
+    return sums.where("n <> 0").select(*engine.columns, F.signum("n").cast("tinyint").alias("sign"), "at.commit_lsn", "at.seq", F.lit(1).alias("sub"), copies).drop("__i")

@@ -51,6 +51,8 @@ class Config:
     redis_bind: str = ""
     postgres: dict = field(default_factory=dict)
     clickhouse: dict = field(default_factory=dict)
+    #: what stands for the source: catalog, capture, snapshot, snapshot_lsn
+    source: dict = field(default_factory=dict)
 
 
 def table_name(text: str) -> tuple[str, str]:
@@ -85,6 +87,7 @@ def load(text: str) -> Config:
 
 
 def target_url(c: dict) -> str:
+    """The target store's address, in the fixed form that its drivers take."""
     params = "".join(f"&{k}={v}" for k, v in (c.get("params") or {}).items())
     return f"tcp://{c['host']}:{c['port']}?username={c.get('username', '')}&password={c.get('password', '')}&database={c.get('database', '')}{params}"
 

@@ -50,4 +50,4 @@ def target_ddl(columns: list[SourceColumn], table: TableConfig) -> list[str]:
 def log_ddl(columns: list[SourceColumn], table: TableConfig) -> str:
     """The Parquet log that Spark writes for the table."""
     fields = [f"{n} {spark_type(parse_source_type(c.type))}" for c, n in _columns(columns, table)] + [f"{n} {t}" for n, _, t in _special(table)]
-    return f"CREATE TABLE {table.main_table} ({', '.join([*fields, 'commit_lsn bigint', 'seq bigint', 'sub int', 'batch_id bigint'])}) USING parquet PARTITIONED BY (batch_id)"
+    return f"CREATE TABLE {table.main_table} ({', '.join([*fields, 'commit_lsn bigint', 'seq bigint', 'sub int', 'through bigint'])}) USING parquet PARTITIONED BY (through)"

@@ -6,7 +6,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.sources.ship import ship
 
 #: The single-letter escapes.
 ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v", "\\": "\\"}
@@ -50,17 +53,32 @@ def decode_line(line: str) -> list[str | None]:
     return [unescape(f) for f in line.removesuffix("\n").split("\t")]
 
 
+def plain_field(field: Column) -> Column:
+    """unescape() for fields without escapes of bytes, in SQL functions. No text of the
+    source holds a NUL, so one stands for the escaped backslash meanwhile."""
+    text = F.replace(field, F.lit("\\\\"), F.lit("\0"))
+    out = text
+    for code, char in ESCAPES.items():
+        if code != "\\":
+            out = F.replace(out, F.lit("\\" + code), F.lit(char))
+    wrong = F.raise_error(F.concat(F.lit("unknown escape in "), field)).cast("string")
+    return F.when(text.contains("\\N"), None).when(out.contains("\\"), wrong).otherwise(F.replace(out, F.lit("\0"), F.lit("\\")))
+
+
 def decode_lines(lines: DataFrame, n_columns: int) -> DataFrame:
-    """``fields`` of each row of lines (value); a wrong number of fields is an error."""
+    """``fields`` of each row of lines (value); a wrong number of fields is an error. Lines
+    with hex or octal escapes alone go to Python."""
+    ship(lines.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [decode_line(x) for x in batch.column(0).to_pylist()]
-            if any(len(r) != n_columns for r in rows):
-                raise ValueError(f"a line hasn't {n_columns} fields")
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["fields"])
+            yield pa.RecordBatch.from_arrays([pa.array([decode_line(x) for x in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["fields"])
 
-    return lines.select("value").mapInArrow(run, "fields array<string>")
+    of_bytes = F.replace(F.col("value"), F.lit("\\\\"), F.lit("")).rlike(r"\\[x0-7]")
+    plain = lines.where(~of_bytes).select(F.transform(F.split("value", "\t"), plain_field).alias("fields"))
+    both = plain.unionByName(lines.where(of_bytes).select("value").mapInArrow(run, "fields array<string>"))
+    wrong = F.raise_error(F.concat(F.lit(f"a line hasn't {n_columns} fields but "), F.size("fields"))).cast("array<string>")
+    return both.select(F.when(F.size("fields") == n_columns, F.col("fields")).otherwise(wrong).alias("fields"))
 
 
 def read_copy(spark: SparkSession, path: str, n_columns: int) -> DataFrame:
