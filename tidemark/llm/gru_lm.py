@@ -56,9 +56,9 @@ TRAINER_TOKENS = 4_000_000
 BLOCK = 1 << 16
 RATE = 0.01
 BROADCAST_WORDS = 200_000
-#: Tokens whose class logits are held at once, texts that are scored side by side, and
-#: logits up to which exponentials need no shift.
-CHUNK, ABREAST, SAFE = 8192, 1024, 60.0
+#: Tokens whose logits are held at once (so many stay in a cache), rows of a class that go
+#: together, texts that are scored side by side, and logits up to which exponentials need no shift.
+CHUNK, STRETCH, ABREAST, SAFE = 1024, 32, 1024, 60.0
 #: The end of a text, as a token; no word is empty.
 END = b""
 
@@ -90,6 +90,13 @@ def count_tokens(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(count, "w binary, c long").where("c > 0").groupBy("w").agg(F.sum("c").alias("c"))
 
 
+def sums_by(group: np.ndarray, rows: np.ndarray, n_groups: int) -> np.ndarray:
+    """The sums of rows by their group's number."""
+    width = rows.shape[1]
+    flat = (group[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(flat, rows.ravel(), n_groups * width).reshape(n_groups, width).astype(rows.dtype)
+
+
 class Gru:
     """Parameters and passes. Ids: of known tokens their rank, of other words the
     number of places for known ones plus their class. Shapes: x (places + other classes
@@ -142,57 +149,81 @@ class Gru:
         """Natural logs for targets ids (of other words those of their class) after states
         (their last column is one); with grads, those of the negative sum. live: the targets that count."""
         p, size, kind = self.p, self.classes, states.dtype
-        places = size * size
+        places, rows = size * size, np.arange(CHUNK)
         cls = np.where(ids < places, ids // size, ids - places + size)
-        out = np.empty(len(ids), kind)
-        g: dict[str, np.ndarray] = {}
-        dh = np.zeros((len(ids) if grads else 0, HIDDEN), kind)
-        if grads:
-            g = {"wc": np.zeros_like(p["wc"]), "wo": np.zeros_like(p["wo"])}
-        shift = np.abs(p["wc"]).sum(0).max() > SAFE
+        out, dh = np.empty(len(ids), kind), np.zeros((len(ids) if grads else 0, HIDDEN), kind)
+        # beside the weights that lead back to the states, a column of ones gives the sums
+        back = np.ones((p["wc"].shape[1], HIDDEN + 1), kind)
+        back[:, :HIDDEN] = p["wc"][:HIDDEN].T
+        of_class = np.zeros_like(back)
+        counted = states if live is None else states * live[:, None]
+        shift, held = np.abs(p["wc"]).sum(0).max() > SAFE, np.empty((CHUNK, len(back)), kind)
         for low in range(0, len(ids), CHUNK):
             own, at = states[low : low + CHUNK], cls[low : low + CHUNK]
-            rows = np.arange(len(own))
-            logits = own @ p["wc"]
+            e = np.matmul(own, p["wc"], out=held[: len(own)])
             if shift:
-                logits -= logits.max(1, keepdims=True)
-            hit = logits[rows, at]
-            np.exp(logits, out=logits)
-            total = logits.sum(1)
+                e -= e.max(1, keepdims=True)
+            hit = e[rows[: len(own)], at]
+            np.exp(e, out=e)
+            both = e @ (back if grads else back[:, HIDDEN:])
+            total = both[:, -1]
             out[low : low + CHUNK] = hit - np.log(total)
             if grads:
-                logits /= total[:, None]
-                logits[rows, at] -= 1
-                if live is not None:
-                    logits *= live[low : low + CHUNK, None]
-                g["wc"] += own.T @ logits
-                dh[low : low + CHUNK] = logits @ p["wc"][:HIDDEN].T
+                share = 1 / total[:, None]
+                dh[low : low + CHUNK] = both[:, :HIDDEN] * share - back[at, :HIDDEN]
+                of_class += e.T @ (counted[low : low + CHUNK] * share)
         inner = np.flatnonzero(ids < places if live is None else (ids < places) & live)
-        order = inner[np.argsort(cls[inner].astype(np.uint16 if size < 1 << 16 else np.int64), kind="stable")]
-        ends = np.searchsorted(cls[order], np.arange(size + 1)).tolist()
-        own_all, place_all, found, dh_all = states[order], ids[order] % size, np.empty(len(order), kind), np.empty((len(order) if grads else 0, HIDDEN), kind)
-        shift = np.abs(p["wo"]).sum(1).max() > SAFE
-        for k in range(size):
-            low, high = ends[k], ends[k + 1]
-            if low == high:
-                continue
-            own, place, rows = own_all[low:high], place_all[low:high], np.arange(high - low)
-            logits = own @ p["wo"][k]
+        order = inner[np.argsort(ids[inner], kind="stable")]
+        found, back_in, of_place = self._inner(counted[order], ids[order], grads)
+        out[order] += found
+        if not grads:
+            return (out if live is None else out * live), {}, dh
+        if live is not None:
+            dh *= live[:, None]
+        dh[order] += back_in
+        of_class -= sums_by(cls, counted, len(of_class))
+        of_place -= sums_by(ids[order], counted[order], places).reshape(of_place.shape)
+        return (out if live is None else out * live), {"wc": of_class.T, "wo": of_place.transpose(0, 2, 1)}, dh
+
+    def _inner(self, own: np.ndarray, ids: np.ndarray, grads: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logs within the classes, for known tokens sorted by id. Each class's rows are laid out
+        in stretches of STRETCH, filled up with zeros, so that all classes go together. With
+        grads also what leads back to the states, and the part of wo's gradient (classes,
+        places, H + 1) that isn't the targets' own."""
+        wo, size, kind = self.p["wo"], self.classes, own.dtype
+        cls, place = ids // size, ids % size
+        counts = np.bincount(cls, minlength=size)
+        stretches = -(-counts // STRETCH)
+        at = np.arange(len(ids)) + np.repeat(STRETCH * (np.cumsum(stretches) - stretches) - (np.cumsum(counts) - counts), counts)
+        of = np.repeat(np.arange(size), stretches)
+        x, target = np.zeros((len(of) * STRETCH, HIDDEN + 1), kind), np.zeros(len(of) * STRETCH, np.int64)
+        x[at], target[at] = own, place
+        x, target = x.reshape(-1, STRETCH, HIDDEN + 1), target.reshape(-1, STRETCH)
+        back = np.ones((size, size, HIDDEN + 1), kind)
+        back[:, :, :HIDDEN] = wo[:, :HIDDEN].transpose(0, 2, 1)
+        hit, both, parts = np.empty(target.shape, kind), np.empty_like(x), np.empty((len(of) if grads else 0, size, HIDDEN + 1), kind)
+        step, shift = CHUNK // STRETCH, np.abs(wo).sum(1).max() > SAFE
+        held, rows = np.empty((step, STRETCH, size), kind), np.arange(step * STRETCH)
+        for low in range(0, len(of), step):
+            part = slice(low, low + step)
+            e = np.matmul(x[part], wo[of[part]], out=held[: len(of) - low])
             if shift:
-                logits -= logits.max(1, keepdims=True)
-            hit = logits[rows, place]
-            np.exp(logits, out=logits)
-            total = logits.sum(1)
-            found[low:high] = hit - np.log(total)
+                e -= e.max(2, keepdims=True)
+            hit[part] = e.reshape(-1, size)[rows[: e.shape[0] * STRETCH], target[part].ravel()].reshape(-1, STRETCH)
+            np.exp(e, out=e)
+            np.matmul(e, back[of[part]], out=both[part])
             if grads:
-                logits /= total[:, None]
-                logits[rows, place] -= 1
-                g["wo"][k] = own.T @ logits
-                dh_all[low:high] = logits @ p["wo"][k, :HIDDEN].T
-        out[order] += found
-        if grads:
-            dh[order] += dh_all
-        return out if live is None else out * live, g, dh
+                np.matmul(e.transpose(0, 2, 1), x[part] / both[part, :, HIDDEN:], out=parts[part])
+        both = both.reshape(-1, HIDDEN + 1)[at]
+        found = hit.ravel()[at] - np.log(both[:, HIDDEN])
+        if not grads:
+            return found, own, wo
+        of_place, ends = np.zeros_like(back), np.cumsum(stretches)
+        single = np.flatnonzero(stretches == 1)
+        of_place[single] = parts[ends[single] - 1]
+        for k in np.flatnonzero(stretches > 1).tolist():
+            of_place[k] = parts[ends[k] - stretches[k] : ends[k]].sum(0)
+        return found, both[:, :HIDDEN] / both[:, HIDDEN:] - back[cls, place, :HIDDEN], of_place
 
     def window(self, h: np.ndarray, ids: np.ndarray, targets: np.ndarray, live: np.ndarray | None = None) -> tuple[np.ndarray, float, dict]:
         """One window of truncated backpropagation: (streams, steps) ids, targets and, unless
@@ -229,10 +260,8 @@ class Gru:
                 dh[begins[t]] = 0
         flat = db.reshape(-1, 3 * HIDDEN)
         g["u"], g["bu"] = before.reshape(-1, HIDDEN).T @ flat, flat.sum(0)
-        own = ids.T.ravel()
-        order = np.argsort(own, kind="stable")
-        firsts = np.flatnonzero(np.diff(own[order], prepend=START - 1))
-        g["x"] = (own[order[firsts]], np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], firsts))
+        used, place = np.unique(ids.T, return_inverse=True)
+        g["x"] = (used, sums_by(place.ravel(), da.reshape(-1, 3 * HIDDEN), len(used)))
         return h, -float(out.sum()), g
 
     def train(self, texts: list[np.ndarray], rate: float = RATE) -> int:
@@ -334,10 +363,11 @@ class Vocabulary:
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Each word's row among the most frequent (-1: none) and its id."""
         rows = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(rows < 0).tolist()
+        missing = np.flatnonzero(rows < 0)
         ids = self._ids[rows] if len(self._ids) else np.zeros(len(words), np.int32)
-        if missing:
-            ids[missing] = [self.places + self._ending(words[i]) for i in missing]
+        if len(missing):
+            crc, places, classes = zlib.crc32, self.places, self.classes
+            ids[missing] = [places + crc(words[i][-ENDING:]) % classes for i in missing.tolist()]
         return rows, ids
 
 
@@ -364,12 +394,10 @@ def _encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 starts, n = np.array([0, *ends[:-1]]), len(ends)
                 outside = np.zeros(len(words))
                 outside[other] = logs[found[other]] - rest[ids[other] - own.places]
-                rare: list[list[bytes]] = [[] for _ in ends]
-                for i, text in zip(missing.tolist(), np.searchsorted(ends, missing, "right").tolist(), strict=True):
-                    rare[text].append(words[i])
+                rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(missing, [0, *ends]), pa.int32()), pa.array([words[i] for i in missing.tolist()], pa.binary()))
                 sums = [np.add.reduceat(x, starts) for x in ((found >= 0).astype(np.int64), logs[found], outside)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), part.column(0), part.column(2), pa.array(np.array(ends) - starts), *map(pa.array, sums), pa.array([ids[i:j].tobytes() for i, j in zip(starts.tolist(), ends, strict=True)], pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
+                    [pa.array(np.arange(row, row + n)), part.column(0), part.column(2), pa.array(np.array(ends) - starts), *map(pa.array, sums), pa.array([ids[i:j].tobytes() for i, j in zip(starts.tolist(), ends, strict=True)], pa.binary()), rare],
                     names,
                 )
                 row += n
