@@ -93,7 +93,7 @@ def test_store_round_trip(spark, tmp_path, odd, empty):
     path = public_tokenizers.path(cas_store.TOKENIZER)
     library = Tokenizer.from_file(path)
     marks = [f"{a}{chr(m)}{b}" for a in "TtHWwYyJ" for m in (0x308, 0x331, 0x30A, 0x30C, 0x345, 0x338) for b in ("", "x", ".", ", Ab")]
-    texts = strings(300) + marks + ["one (two). Three?! a.b c,d 5. '' it's. \u212a. K. <|", "Word.\tWord,\nWord;\x0bWord:"] + ["the same passage of a text " * 400] * 3
+    texts = strings(300) + marks + ["one (two). Three?! a.b c,d 5. '' it's. \u212a. K. <|", "Word.\tWord,\nWord;\x0bWord:", "é, é... ü!!! ×! ÷, ž; Ž; ß. ſ. ŉ, ª. µ, ĳ. word!!!!!!!!!! word!?.,;: x", "!a ,b .", ".", "é", "Éa Ωa ωa, жж! 漢,"] + ["the same passage of a text " * 400] * 3
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     cas_store.write_store(docs, str(tmp_path / "s"), path)
     want = [[*e.ids, 1] for e in library.encode_batch(texts, add_special_tokens=False)]

@@ -20,7 +20,7 @@ Reading verifies every chunk against its hash, every document's root, and the
 recipes against the manifest.
 
 The library is called on words between blanks, once for each distinct word in a
-batch, and its answers are kept in a bounded table; this tokenizer's normaliser
+batch, and its answers are kept in bounded tables; this tokenizer's normaliser
 and pre-tokenizer drop white space, so joining the answers gives what the whole
 text gives.
 
@@ -33,8 +33,9 @@ An empty table gives an empty store; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
-import re
+import os
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,20 +47,25 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import discard, join_hot, ship, shared_path, staged, table, text_bytes
+from tidemark.llm.trie_bpe import byte_alphabet
+
+# a task has one core; the library's own threads would only wait for each other
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 ROLL = 16
 #: A cut falls at every 256th position on average, between these lengths.
 CUT_MASK, SHORTEST, LONGEST = 255, 64, 2048
-#: Distinct words whose ids a Python worker keeps; longer words are not kept.
-KEPT_WORDS, KEPT_LENGTH = 600_000, 40
+#: Distinct words whose ids a Python worker keeps, in two tables; longer words are not kept.
+KEPT_WORDS, KEPT_LENGTH = 1_200_000, 40
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordIds(dict):
-    """Word bytes to ids (4 bytes each), filled through the library."""
+    """Word bytes to ids (4 bytes each), filled through the library. When half of what is
+    kept is reached, the words go to a second table, from which those met again come back."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -67,23 +73,38 @@ class WordIds(dict):
         self._library.no_truncation()
         self._library.no_padding()
         vocab = self._library.get_vocab(with_added_tokens=True)
+        self._before: dict[bytes, bytes] = {}
         self._closes = np.zeros(max(vocab.values()) + 1, bool)
         self._closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of the words that aren't kept yet; the long ones come back alone."""
         new = [w for w in words if w not in self]
-        if len(self) + len(new) > KEPT_WORDS:
+        if len(self) + len(new) > KEPT_WORDS // 2:
+            self._before = self.copy()
             self.clear()
             new = list(words)
+        before = self._before
+        if before:
+            again = [w for w in new if w in before]
+            self.update(zip(again, map(before.__getitem__, again), strict=True))
+            new = [w for w in new if w not in before]
         long: dict[bytes, bytes] = {}
-        keep = lambda word: self if len(word) <= KEPT_LENGTH else long
         texts = {w: w.decode("utf-8", "replace") for w in new}
-        # a word of letters is one pre-token, and the last token of each carries the
+        # a word of lower-case Latin letters is one pre-token that the normaliser leaves as
+        # it is: the library's model gets its bytes at once
+        direct = [w for w, t in texts.items() if t.isalpha() and t.islower() and max(t) < LATIN_END]
+        got = list(map(self._library.model.tokenize, [w.decode("latin-1").translate(_STAND_INS) for w in direct]))
+        data, ends = array("I", [t.id for word in got for t in word]).tobytes(), (4 * np.cumsum(list(map(len, got)), dtype=np.int64)).tolist()
+        for word, start, end in zip(direct, [0, *ends], ends, strict=False):
+            (self if len(word) <= KEPT_LENGTH else long)[word] = data[start:end]
+            del texts[word]
+        # other words of letters are one pre-token too, and the last token of each carries the
         # end mark: many such words are encoded as one text and told apart by it
-        plain = [w for w in new if texts[w].isalpha()]
+        plain, rest = [], []
+        for w, text in texts.items():
+            (plain if text.isalpha() else rest).append(w)
         groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        rest = [w for w in new if not texts[w].isalpha()]
         for group, got in zip(groups, self._encode([" ".join([texts[w] for w in g]) for g in groups]), strict=True):
             ids = np.array(got, "<u4")
             ends = np.flatnonzero(self._closes[ids]) + 1
@@ -92,33 +113,63 @@ class WordIds(dict):
                 continue
             data, start = ids.tobytes(), 0
             for word, end in zip(group, (4 * ends).tolist(), strict=True):
-                keep(word)[word] = data[start:end]
+                (self if len(word) <= KEPT_LENGTH else long)[word] = data[start:end]
                 start = end
         for i in range(0, len(rest), 4096):
             part = rest[i : i + 4096]
             for word, got in zip(part, self._encode([texts[w] for w in part]), strict=True):
-                keep(word)[word] = np.array(got, "<u4").tobytes()
+                (self if len(word) <= KEPT_LENGTH else long)[word] = array("I", got).tobytes()
         return long
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+#: Lower-case letters before this one are their own composed and lower-case form.
+LATIN_END = "\u0180"
+#: The byte alphabet's stand-in of each byte.
+_STAND_INS = {b: c for c, b in byte_alphabet().items()}
 _words: dict[str, WordIds] = {}
 
 
 GROUP = 256
-#: Marks that end a word after a letter; a match is found by its first mark.
-_TAIL = re.compile(rb"[.,;:!?*$%&#](?<=[a-z].)[.,;:!?*$%&#]*(?=[ \t\n]|\Z)")
-
-
-def loosened(text: bytes) -> bytes:
-    """The text with A-Z lower-cased and a blank between a letter and the marks that
-    end its word: the tokenizer does the first and cuts there by itself, and fewer
-    distinct words are left. Texts that may hold an added token stay as they are, and
-    so do those with bytes of U+0300 to U+037F: the tokenizer composes such marks
-    with the letter before it lower-cases, and some letters compose in one case alone."""
-    return text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else _TAIL.sub(rb" \g<0>", text.lower())
+#: Kinds of bytes: a to z, marks that end words, blanks, bytes that continue a character.
+_LETTER, _MARK, _SPACE, _MORE = 1, 2, 3, 4
+_KIND = np.zeros(256, np.uint8)
+_KIND[np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)] = _LETTER
+_KIND[np.frombuffer(b".,;:!?*$%&#", np.uint8)] = _MARK
+_KIND[np.frombuffer(b" \t\n", np.uint8)] = _SPACE
+_KIND[0x80:0xC0] = _MORE
+#: Marks in a row that are looked at.
+LONGEST_RUN = 8
+
+
+def loosened(texts: list[bytes]) -> list[bytes]:
+    """The texts with A-Z lower-cased and a blank between a Latin letter and the marks that end
+    its word: the tokenizer does the first and cuts there by itself, and fewer distinct words
+    are left. Texts that may hold an added token stay as they are, and so do those with
+    bytes of U+0300 to U+037F: the tokenizer composes such marks with the letter before
+    it lower-cases, and some letters compose in one case alone."""
+    out = list(texts)
+    plain = [i for i, t in enumerate(texts) if b"<|" not in t and b"\xcc" not in t and b"\xcd" not in t]
+    joined = np.frombuffer(b"\n".join([texts[i] for i in plain]).lower() + b"\n", np.uint8)
+    kind = _KIND[joined]
+    is_mark = kind == _MARK
+    runs = np.flatnonzero(is_mark[1:] & ~is_mark[:-1]) + 1
+    before, lead = joined[runs - 1], joined[np.maximum(runs - 2, 0)]
+    # U+00C0 to U+017F are letters but for the signs of multiplication and division
+    latin = (kind[runs - 1] == _MORE) & ((lead == 0xC4) | (lead == 0xC5) | ((lead == 0xC3) & (before != 0x97) & (before != 0xB7)))
+    runs = runs[latin | (kind[runs - 1] == _LETTER)]
+    after = runs + 1
+    for _ in range(LONGEST_RUN):
+        after += is_mark[after]
+    marks = runs[kind[after] == _SPACE]
+    whole = np.insert(joined, marks, 32).tobytes()
+    ends = np.cumsum([len(texts[i]) + 1 for i in plain])
+    ends = (ends + np.searchsorted(marks, ends)).tolist()
+    for i, start, end in zip(plain, [0, *ends], ends, strict=False):
+        out[i] = whole[start : end - 1]
+    return out
 
 
 def encode_texts(texts: list[bytes], path: str, end: bytes = b"") -> Iterator[tuple[bytes, list[int]]]:
@@ -128,9 +179,12 @@ def encode_texts(texts: list[bytes], path: str, end: bytes = b"") -> Iterator[tu
         _words[path] = WordIds(path)
     known = _words[path]
     for i in range(0, len(texts), GROUP):
-        split = [loosened(t).split() for t in texts[i : i + GROUP]]
+        split = [t.split() for t in loosened(texts[i : i + GROUP])]
         long = known.learn(set().union(*split))
-        ids = [b"".join(map(known.__getitem__, words) if not long else [known[w] if w in known else long[w] for w in words]) + end for words in split]
+        known.update(long)
+        ids = [b"".join(map(known.__getitem__, words)) + end for words in split]
+        for word in long:
+            del known[word]
         yield b"".join(ids), np.cumsum([len(x) // 4 for x in ids]).tolist()
 
 
