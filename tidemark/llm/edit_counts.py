@@ -23,6 +23,7 @@ empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,6 +37,9 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import ship, staged, table
 from tidemark.llm.trie_bpe import KEPT, KEPT_LENGTH, PATTERN, TOKENIZER
 
+# a task has one core; the library's own threads would only wait for each other
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 #: Leaves taken along before an edit: the pattern looks at most two characters beyond a match.
 CONTEXT = 3
 #: Characters re-cut at once behind an edit while looking for a common boundary.
@@ -202,9 +206,12 @@ class Counter:
         if len(known) + len(new) > KEPT:
             known.clear()
             new = list(set(pieces))
-        got = self._encoded(new)
-        known.update((p, n) for p, n in got.items() if len(p) <= KEPT_LENGTH)
-        return np.fromiter((got[p] if p in got else known[p] for p in pieces), np.int64, len(pieces))
+        known.update(self._encoded(new))
+        out = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        for p in new:
+            if len(p) > KEPT_LENGTH:
+                del known[p]
+        return out
 
     def _encoded(self, new: list[str]) -> dict[str, int]:
         # a blank and letters are one pre-token, and only its first token starts with
