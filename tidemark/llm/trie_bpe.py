@@ -165,8 +165,12 @@ class Bpe:
             ids = {w for w in words if isinstance(w, int)}
             long = self.learn(words - ids) | {x: np.array([x], "<u4").tobytes() for x in ids}
             known = self.known
-            for pre in cut:
-                yield np.frombuffer(b"".join(map(known.__getitem__, pre)) if not long else b"".join([known[w] if w in known else long[w] for w in pre]), "<u4")
+            known.update(long)
+            coded = [b"".join(map(known.__getitem__, pre)) for pre in cut]
+            for word in long:
+                del known[word]
+            for x in coded:
+                yield np.frombuffer(x, "<u4")
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.byte_table.__getitem__, ids)).decode("utf-8", "replace")
