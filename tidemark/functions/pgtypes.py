@@ -39,6 +39,11 @@ def type_name(oid: int) -> str:
     return _OF_OID.get(oid, "text")
 
 
+def oid_number(v: Column) -> Column:
+    """An object id from text: 32 bits without sign."""
+    return unsigned(v, 32)
+
+
 @dataclass(frozen=True)
 class SourceType:
     base: str

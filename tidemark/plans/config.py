@@ -22,6 +22,7 @@ class TableConfig:
     sign_column: str = ""
     generation_column: str = ""
     init_sync_skip: bool = False
+    #: accepted; a snapshot is one write and needs no buffer
     init_sync_skip_buffer_table: bool = False
     init_sync_skip_truncate: bool = False
     columns: dict[str, str] = field(default_factory=dict)

@@ -82,6 +82,8 @@ class LogTable:
         self.state = State(f"{path}/state.json", self.files)
 
     def _put(self, df: DataFrame, name: str, through: int) -> None:
+        if name == "log" and self.engine.keys:  # as the target's sort key, so that readers skip by key
+            df = df.sortWithinPartitions(*self.engine.keys, "commit_lsn", "seq", "sub")
         df.write.mode("overwrite").parquet(f"{self.path}/{name}/through={through}")
 
     def _clear(self, name: str, beyond: int) -> None:
@@ -104,10 +106,11 @@ class LogTable:
         values = {k: str(int(state.get(k, 0)) + n) for k, n in counted.items()}
         self.state.update(**{"buffer_lsn" if self.buffered else PROTECTED + self.table: f"{to:016x}"}, **values)
 
-    def sync(self, snapshot: DataFrame, lsn: int, skip: bool = False, keep: bool = False, buffer: bool = False) -> bool:
+    def sync(self, snapshot: DataFrame, lsn: int, skip: bool = False, keep: bool = False) -> bool:
         """The initial rows, once: a table with a position isn't copied again. They are changes of
         op I with position 0 and generation 0, so the stream's versions win. skip: the position
-        alone; keep: rows that the log holds already stay; buffer: by way of the buffer."""
+        alone; keep: rows that the log holds already stay. They never take the way of the buffer:
+        one write is as whole without it."""
         if self.position() is not None:
             return False
         if not skip:
@@ -117,8 +120,6 @@ class LogTable:
             zero = lambda c: F.lit(0).cast("bigint").alias(c)
             nothing = [F.lit(None).cast(snapshot.schema[c].dataType).alias(f"old_{c}") for c in self.engine.columns]
             rows = self.engine.rewrite(snapshot.select(zero("commit_lsn"), zero("seq"), F.lit("I").alias("op"), *(F.col(c).alias(f"new_{c}") for c in self.engine.columns), *nothing, *map(zero, self.engine.extra)))
-            if buffer and self.buffered:
-                rows = rows.orderBy("commit_lsn", "seq", "sub")
             self._put(rows, "log", lsn)
         self.state.update(**{PROTECTED + self.table: f"{lsn:016x}", "generation_id": "1"})
         return True

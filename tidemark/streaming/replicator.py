@@ -95,7 +95,7 @@ class Replicator:
             if isinstance(rows, str):
                 rows = t.snapshot(read_copy(self.spark, rows, len(t.columns)))
             c = t.config
-            done |= t.log.sync(rows, lsn, c.init_sync_skip, c.init_sync_skip_truncate, not c.init_sync_skip_buffer_table)
+            done |= t.log.sync(rows, lsn, c.init_sync_skip, c.init_sync_skip_truncate)
         if done:
             self.state.update(generation_id=str(self.generation() + 1))
 
