@@ -23,6 +23,7 @@ a row; an empty table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -63,20 +64,44 @@ def slots(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest(n) % FEATURES for n in names(word)]
 
 
-def marks(texts: list[list[str]], toxic: list[bool]) -> set[str]:
-    """Words that mark toxicity themselves or by a prefix."""
-    ids: dict[str, int] = {"": 0}
-    rows = [np.array([0, *(ids.setdefault(w, len(ids)) for w in words), 0], np.uint64) for words in texts]
-    word = np.concatenate([r[1:-1] for r in rows])
-    context = np.concatenate([_ODD * r[:-2] + r[2:] for r in rows])
-    context = (context * _ODD) >> np.uint64(32)
-    label = np.repeat(np.array(toxic, bool), [len(r) - 2 for r in rows])
-    context, label, word = context[word > 0], label[word > 0], word[word > 0].astype(np.int64)
+@dataclass
+class Sample:
+    """Labelled texts as numbers of words: vocabulary, the numbers of all words, where each text ends, labels."""
+
+    vocabulary: list[str]
+    flat: np.ndarray
+    ends: np.ndarray
+    toxic: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[list[str]], toxic: list[bool]) -> Sample:
+        ids: dict[str, int] = {"": 0}
+        flat = np.fromiter((ids.setdefault(w, len(ids)) for words in texts for w in words), np.int32)
+        return cls(list(ids), flat, np.cumsum([len(t) for t in texts], dtype=np.int64), np.array(toxic, bool))
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.append(0, self.ends[:-1])
+
+    def token_labels(self) -> np.ndarray:
+        return np.repeat(self.toxic, self.ends - self.starts)
+
+
+def marks(sample: Sample) -> np.ndarray:
+    """For each word of the vocabulary, whether it marks toxicity itself or by a prefix."""
+    word = sample.flat
+    # before and after a text's edge stands the number of the empty word
+    before, after = np.append(0, word[:-1]).astype(np.uint64), np.append(word[1:], 0).astype(np.uint64)
+    some = sample.ends > sample.starts
+    before[sample.starts[some]], after[sample.ends[some] - 1] = 0, 0
+    context = ((_ODD * before + after) * _ODD) >> np.uint64(32)
+    full = word > 0
+    context, label, word = context[full], sample.token_labels()[full], word[full]
     share = (label.sum() + 1) / (len(label) + 2)
-    vocabulary, marking = list(ids), set()
+    marking = np.zeros(len(sample.vocabulary), bool)
     for kind in (None, *PREFIXES):
         group: dict[str, int] = {}
-        of_word = np.array([group.setdefault(w if kind is None else w[:kind] if len(w) >= kind else "", len(group)) for w in vocabulary])
+        of_word = np.array([group.setdefault(w if kind is None else w[:kind] if len(w) >= kind else "", len(group)) for w in sample.vocabulary])
         pair = of_word[word].astype(np.uint64) << np.uint64(32) | context
         n0, n1 = (np.bincount((np.unique(pair[label == k]) >> np.uint64(32)).astype(np.int64), minlength=len(group)) for k in (False, True))
         n = np.maximum(n0 + n1, 1)
@@ -84,8 +109,9 @@ def marks(texts: list[list[str]], toxic: list[bool]) -> set[str]:
             gain = np.where(n1, n1 * np.log(n1 / (n * share)), 0) + np.where(n0, n0 * np.log(n0 / (n * (1 - share))), 0)
         good = (n1 >= LEAST_PRECISION * n) & (n1 > 0) & (gain >= LEAST_SIGNIFICANCE)
         good[of_word[0]] = False
-        marking |= {w for w, g in zip(vocabulary, good[of_word].tolist(), strict=True) if g}
-    return marking - {""}
+        marking |= good[of_word]
+    marking[0] = False
+    return marking
 
 
 @dataclass
@@ -161,20 +187,25 @@ def train_crf(texts: list[list[str]], toxic: list[bool], rates: tuple[float, flo
     """rates: how many rows each training row of either label stands for."""
     if all(toxic) or not any(toxic):
         return None
-    random = np.random.Generator(np.random.PCG64(seed))
-    marking = marks(texts, toxic)
-    windows: list[tuple[list[str], list[bool]]] = []
-    span = 2 * REACH + 1
-    for words, label in zip(texts, toxic, strict=True):
-        hit = [label and w in marking for w in words]
-        windows += [(words[low : low + span], hit[low : low + span]) for low in range(0, len(words), span)]
+    random, sample = np.random.Generator(np.random.PCG64(seed)), Sample.of(texts, toxic)
+    hit = sample.token_labels() & marks(sample)[sample.flat]
+    # windows that tile every text
+    span, counts = 2 * REACH + 1, sample.ends - sample.starts
+    pieces = -(-counts // span)
+    starts = np.repeat(sample.starts, pieces) + span * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    lengths = np.minimum(span, np.repeat(sample.ends, pieces) - starts)
+    table = np.full((len(sample.vocabulary), 2 + len(PREFIXES)), FEATURES, np.int32)
+    for i, w in enumerate(sample.vocabulary):
+        if w:
+            own = slots(w)
+            table[i, : len(own)] = own
     crf = Crf(np.zeros(FEATURES), -2.0, np.zeros((2, 2)), 0.0, np.zeros(3))
-    _fit(crf, windows, random)
+    _fit(crf, sample, table, hit, starts, lengths, random)
+    emissions = np.append(crf.weights, 0.0)[table].sum(1) + crf.bias
     largest, above = np.zeros(len(texts)), np.zeros(len(texts))
-    emissions = {w: crf.emission(w) for w in {w for words in texts for w in words}}
-    for i, words in enumerate(texts):
-        if words:
-            p = crf.marginals(np.array([emissions[w] for w in words]), np.arange(len(words)) == 0)
+    for i, (start, end) in enumerate(zip(sample.starts.tolist(), sample.ends.tolist(), strict=True)):
+        if end > start:
+            p = crf.marginals(emissions[sample.flat[start:end]], np.arange(end - start) == 0)
             largest[i], above[i] = p.max(), (p > 0.5).sum()
     x, y, w = signs(largest, above), np.array(toxic, float), np.where(toxic, rates[1], rates[0])
     w = w / w.mean()
@@ -186,27 +217,20 @@ def train_crf(texts: list[list[str]], toxic: list[bool], rates: tuple[float, flo
     return crf
 
 
-def _fit(crf: Crf, windows: list[tuple[list[str], list[bool]]], random: np.random.Generator) -> None:
-    """Adagrad on the conditional log-likelihood of the windows' states."""
-    width, n = 2 * REACH + 1, len(windows)
-    per = 2 + len(PREFIXES)
-    slot, mask, gold = np.full((n, width, per), FEATURES, np.int32), np.zeros((n, width), bool), np.zeros((n, width), np.int64)
-    known: dict[str, list[int]] = {}
-    for i, (words, states) in enumerate(windows):
-        for j, (w, s) in enumerate(zip(words, states, strict=True)):
-            mask[i, j], gold[i, j] = True, s
-            if w:
-                own = known.get(w)
-                if own is None:
-                    own = known[w] = slots(w)
-                slot[i, j, : len(own)] = own
+def _fit(crf: Crf, sample: Sample, table: np.ndarray, hit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, random: np.random.Generator) -> None:
+    """Adagrad on the conditional log-likelihood of the windows' states. table: the features of
+    each word, hit: the state of each word of the sample, starts and lengths: the windows."""
+    width, n, per = 2 * REACH + 1, len(starts), table.shape[1]
     weights = np.zeros(FEATURES + 1)  # the last one stays 0
     squares, other, other_sq = np.full(FEATURES + 1, 1e-3), np.array([crf.bias, crf.start, 0, 0, 0, 0.0]), np.full(6, 1e-3)
     for _ in range(EPOCHS):
         order = random.permutation(n)
         for at in range(0, n, 512):
             take = order[at : at + 512]
-            s, k, y = slot[take], mask[take], gold[take]
+            k = np.arange(width) < lengths[take, None]
+            at_word = np.minimum(starts[take, None] + np.arange(width), len(sample.flat) - 1)
+            s, y = table[sample.flat[at_word]], (hit[at_word] & k).astype(np.int64)
+            s[~k] = FEATURES
             s[:, :, 0] = np.where(random.random(s.shape[:2]) < 0.5, FEATURES, s[:, :, 0])
             e = weights[s].sum(2) + other[0]
             t = other[2:].reshape(2, 2)
@@ -240,23 +264,21 @@ def _fit(crf: Crf, windows: list[tuple[list[str], list[bool]]], random: np.rando
     crf.weights, crf.bias, crf.start, crf.trans = weights[:FEATURES], float(other[0]), float(other[1]), other[2:].reshape(2, 2)
 
 
-def read_sample(docs: DataFrame, labels: DataFrame, in_training: Column, most: int = MOST_LABELLED, most_words: int = MOST_WORDS) -> tuple[list[list[str]], list[bool], tuple[float, float]]:
-    """Words and labels of at most ``most`` rows and ``most_words`` words of each label (fixed bounds),
-    and how many rows each stands for."""
+def read_sample(docs: DataFrame, labels: DataFrame, in_training: Column, most: int = MOST_LABELLED, most_words: int = MOST_WORDS) -> tuple[DataFrame, dict[bool, int]]:
+    """label_id, toxic, text of at most ``most`` rows and ``most_words`` words of each label (fixed
+    bounds), and how many labelled ids there are of each label."""
     own = labels.where(in_training & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.max("toxic") == 1).alias("toxic"))
     sizes = {r.toxic: r.n for r in own.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     place = lambda: (F.xxhash64("label_id"), F.col("label_id"))
     picked = [own.where(F.col("toxic") == F.lit(t)).orderBy(*place()).limit(most) for t in (False, True)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))
-    texts = docs.select(F.col("doc_id").cast("long").alias("label_id"), text_bytes().alias("text"), word_count().alias("n")).where(F.col("n") <= most_words).join(ids, "label_id")
+    # the words of a text are counted where it is in the sample, and nowhere else
+    texts = docs.select(F.col("doc_id").cast("long").alias("label_id"), F.coalesce("text", F.lit("")).alias("text")).join(ids, "label_id")
     # one text an id: at most two times ``most`` rows go on
-    one = texts.groupBy("label_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "n")).alias("t")).select("label_id", "toxic", "t.text", "t.n")
+    one = texts.withColumn("n", word_count()).groupBy("label_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "n")).alias("t"))
+    one = one.select("label_id", "toxic", F.col("t.text").cast("binary").alias("text"), "t.n").where(F.col("n") <= most_words)
     upto = F.sum("n").over(Window.partitionBy("toxic").orderBy(*place()).rowsBetween(Window.unboundedPreceding, 0))
-    rows = sorted(one.withColumn("upto", upto).where(F.col("upto") <= most_words).select("label_id", "toxic", "text").collect(), key=lambda r: r.label_id)
-    toxic = [r.toxic for r in rows]
-    rates = tuple(sizes.get(t, 0) / max(1, toxic.count(t)) for t in (False, True))
-    known: dict[bytes, str] = {}  # one string for each distinct word
-    return [[known[w] if w in known else known.setdefault(w, plain(w)) for w in bytes(r.text).split()] for r in rows], toxic, rates
+    return one.withColumn("upto", upto).where(F.col("upto") <= most_words).select("label_id", "toxic", "text"), sizes
 
 
 def score_documents(docs: DataFrame, crf: Crf | None, key: Column | None = None) -> DataFrame:
@@ -325,8 +347,24 @@ def places(text: bytes, hit: np.ndarray) -> list[dict[str, int]]:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Crf | None:
-    """Learns from the rows whose crc32(doc_id as text) mod 5 is not 0."""
-    return train_crf(*read_sample(docs, labels, crc_mod("doc_id", 5) != 0))
+    """Learns from the rows whose crc32(doc_id as text) mod 5 is not 0. The bounded sample is
+    learnt from in one task; the driver gets the field alone."""
+    ship(docs.sparkSession)
+    rows, sizes = read_sample(docs, labels, crc_mod("doc_id", 5) != 0)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, str] = {}  # one string for each distinct word
+        texts, toxic = [], []
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                toxic.append(label)
+                texts.append([known[w] if w in known else known.setdefault(w, plain(w)) for w in text.split()])
+        crf = train_crf(texts, toxic, tuple(sizes.get(t, 0) / max(1, toxic.count(t)) for t in (False, True))) if texts else None
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(crf)], pa.binary())], ["field"])
+
+    # sorted by id, so that reruns learn in one order
+    found = rows.repartition(1).sortWithinPartitions("label_id").select("toxic", "text").mapInArrow(train, "field binary").collect()
+    return pickle.loads(found[0].field) if found else None
 
 
 def op5_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
