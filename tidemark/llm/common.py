@@ -66,19 +66,32 @@ def join_hot(rows: DataFrame, lookup: DataFrame, on: str, weight: str, total: in
     return rows.join(hot, on).unionByName(cold)
 
 
+#: Parts, by hash, of the rows that share the least count that is kept.
+TIE_PARTS = 4096
+
+
 def most_counted(counts: DataFrame, name: str, most: int) -> list[tuple]:
     """At most ``most`` rows (name, c), the largest c first, among equal ones by name. The
-    least c that is taken whole comes from the numbers of rows with each c, so tasks send
-    little more than is kept."""
+    least c that is taken whole comes from the numbers of rows with each c; of those with
+    the next c, parts by a hash of the name are taken as long as they fit. So tasks send
+    no more than is kept, and reruns keep the same."""
     upto, least, rest = 0, None, None
     for c, n in counts.groupBy("c").count().orderBy(F.desc("c")).toLocalIterator():
         if upto + n > most:
             rest = c
             break
         upto, least = upto + n, c
-    rows = [] if least is None else list(zip(*(x.to_pylist() for x in counts.where(F.col("c") >= least).select(name, "c").toArrow().columns), strict=True))
+    take = F.lit(False) if least is None else F.col("c") >= least
     if rest is not None and upto < most:
-        rows += [(x, rest) for x in counts.where(F.col("c") == rest).select(name).orderBy(name).limit(most - upto).toArrow().column(0).to_pylist()]
+        part = F.pmod(F.xxhash64(name), F.lit(TIE_PARTS))
+        last = None
+        for own, n in counts.where(F.col("c") == rest).groupBy(part.alias("part")).count().orderBy("part").collect():  # at most TIE_PARTS rows
+            if upto + n > most:
+                break
+            upto, last = upto + n, own
+        if last is not None:
+            take = take | ((F.col("c") == rest) & (part <= last))
+    rows = zip(*(x.to_pylist() for x in counts.where(take).select(name, "c").toArrow().columns), strict=True)
     return sorted(rows, key=lambda x: (-x[1], x[0]))
 
 

@@ -17,7 +17,7 @@ weights are averaged by tokens. Every token of every training text is learnt fro
 once; texts are dealt to trainers and ordered by a hash of their row.
 
 Scoring runs over whole texts with the state carried across windows, many texts
-side by side. Words beyond the most frequent BROADCAST_WORDS (ties go by the word) are
+side by side. Words beyond the most frequent BROADCAST_WORDS (ties go by a hash of the word) are
 counted through a join, so what is sent to every task has a fixed bound.
 
 Edge cases: null counts as empty text, of which the end alone is scored. Repeated
