@@ -334,10 +334,11 @@ def ddl_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([("orders", text, target_type(SourceType("numeric", (12, 2)), True))], "table_name string, ddl string, target_type string")
 
 
-def messages(rows: Iterator[Row], drift_at: int | None = None, truncate: tuple[int, int] | None = None) -> Iterator[tuple[int, Message]]:
+def messages(rows: Iterator[Row], drift_at: int | None = None, truncate: int | None = None) -> Iterator[tuple[int, Message]]:
     """The change rows of users as a WAL stream, a transaction for each position. With
     ``drift_at``, a table of events goes along, and from that position on the relation of users
-    has another order and one column more; truncate: position and seq after which users is truncated."""
+    has another order and one column more; truncate: the position of
+    a transaction that begins with a truncate of users."""
     now = datetime(2024, 1, 1, tzinfo=timezone.utc)
     key, kind, value, extra = ColumnInfo(True, "user_id", 20, -1), ColumnInfo(False, "event_type", 25, -1), ColumnInfo(False, "value", 701, -1), ColumnInfo(False, "note", 25, -1)
     users = {False: Message("R", oid=7, schema="public", name="users", identity="f", columns=(key, kind, value)), True: Message("R", oid=7, schema="public", name="users", identity="f", columns=(value, extra, key, kind))}
@@ -361,12 +362,12 @@ def messages(rows: Iterator[Row], drift_at: int | None = None, truncate: tuple[i
                 yield lsn, users[drifted]
             last = lsn
             yield lsn, Message("B", lsn=lsn, time=now + timedelta(seconds=lsn), xid=lsn)
+            if lsn == truncate:
+                yield lsn, Message("T", oids=(7,))
         old = cells(r, "old", layout) if r["op"] != "I" else None
         yield lsn, Message(r["op"], oid=7, old=old, old_kind="O" if old else "", new=cells(r, "new", layout) if r["op"] != "D" else None)
         if drift_at is not None:
             yield lsn, Message("I", oid=8, new=(cell(r["seq"]), cell(r["new_event_type"])))
-        if truncate == (lsn, r["seq"]):
-            yield lsn, Message("T", oids=(7,))
     if last is not None:
         yield last, Message("C", lsn=last, end_lsn=last + 1, time=now)
 
@@ -431,11 +432,11 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first transactions, then all again under a new checkpoint with batches of another size, by way of a buffer."""
     log, folder = change_log(spark, sf_dir), shared_folder(spark, "wal")
-    write_segments(log.where("commit_lsn <= 300"), folder)
+    write_segments(log.where("commit_lsn <= 50"), folder)
     wal.register(spark)
     target = LogTable(spark, f"{folder}/log", "users", _engine(CollapsingEngine), buffered=True, flush_threshold=2)
     _stream(spark, folder, target, "first", 1_000)
-    write_segments(log.where("commit_lsn > 300"), folder)
+    write_segments(log.where("commit_lsn > 50"), folder)
     _stream(spark, folder, target, "second", 20_000)
     target.flush()
     return target.current()
@@ -458,12 +459,12 @@ def stream_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("seq", F.coalesce("arrival", F.lit(0))).drop("arrival")
 
 
-@register("compact_then_truncate", f"with {CHANGE_LOG}, c as ({_collapsing()}), t as (select user_id, event_type, value, sum(sign) as n, max((commit_lsn, seq)) as mark from c where commit_lsn <= 300 and (commit_lsn > 40 or commit_lsn = 40 and seq > 395) group by all) select user_id, event_type, value, cast(n as bigint) as n, mark[1] as commit_lsn, mark[2] as seq from t where n <> 0 and (mark[1] > 280 or mark[1] = 280 and mark[2] > 2795)")
+@register("compact_then_truncate", f"with {CHANGE_LOG}, c as ({_collapsing()}), t as (select user_id, event_type, value, sum(sign) as n, max((commit_lsn, seq)) as mark from c where commit_lsn <= 95 and (commit_lsn > 40 or commit_lsn = 40 and seq > 395) group by all) select user_id, event_type, value, cast(n as bigint) as n, mark[1] as commit_lsn, mark[2] as seq from t where n <> 0 and (mark[1] > 80 or mark[1] = 80 and mark[2] > 795)")
 def compact_then_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = lambda *m: spark.createDataFrame(list(m), "commit_lsn bigint, seq bigint")
-    log = collapsing_log(spark, sf_dir).where("commit_lsn <= 300")
+    log = collapsing_log(spark, sf_dir).where("commit_lsn <= 95")
     kept = compact(_engine(CollapsingEngine), after_truncates(log, marks((12, 115), (40, 395))))
-    left = after_truncates(kept, marks((280, 2795)))
+    left = after_truncates(kept, marks((80, 795)))
     return left.groupBy(*COLUMNS, "commit_lsn", "seq").agg(F.sum("sign").alias("n"))
 
 
@@ -477,12 +478,13 @@ db_path: %s
 CATALOG = """{"slots": ["s"], "publications": {"p": ["users", "events"]}, "tables": {
  "users": {"oid": 7, "columns": [{"name": "user_id", "type": "bigint", "nullable": false, "pk": 1}, {"name": "event_type", "type": "text"}, {"name": "value", "type": "double precision"}]},
  "events": {"oid": 8, "columns": [{"name": "event_id", "type": "bigint", "nullable": false, "pk": 1}, {"name": "event_type", "type": "text"}]}}}"""
-DRIFT, CUT = 200, (90, 895)
+DRIFT, CUT = 60, 30
 
 
 def replicator(spark: SparkSession, sf_dir: str) -> Replicator:
     """Two tables in one stream, in batches: users is truncated once and its columns change, events goes through a buffer."""
-    folder = _wal(spark, sf_dir, drift_at=DRIFT, truncate=CUT)
+    cut = change_log(spark, sf_dir).where(F.col("commit_lsn") >= CUT).agg(F.min("commit_lsn")).first()[0]
+    folder = _wal(spark, sf_dir, drift_at=DRIFT, truncate=cut)
     r = Replicator(spark, load(REPLICATION % f"{folder}/db"), load_catalog(CATALOG))
     changes = spark.readStream.format("wal_capture").option("start_lsn", r.min_lsn()).option("max_buffer_length", 5_000).load(folder)
     query = r.start(changes, once=False, every="0 seconds")
@@ -491,7 +493,7 @@ def replicator(spark: SparkSession, sf_dir: str) -> Replicator:
     return r
 
 
-AFTER_CUT = f"a as (select *, row_number() over (partition by user_id order by seq desc) as r from cl where commit_lsn > {CUT[0]} or (commit_lsn = {CUT[0]} and seq > {CUT[1]}))"
+AFTER_CUT = f"a as (select *, row_number() over (partition by user_id order by seq desc) as r from cl where commit_lsn >= {CUT})"
 
 
 @register("replicate_tables", f"with {CHANGE_LOG}, {AFTER_CUT} select 'users' as table_name, new_user_id as id, new_event_type as kind, new_value as value from a where r = 1 and op <> 'D' union all select 'events', seq, new_event_type, null from cl")
