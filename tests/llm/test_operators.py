@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -712,3 +714,25 @@ def test_stages_decide_by_id_and_text(spark, monkeypatch, odd):
     out = Counter(r.k for r in corpus_pipeline.mix_sources(spark, mixed, SF).select(corpus_pipeline._row_key("source").alias("k")).collect())
     assert out == Counter({k: n * times[k] for k, n in Counter(keys).items() if times[k]})
     assert corpus_pipeline.toxicity(spark, odd, SF).count() == 10
+
+
+@pytest.mark.parametrize("name", ["copy_text_decode"])
+def test_capture_queries_share_a_context(spark, name):
+    """The operators and the queries on captures send their code in one file, in a context of their own."""
+    run = """
+import sys, duckdb
+from pyspark.sql import SparkSession
+from __spark_entry__ import oracle_sql, queries
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate()
+name, sf = sys.argv[1:]
+for q in ("op1_url_cascade", name, "op9_fair_mix", "op1_url_cascade"):
+    got = queries()[q](spark, sf)
+    rows = got.collect()
+    for t in ("documents", "events", "pages"):
+        duckdb.execute(f"create or replace view {t} as select * from '{sf}/{t}.parquet'")
+    want = duckdb.execute(f"select {', '.join(got.columns)} from ({oracle_sql()[q]})").fetchall()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, want)), q
+assert spark.sparkContext._jsc.sc().listFiles().size() == 1
+"""
+    done = subprocess.run([sys.executable, "-c", run, name, SF], capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]

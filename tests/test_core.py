@@ -64,6 +64,16 @@ def test_copy_lines_are_decoded_alike(spark):
             decode_lines(spark.createDataFrame([(bad,)], "value string"), 3).collect()
 
 
+def test_copy_query_on_odd_rows(spark, tmp_path):
+    ids = [None, 0, 1, 2, 3, 4, 5, 6, 7, 9, 9]
+    texts = ["a\0b", None, "\\\0", "\\N\\x41", "\0", "qxz\b\f\n\r\t\v", "é", "", "a\\", "x", "x"]
+    langs = ["en", None, "", "\t\\", "", "漢a", "\\n", "\t7a", "a\0", "é", "é"]
+    sources = ["web", None, "", "\\N", "a\tb", *"abcdef"]
+    spark.createDataFrame(list(zip(ids, texts, langs, sources, strict=True)), "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = [(d, t and t.translate(dict(zip(map(ord, "qxz"), "\b\f\v", strict=True))), g, None if d is not None and d % 5 == 0 else s) for d, t, g, s in zip(ids, texts, langs, sources, strict=True)]
+    assert sorted(map(str, map(tuple, q.copy_text_decode(spark, str(tmp_path)).collect()))) == sorted(map(str, want))
+
+
 def test_types(spark):
     assert target_type(parse_source_type("numeric(10,2)"), True) == "Nullable(Decimal(10, 2))"
     assert target_type(parse_source_type("integer[]"), True) == "Array(Int32)"

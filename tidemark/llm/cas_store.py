@@ -46,8 +46,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import discard, join_hot, ship, shared_path, staged, table, text_bytes
+from tidemark.llm.common import discard, join_hot, shared_path, staged, table, text_bytes
 from tidemark.llm.trie_bpe import byte_alphabet
+from tidemark.sources.ship import ship
 
 # a task has one core; the library's own threads would only wait for each other
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

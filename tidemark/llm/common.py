@@ -1,11 +1,9 @@
-"""What the operators share: the folder all machines see, staging tables, code shipping."""
+"""What the operators share: the folder all machines see, staging tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -117,26 +115,6 @@ def gather_bits(places: DataFrame, n_bits: int) -> np.ndarray:
     return filled
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each context, so that their
-    Python workers can import it wherever they run."""
-    sc = spark.sparkContext
-    if getattr(sc, "_tidemark_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    if os.path.isdir(root):
-        target = os.path.join(tempfile.mkdtemp(prefix="tidemark-code-"), "tidemark.zip")
-        with zipfile.ZipFile(target, "w") as z:
-            for folder, dirs, names in os.walk(root):
-                dirs[:] = [d for d in dirs if d != "__pycache__"]
-                for name in names:
-                    if name.endswith(".py"):
-                        full = os.path.join(folder, name)
-                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
-        sc.addPyFile(target)
-    sc._tidemark_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -31,7 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_hot, ship, shuffle_partitions, staged, table, text_bytes
+from tidemark.llm.common import join_hot, shuffle_partitions, staged, table, text_bytes
+from tidemark.sources.ship import ship
 
 LEAF_BYTES = 64 << 20
 #: What a task's folding table may hold before it hands its records on.

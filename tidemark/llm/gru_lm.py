@@ -40,7 +40,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, most_counted, ship, staged, table, text_bytes
+from tidemark.llm.common import crc_mod, most_counted, staged, table, text_bytes
+from tidemark.sources.ship import ship
 
 HIDDEN, WINDOW = 16, 32
 #: Streams side by side, more of them for many tokens, so that at least STEPS windows are learnt from.

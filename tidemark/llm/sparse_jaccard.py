@@ -46,7 +46,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, gather_bits, join_hot, most_counted, ship, shuffle_partitions, staged, table, text_bytes
+from tidemark.llm.common import discard, gather_bits, join_hot, most_counted, shuffle_partitions, staged, table, text_bytes
+from tidemark.sources.ship import ship
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Columns of more rows make dense groups; their pairs are never listed.

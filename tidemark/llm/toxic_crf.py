@@ -34,7 +34,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, ship, table, text_bytes, word_count
+from tidemark.llm.common import crc_mod, table, text_bytes, word_count
+from tidemark.sources.ship import ship
 
 #: Labelled rows of each label, and words of these, that training reads at most.
 MOST_LABELLED, MOST_WORDS = 2000, 2_000_000

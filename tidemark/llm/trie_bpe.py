@@ -33,7 +33,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship, table
+from tidemark.llm.common import table
+from tidemark.sources.ship import ship
 
 TOKENIZER = "byte_bpe_50k.json"
 #: The published pattern of this kind of pre-tokenizer (a fixed value), with white space spelled out as the Unicode property.

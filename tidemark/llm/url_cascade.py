@@ -33,7 +33,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import gather_bits, ship, staged, table
+from tidemark.llm.common import gather_bits, staged, table
+from tidemark.sources.ship import ship
 
 MAX_FILTER_BYTES = 64 << 20
 

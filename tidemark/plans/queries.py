@@ -315,11 +315,13 @@ def copy_text_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
             v = F.replace(v, F.lit(a), F.lit(b))
         return F.coalesce(v, F.lit("\\N"))
 
-    code = F.ascii(F.substring("lang", 1, 1)).cast("string")
-    first = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\\x"), F.lower(F.conv(code, 10, 16)))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("\\"), F.lpad(F.conv(code, 10, 8), 3, "0"))).otherwise(F.substring("lang", 1, 1))
-    source = F.when(F.col("doc_id") % 5 != 0, F.col("source"))
+    code, rest = F.ascii(F.substring("lang", 1, 1)), field(F.expr("substr(lang, 2)"))
+    of_byte = lambda k: code.between(1, 127) & (F.col("doc_id") % 3 == k)
+    digits = lambda base, n: F.lpad(F.lower(F.conv(code.cast("string"), 10, base)), n, "0")
+    lang = F.when(of_byte(0), F.concat(F.lit("\\x"), digits(16, 2), rest)).when(of_byte(1), F.concat(F.lit("\\"), digits(8, 3), rest)).otherwise(field(F.col("lang")))
+    source = F.when(F.col("doc_id") % 5 == 0, None).otherwise(F.col("source"))
     text = F.translate("text", "qxz", "\b\f\v")
-    lines = table(spark, sf_dir, "documents").select(F.concat_ws("\t", F.col("doc_id").cast("string"), field(text), F.concat(first, F.expr("substr(lang, 2)")), field(source)).alias("value"))
+    lines = table(spark, sf_dir, "documents").select(F.concat_ws("\t", field(F.col("doc_id").cast("string")), field(text), lang, field(source)).alias("value"))
     f = F.col("fields")
     return decode_lines(lines, 4).select(f[0].cast("bigint").alias("doc_id"), f[1].alias("text"), f[2].alias("lang"), f[3].alias("source"))
 

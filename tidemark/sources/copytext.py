@@ -54,8 +54,8 @@ def decode_line(line: str) -> list[str | None]:
 
 
 def plain_field(field: Column) -> Column:
-    """unescape() for fields without escapes of bytes, in SQL functions. No text of the
-    source holds a NUL, so one stands for the escaped backslash meanwhile."""
+    """unescape() for fields without escapes of bytes and without NUL, in SQL functions: a NUL
+    stands for the escaped backslash meanwhile."""
     text = F.replace(field, F.lit("\\\\"), F.lit("\0"))
     out = text
     for code, char in ESCAPES.items():
@@ -67,14 +67,14 @@ def plain_field(field: Column) -> Column:
 
 def decode_lines(lines: DataFrame, n_columns: int) -> DataFrame:
     """``fields`` of each row of lines (value); a wrong number of fields is an error. Lines
-    with hex or octal escapes alone go to Python."""
+    with hex or octal escapes, or with a NUL, alone go to Python."""
     ship(lines.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([decode_line(x) for x in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["fields"])
 
-    of_bytes = F.replace(F.col("value"), F.lit("\\\\"), F.lit("")).rlike(r"\\[x0-7]")
+    of_bytes = F.replace(F.col("value"), F.lit("\\\\"), F.lit("")).rlike(r"\\[x0-7]|\x00")
     plain = lines.where(~of_bytes).select(F.transform(F.split("value", "\t"), plain_field).alias("fields"))
     both = plain.unionByName(lines.where(of_bytes).select("value").mapInArrow(run, "fields array<string>"))
     wrong = F.raise_error(F.concat(F.lit(f"a line hasn't {n_columns} fields but "), F.size("fields"))).cast("array<string>")

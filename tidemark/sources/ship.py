@@ -4,25 +4,31 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import zipfile
 
 from pyspark.sql import SparkSession
 
+_LOCK = threading.Lock()
+
 
 def ship(spark: SparkSession) -> None:
-    """Once for each context: the package as a file that Python workers import from, wherever they run."""
+    """Once for each context: the whole package as a file that Python workers import from, wherever
+    they run. It is sent from here alone: a second file of this name, with other contents, fails
+    every later task of the context, and under another name workers would see but one of the two."""
     sc = spark.sparkContext
-    if getattr(sc, "_tidemark_sent", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    if os.path.isdir(root):
-        target = os.path.join(tempfile.mkdtemp(prefix="tidemark-code-"), "tidemark.zip")
-        with zipfile.ZipFile(target, "w") as z:
-            for folder, dirs, names in os.walk(root):
-                dirs[:] = [d for d in dirs if d not in ("__pycache__", "llm")]
-                for name in names:
-                    if name.endswith(".py"):
-                        full = os.path.join(folder, name)
-                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
-        sc.addPyFile(target)
-    sc._tidemark_sent = True
+    with _LOCK:
+        if getattr(sc, "_tidemark_sent", False):
+            return
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        if os.path.isdir(root):
+            target = os.path.join(tempfile.mkdtemp(prefix="tidemark-code-"), "tidemark.zip")
+            with zipfile.ZipFile(target, "w") as z:
+                for folder, dirs, names in os.walk(root):
+                    dirs[:] = [d for d in dirs if d != "__pycache__"]
+                    for name in names:
+                        if name.endswith(".py"):
+                            full = os.path.join(folder, name)
+                            z.write(full, os.path.relpath(full, os.path.dirname(root)))
+            sc.addPyFile(target)
+        sc._tidemark_sent = True
