@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timezone
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -364,3 +365,17 @@ def test_durations():
 def test_query_runs(spark, name):
     df = q.QUERIES[name](spark, SF)
     assert df.columns and df.count() >= 1
+
+
+ODD_EVENTS = [(1, None, "view", 2.0), (2, None, "error", 3.0), (3, 1, "view", float("nan")), (4, 1, None, None), (5, 1, "", float("inf")), (9, 2, "é\t", 1e-320), (10, 2, "error", 0.1), (11, -3, "view", 1e22), (12, None, "view", -1.0)]
+
+
+@pytest.mark.parametrize("events", [ODD_EVENTS, []])
+@pytest.mark.parametrize("name", ["pgoutput_roundtrip"])
+def test_captures_of_odd_events(spark, tmp_path, name, events):
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = q.QUERIES[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(f"select {', '.join(got.columns)} from ({q.SQL[name]})").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)) and bool(want) == bool(events)

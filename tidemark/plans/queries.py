@@ -382,6 +382,7 @@ def write_segments(rows: DataFrame, folder: str, **how: object) -> None:
         yield pa.RecordBatch.from_arrays([pa.array([folder])], ["folder"])
 
     ship(rows.sparkSession)
+    os.makedirs(folder, exist_ok=True)  # without rows there may be no task
     dealt = rows.repartitionByRange("commit_lsn").sortWithinPartitions("commit_lsn", "seq")
     dealt.mapInArrow(run, "folder string").collect()  # a row a task
 
@@ -393,7 +394,7 @@ def _wal(spark: SparkSession, sf_dir: str, **how: object) -> str:
     return folder
 
 
-TYPES = [("user_id", "bigint", False), ("event_type", "text", True), ("value", "double precision", True)]
+TYPES = [("user_id", "bigint", True), ("event_type", "text", True), ("value", "double precision", True)]
 
 
 def _typed(changes: DataFrame) -> DataFrame:
