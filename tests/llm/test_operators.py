@@ -716,7 +716,7 @@ def test_stages_decide_by_id_and_text(spark, monkeypatch, odd):
     assert corpus_pipeline.toxicity(spark, odd, SF).count() == 10
 
 
-@pytest.mark.parametrize("name", ["copy_text_decode", "pgoutput_roundtrip"])
+@pytest.mark.parametrize("name", ["copy_text_decode", "pgoutput_roundtrip", "stream_apply"])
 def test_capture_queries_share_a_context(spark, name):
     """The operators and the queries on captures send their code in one file, in a context of their own."""
     run = """

@@ -371,7 +371,7 @@ ODD_EVENTS = [(1, None, "view", 2.0), (2, None, "error", 3.0), (3, 1, "view", fl
 
 
 @pytest.mark.parametrize("events", [ODD_EVENTS, []])
-@pytest.mark.parametrize("name", ["pgoutput_roundtrip"])
+@pytest.mark.parametrize("name", ["pgoutput_roundtrip", "stream_apply"])
 def test_captures_of_odd_events(spark, tmp_path, name, events):
     spark.createDataFrame(events, "event_id long, user_id long, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
     got = q.QUERIES[name](spark, str(tmp_path))

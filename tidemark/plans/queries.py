@@ -427,6 +427,7 @@ def _stream(spark: SparkSession, folder: str, target: LogTable, checkpoint: str,
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _wal(spark, sf_dir)
     target = LogTable(spark, f"{folder}/log", "users", _engine(CollapsingEngine))
+    target.sync(spark.createDataFrame([], "user_id bigint, event_type string, value double"), 0)
     _stream(spark, folder, target, "checkpoint")
     return target.current()
 
