@@ -625,6 +625,44 @@ def test_gru_gradients_and_state():
         assert math.isclose(s, -model.window(np.zeros((1, gru_lm.HIDDEN)), np.concatenate(([gru_lm.START], t[:-1]))[None], t[None])[1], rel_tol=1e-4)
 
 
+def test_windows_do_no_more_than_their_tokens(monkeypatch):
+    """The exponentials of a window: of all classes and the gates for each token, of the places of one class for known ones."""
+    done = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, x, **more):
+            done.append(x.size)
+            return np.exp(x, **more)
+
+    monkeypatch.setattr(gru_lm, "np", Counting())
+    model = gru_lm.Gru(np.arange(900, 0, -1.0), 10.0)
+    y = np.random.Generator(np.random.PCG64(3)).integers(0, 1025, (40, 32))
+    x = np.concatenate([np.full((40, 1), gru_lm.START), y[:, :-1]], axis=1)
+    model.window(np.zeros((40, gru_lm.HIDDEN), np.float32), x, y)
+    known = int((y < 1024).sum())
+    assert known < y.size and sum(done) == y.size * (33 + 2 * gru_lm.HIDDEN) + known * 32
+    done.clear()
+    texts = [t[:n].astype(np.int32) for t, n in zip(y, range(1, 33))]
+    model.score(texts)
+    assert sum(done) == sum(len(t) * (33 + 2 * gru_lm.HIDDEN) + int((t < 1024).sum()) * 32 for t in texts)
+
+
+def test_weights_move_by_plain_steps():
+    r = np.random.Generator(np.random.PCG64(4))
+    got = [r.normal(0, 1, 2 * gru_lm.HELD + 5), *np.zeros((2, 2 * gru_lm.HELD + 5))]
+    w, a, b = (x.copy() for x in got)
+    for n in range(1, 5):
+        grad, scale = r.normal(0, 50, len(w)), 1 / (10 * n)
+        a, b = 0.9 * a + 0.1 * scale * grad, 0.99 * b + 0.01 * (scale * grad) ** 2
+        w = w - 0.02 * (a / (1 - 0.9**n)) / (np.sqrt(b / (1 - 0.99**n)) + 1e-6)
+        gru_lm.moved(got[0], grad, got[1], got[2], scale, n, 0.02)
+        for x, y in zip(got, (w, a, b), strict=True):
+            assert np.allclose(x, y, rtol=1e-9, atol=1e-12)
+
+
 @pytest.mark.parametrize("name", list(SQL))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()

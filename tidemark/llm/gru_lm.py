@@ -57,9 +57,12 @@ TRAINER_TOKENS = 4_000_000
 BLOCK = 1 << 16
 RATE = 0.01
 BROADCAST_WORDS = 200_000
-#: Tokens whose logits are held at once (so many stay in a cache), rows of a class that go
-#: together, texts that are scored side by side, and logits up to which exponentials need no shift.
-CHUNK, STRETCH, ABREAST, SAFE = 1024, 32, 1024, 60.0
+#: Multiplications up to which a product of matrices is quickest (a library's own limit for small
+#: ones), rows of a product at least, texts that are scored side by side, and logits up to which
+#: exponentials need no shift.
+SMALL, FEWEST_ROWS, ABREAST, SAFE = 1_000_000, 64, 1024, 60.0
+#: Numbers of each array that a step of the weights takes at once.
+HELD = 1 << 15
 #: The end of a text, as a token; no word is empty.
 END = b""
 
@@ -92,10 +95,36 @@ def count_tokens(training: DataFrame) -> DataFrame:
 
 
 def sums_by(group: np.ndarray, rows: np.ndarray, n_groups: int) -> np.ndarray:
-    """The sums of rows by their group's number."""
-    width = rows.shape[1]
-    flat = (group[:, None] * width + np.arange(width)).ravel()
-    return np.bincount(flat, rows.ravel(), n_groups * width).reshape(n_groups, width).astype(rows.dtype)
+    """The sums of rows' columns (their first axis, the others as in group) by group's numbers: (n_groups, columns)."""
+    group = group.ravel()
+    return np.stack([np.bincount(group, row.ravel(), n_groups) for row in rows], 1).astype(rows.dtype)
+
+
+def moved(weights: np.ndarray, grad: np.ndarray, first: np.ndarray, second: np.ndarray, scale: float, n: int, rate: float) -> None:
+    """Adam's n-th step over flat arrays, in place, by blocks that stay in a cache; scale: of the gradient."""
+    one, two = rate / (1 - 0.9**n), math.sqrt(1 - 0.99**n)
+    for low in range(0, len(weights), HELD):
+        part = slice(low, low + HELD)
+        d, a, b = grad[part], first[part], second[part]
+        a *= 0.9
+        t = d * (0.1 * scale)
+        a += t
+        np.multiply(d, d, out=t)
+        t *= 0.01 * scale * scale
+        b *= 0.99
+        b += t
+        np.sqrt(b, out=t)
+        t += 1e-6 * two
+        np.divide(a, t, out=t)
+        t *= one * two
+        weights[part] -= t
+
+
+def with_ones(states: np.ndarray) -> np.ndarray:
+    """States (steps, H, n) as rows with a last column of ones: (steps, n, H + 1)."""
+    out = np.ones((len(states), states.shape[2], HIDDEN + 1), states.dtype)
+    out[:, :, :HIDDEN] = states.transpose(0, 2, 1)
+    return out
 
 
 class Gru:
@@ -128,142 +157,153 @@ class Gru:
         return self
 
     def step(self, h: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state from states h and inputs a (rows of x); and the gates z and r side by
-        side, the candidate, and what the gate r scales."""
-        b = h @ self.p["u"]
-        b += self.p["bu"]
-        gates = a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]
+        """The next state from states h and inputs a (rows of x), a column each; and the gates z
+        and r one above the other, the candidate, and what the gate r scales."""
+        b = self.p["u"].T @ h
+        b += self.p["bu"][:, None]
+        gates = a[: 2 * HIDDEN] + b[: 2 * HIDDEN]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        scaled = b[:, 2 * HIDDEN :]
-        c = gates[:, HIDDEN:] * scaled
-        c += a[:, 2 * HIDDEN :]
+        scaled = b[2 * HIDDEN :]
+        c = gates[HIDDEN:] * scaled
+        c += a[2 * HIDDEN :]
         np.tanh(c, out=c)
         new = c - h
-        new *= gates[:, :HIDDEN]
+        new *= gates[:HIDDEN]
         new += h
         return new, gates, c, scaled
 
+    def inputs(self, ids: np.ndarray) -> np.ndarray:
+        """x of ids (steps, n), as step() takes them: (steps, 3H, n)."""
+        return np.ascontiguousarray(self.p["x"][ids].transpose(0, 2, 1))
+
     def log_probs(self, states: np.ndarray, ids: np.ndarray, grads: bool = False, live: np.ndarray | None = None) -> tuple[np.ndarray, dict, np.ndarray]:
         """Natural logs for targets ids (of other words those of their class) after states
         (their last column is one); with grads, those of the negative sum. live: the targets that count."""
         p, size, kind = self.p, self.classes, states.dtype
-        places, rows = size * size, np.arange(CHUNK)
+        places, width = size * size, p["wc"].shape[1]
         cls = np.where(ids < places, ids // size, ids - places + size)
-        out, dh = np.empty(len(ids), kind), np.zeros((len(ids) if grads else 0, HIDDEN), kind)
         # beside the weights that lead back to the states, a column of ones gives the sums
-        back = np.ones((p["wc"].shape[1], HIDDEN + 1), kind)
+        back = np.ones((width, HIDDEN + 1), kind)
         back[:, :HIDDEN] = p["wc"][:HIDDEN].T
-        of_class = np.zeros_like(back)
+        of_class = np.zeros((HIDDEN + 1, width), kind)
         counted = states if live is None else states * live[:, None]
-        shift, held = np.abs(p["wc"]).sum(0).max() > SAFE, np.empty((CHUNK, len(back)), kind)
-        for low in range(0, len(ids), CHUNK):
-            own, at = states[low : low + CHUNK], cls[low : low + CHUNK]
-            e = np.matmul(own, p["wc"], out=held[: len(own)])
+        n_rows = max(FEWEST_ROWS, SMALL // p["wc"].size)
+        shift, held, firsts = np.abs(p["wc"]).sum(0).max() > SAFE, np.empty((n_rows, width), kind), np.arange(n_rows) * width
+        flat, hit, both = held.ravel(), np.empty(len(ids), kind), np.empty((len(ids), HIDDEN + 1 if grads else 1), kind)
+        for low in range(0, len(ids), n_rows):
+            part = slice(low, low + n_rows)
+            at = cls[part] + firsts[: len(ids) - low]
+            e = np.matmul(states[part], p["wc"], out=held[: len(at)])
             if shift:
                 e -= e.max(1, keepdims=True)
-            hit = e[rows[: len(own)], at]
+            hit[part] = flat[at]
             np.exp(e, out=e)
-            both = e @ (back if grads else back[:, HIDDEN:])
-            total = both[:, -1]
-            out[low : low + CHUNK] = hit - np.log(total)
+            total = np.matmul(e, back if grads else back[:, HIDDEN:], out=both[part])[:, -1]
             if grads:
-                share = 1 / total[:, None]
-                dh[low : low + CHUNK] = both[:, :HIDDEN] * share - back[at, :HIDDEN]
-                of_class += e.T @ (counted[low : low + CHUNK] * share)
+                flat[at] -= total
+                of_class += (counted[part] / total[:, None]).T @ e
+        out = hit - np.log(both[:, -1])
         inner = np.flatnonzero(ids < places if live is None else (ids < places) & live)
-        order = inner[np.argsort(ids[inner], kind="stable")]
-        found, back_in, of_place = self._inner(counted[order], ids[order], grads)
+        order = inner[np.argsort(ids[inner] // size, kind="stable")]
+        found, back_in, of_place = self._inner(states[order], ids[order], grads)
         out[order] += found
+        if live is not None:
+            out *= live
         if not grads:
-            return (out if live is None else out * live), {}, dh
+            return out, {}, both[:, :0]
+        dh = both[:, :HIDDEN] / both[:, HIDDEN:]
+        dh -= back[cls, :HIDDEN]
         if live is not None:
             dh *= live[:, None]
         dh[order] += back_in
-        of_class -= sums_by(cls, counted, len(of_class))
-        of_place -= sums_by(ids[order], counted[order], places).reshape(of_place.shape)
-        return (out if live is None else out * live), {"wc": of_class.T, "wo": of_place.transpose(0, 2, 1)}, dh
+        return out, {"wc": of_class, "wo": of_place}, dh
 
     def _inner(self, own: np.ndarray, ids: np.ndarray, grads: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Logs within the classes, for known tokens sorted by id. Each class's rows are laid out
-        in stretches of STRETCH, filled up with zeros, so that all classes go together. With
-        grads also what leads back to the states, and the part of wo's gradient (classes,
-        places, H + 1) that isn't the targets' own."""
+        """Logs within the classes, for known tokens sorted by class; with grads also what leads
+        back to the states, and wo's gradient. Each class goes by pieces of rows, and the pieces
+        of so many rows as stay in a cache go through the exponentials together."""
         wo, size, kind = self.p["wo"], self.classes, own.dtype
         cls, place = ids // size, ids % size
-        counts = np.bincount(cls, minlength=size)
-        stretches = -(-counts // STRETCH)
-        at = np.arange(len(ids)) + np.repeat(STRETCH * (np.cumsum(stretches) - stretches) - (np.cumsum(counts) - counts), counts)
-        of = np.repeat(np.arange(size), stretches)
-        x, target = np.zeros((len(of) * STRETCH, HIDDEN + 1), kind), np.zeros(len(of) * STRETCH, np.int64)
-        x[at], target[at] = own, place
-        x, target = x.reshape(-1, STRETCH, HIDDEN + 1), target.reshape(-1, STRETCH)
+        most = max(FEWEST_ROWS, SMALL // ((HIDDEN + 1) * size))
+        ends = np.cumsum(np.bincount(cls, minlength=size)).tolist()
         back = np.ones((size, size, HIDDEN + 1), kind)
         back[:, :, :HIDDEN] = wo[:, :HIDDEN].transpose(0, 2, 1)
-        hit, both, parts = np.empty(target.shape, kind), np.empty_like(x), np.empty((len(of) if grads else 0, size, HIDDEN + 1), kind)
-        step, shift = CHUNK // STRETCH, np.abs(wo).sum(1).max() > SAFE
-        held, rows = np.empty((step, STRETCH, size), kind), np.arange(step * STRETCH)
-        for low in range(0, len(of), step):
-            part = slice(low, low + step)
-            e = np.matmul(x[part], wo[of[part]], out=held[: len(of) - low])
+        hit, both, of_place = np.empty(len(ids), kind), np.empty((len(ids), HIDDEN + 1 if grads else 1), kind), np.zeros_like(wo) if grads else wo
+        shift, held, firsts = np.abs(wo).sum(1).max() > SAFE, np.empty((most, size), kind), np.arange(most) * size
+        flat, k, low = held.ravel(), 0, 0
+        while low < len(ids):
+            high, pieces, at = min(low + most, len(ids)), [], low
+            while at < high:
+                while ends[k] <= at:
+                    k += 1
+                end = min(ends[k], high)
+                pieces.append((k, slice(at, end), slice(at - low, end - low)))
+                at = end
+            part = slice(low, high)
+            e = held[: high - low]
+            for c, rows, here in pieces:
+                np.matmul(own[rows], wo[c], out=held[here])
             if shift:
-                e -= e.max(2, keepdims=True)
-            hit[part] = e.reshape(-1, size)[rows[: e.shape[0] * STRETCH], target[part].ravel()].reshape(-1, STRETCH)
+                e -= e.max(1, keepdims=True)
+            target = place[part] + firsts[: high - low]
+            hit[part] = flat[target]
             np.exp(e, out=e)
-            np.matmul(e, back[of[part]], out=both[part])
-            if grads:
-                np.matmul(e.transpose(0, 2, 1), x[part] / both[part, :, HIDDEN:], out=parts[part])
-        both = both.reshape(-1, HIDDEN + 1)[at]
-        found = hit.ravel()[at] - np.log(both[:, HIDDEN])
+            if not grads:
+                both[part] = e @ back[0, :, HIDDEN:]
+            else:
+                for c, rows, here in pieces:
+                    np.matmul(held[here], back[c], out=both[rows])
+                total = both[part, HIDDEN]
+                flat[target] -= total
+                scaled = (own[part] / total[:, None]).T
+                for c, _, here in pieces:
+                    of_place[c] += scaled[:, here] @ held[here]
+            low = high
+        found = hit - np.log(both[:, -1])
         if not grads:
             return found, own, wo
-        of_place, ends = np.zeros_like(back), np.cumsum(stretches)
-        single = np.flatnonzero(stretches == 1)
-        of_place[single] = parts[ends[single] - 1]
-        for k in np.flatnonzero(stretches > 1).tolist():
-            of_place[k] = parts[ends[k] - stretches[k] : ends[k]].sum(0)
         return found, both[:, :HIDDEN] / both[:, HIDDEN:] - back[cls, place, :HIDDEN], of_place
 
     def window(self, h: np.ndarray, ids: np.ndarray, targets: np.ndarray, live: np.ndarray | None = None) -> tuple[np.ndarray, float, dict]:
         """One window of truncated backpropagation: (streams, steps) ids, targets and, unless
         all count, which do. The gradient of x is given by rows: (ids, sums)."""
         (n, steps), u = ids.shape, self.p["u"]
-        inputs, begins = self.p["x"][ids.T], ids.T == START
+        ids = np.ascontiguousarray(ids.T)
+        inputs, begins, h = self.inputs(ids), ids == START, np.ascontiguousarray(h.T)
         some = begins.any(1).tolist()
-        states, before = np.ones((steps, n, HIDDEN + 1), u.dtype), np.empty((steps, n, HIDDEN), u.dtype)
-        gates, c, scaled = (np.empty((steps, n, k * HIDDEN), u.dtype) for k in (2, 1, 1))
+        before, after, c, scaled = (np.empty((steps, HIDDEN, n), u.dtype) for _ in range(4))
+        gates = np.empty((steps, 2 * HIDDEN, n), u.dtype)
         for t in range(steps):
             if some[t]:
-                h = np.where(begins[t][:, None], u.dtype.type(0), h)
+                h = np.where(begins[t], u.dtype.type(0), h)
             before[t] = h
             h, gates[t], c[t], scaled[t] = self.step(h, inputs[t])
-            states[t, :, :HIDDEN] = h
-        out, g, dout = self.log_probs(states.reshape(-1, HIDDEN + 1), targets.T.ravel(), True, None if live is None else live.T.ravel())
-        dout = dout.reshape(steps, n, HIDDEN)
-        z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+            after[t] = h
+        out, g, dout = self.log_probs(with_ones(after).reshape(-1, HIDDEN + 1), targets.T.ravel(), True, None if live is None else live.T.ravel())
+        dout = np.ascontiguousarray(dout.reshape(steps, n, HIDDEN).transpose(0, 2, 1))
+        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
         keep, of_c = 1 - z, z * (1 - c * c)
         of_z, of_r = (c - before) * z * keep, scaled * r * (1 - r)
-        da, db = np.empty((steps, n, 3 * HIDDEN), u.dtype), np.empty((steps, n, 3 * HIDDEN), u.dtype)
-        dh, back = np.zeros((n, HIDDEN), u.dtype), np.ascontiguousarray(u.T)
+        # what leads back to the candidate, z, r and what r scales: the first three to x, the last three to u
+        d, dh = np.empty((steps, 4 * HIDDEN, n), u.dtype), np.zeros((HIDDEN, n), u.dtype)
         for t in range(steps - 1, -1, -1):
             dh += dout[t]
-            dc = dh * of_c[t]
-            da[t, :, 2 * HIDDEN :] = dc
-            np.multiply(dc, of_r[t], out=da[t, :, HIDDEN : 2 * HIDDEN])
-            np.multiply(dh, of_z[t], out=da[t, :, :HIDDEN])
-            db[t, :, : 2 * HIDDEN] = da[t, :, : 2 * HIDDEN]
-            np.multiply(dc, r[t], out=db[t, :, 2 * HIDDEN :])
+            dc = np.multiply(dh, of_c[t], out=d[t, :HIDDEN])
+            np.multiply(dh, of_z[t], out=d[t, HIDDEN : 2 * HIDDEN])
+            np.multiply(dc, of_r[t], out=d[t, 2 * HIDDEN : 3 * HIDDEN])
+            np.multiply(dc, r[t], out=d[t, 3 * HIDDEN :])
             dh *= keep[t]
-            dh += db[t] @ back
+            dh += u @ d[t, HIDDEN:]
             if some[t]:
-                dh[begins[t]] = 0
-        flat = db.reshape(-1, 3 * HIDDEN)
-        g["u"], g["bu"] = before.reshape(-1, HIDDEN).T @ flat, flat.sum(0)
-        used, place = np.unique(ids.T, return_inverse=True)
-        g["x"] = (used, sums_by(place.ravel(), da.reshape(-1, 3 * HIDDEN), len(used)))
-        return h, -float(out.sum()), g
+                dh[:, begins[t]] = 0
+        db = d[:, HIDDEN:]
+        g["u"], g["bu"] = np.matmul(before, db.transpose(0, 2, 1)).sum(0), db.sum((0, 2))
+        used, place = np.unique(ids, return_inverse=True)
+        g["x"] = (used, np.roll(sums_by(place, d[:, : 3 * HIDDEN].transpose(1, 0, 2), len(used)), -HIDDEN, 1))
+        return h.T, -float(out.sum()), g
 
     def train(self, texts: list[np.ndarray], rate: float = RATE) -> int:
         """One pass over the texts (ids with their end), laid out as streams; the number of tokens."""
@@ -288,15 +328,16 @@ class Gru:
             part = live[:, at : at + WINDOW]
             h, _, g = self.window(h, inputs[:, at : at + WINDOW], targets[:, at : at + WINDOW], None if part.all() else part)
             n += 1
-            scale, one, two = 1 / part.sum(), 1 - 0.9**n, 1 - 0.99**n
+            scale = float(1 / part.sum())
             for k, d in g.items():
-                rows, d = d if k == "x" else (slice(None), d)  # moments of x move where there is a gradient
-                d *= scale
-                a, b = first[k][rows], second[k][rows]
-                a += 0.1 * (d - a)
-                b += 0.01 * (d * d - b)
-                first[k][rows], second[k][rows] = a, b
-                self.p[k][rows] -= (rate / one) * a / (np.sqrt(b / two) + 1e-6)
+                p, a, b = self.p[k], first[k], second[k]
+                if k != "x":
+                    moved(p.reshape(-1), d.reshape(-1), a.reshape(-1), b.reshape(-1), scale, n, rate)
+                    continue
+                rows, d = d  # moments of x move where there is a gradient
+                own = [v[rows] for v in (p, a, b)]
+                moved(own[0].reshape(-1), d.reshape(-1), own[1].reshape(-1), own[2].reshape(-1), scale, n, rate)
+                p[rows], a[rows], b[rows] = own
         return n_tokens
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -311,21 +352,21 @@ class Gru:
         """The longest first."""
         flat, lengths = np.concatenate(texts), np.array([len(t) for t in texts])
         starts, out = np.cumsum(lengths) - lengths, np.zeros(len(texts))
-        h, last = np.zeros((len(texts), HIDDEN), np.float32), np.full(len(texts), START)
+        h, last = np.zeros((HIDDEN, len(texts)), np.float32), np.full(len(texts), START)
         for at in range(0, int(lengths[0]), WINDOW):
             live = np.searchsorted(-lengths, -(at + np.arange(min(WINDOW, int(lengths[0]) - at))), "left")  # texts longer than that
             n, steps = int(live[0]), len(live)
             places = np.minimum(starts[:n] + at + np.arange(steps)[:, None], len(flat) - 1)
             ids = flat[places]
-            inputs = self.p["x"][np.concatenate([last[None, :n], ids[:-1]])]
-            states = np.ones((steps, n, HIDDEN + 1), np.float32)
+            inputs, after = self.inputs(np.concatenate([last[None, :n], ids[:-1]])), np.zeros((steps, HIDDEN, n), np.float32)
             for t, m in enumerate(live.tolist()):
-                h[:m] = self.step(h[:m], inputs[t, :m])[0]
-                states[t, :m, :HIDDEN] = h[:m]
-            last[:n] = ids[-1]
-            counts = np.arange(n) < live[:, None]
-            logs = self.log_probs(states[counts], ids[counts])[0]
-            out += np.bincount(np.nonzero(counts)[1], logs, len(texts))
+                h = self.step(h[:, :m], inputs[t, :, :m])[0]
+                after[t, :, :m] = h
+            last, counts, states = ids[-1], np.arange(n) < live[:, None], with_ones(after)
+            of = np.nonzero(counts)[1]
+            every = len(of) == counts.size  # then nothing is to be picked
+            logs = self.log_probs(states.reshape(-1, HIDDEN + 1) if every else states[counts], ids.ravel() if every else ids[counts])[0]
+            out += np.bincount(of, logs, len(texts))
         return out
 
 
