@@ -6,19 +6,21 @@ import random
 import re
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import cas_store, edit_counts, fair_mix, grace_dedup, gru_lm, quality_ledger, sparse_jaccard, toxic_crf, trie_bpe, url_cascade
-from tidemark.llm.common import most_counted
+from tidemark.llm.common import lean, most_counted
 from tidemark.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -311,6 +313,39 @@ def test_dedup_compares_contents(spark, odd, empty):
     assert grace_dedup.exact_groups(empty).count() == 0
 
 
+def test_tiles_take_little_memory():
+    r = np.random.Generator(np.random.PCG64(4))
+    base = r.integers(0, 1 << 48, 500, np.uint64)
+    sets = [np.unique(np.concatenate([base[r.random(500) < 0.9], r.integers(0, 3000, 60, np.uint64)])) for _ in range(2000)]
+    n = np.array([len(x) for x in sets])
+    tracemalloc.start()
+    overlap = sparse_jaccard.block_product(sets, sets)
+    link = sparse_jaccard.linked(overlap, n, n)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6
+    for i in (0, 255, 256, 1999):
+        assert overlap[i].tolist() == [len(np.intersect1d(sets[i], x, True)) for x in sets]
+        assert link[i].tolist() == [100 * o >= 75 * (int(n[i]) + len(x) - o) for o, x in zip(overlap[i].tolist(), sets, strict=True)]
+
+
+def test_workers_keep_nothing_of_other_operators(spark):
+    docs = spark.createDataFrame([(1, "a toxic tale"), (2, "b c d e f g")], "doc_id long, text string").coalesce(1)
+
+    def kept(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(trie_bpe._loaded)] * batch.num_rows, pa.int64())], ["n"])
+
+    trie_bpe.bpe(public_tokenizers.path(trie_bpe.TOKENIZER))
+    batch = pa.RecordBatch.from_arrays([pa.array([1])], ["x"])
+    assert [b.column(0).to_pylist() for b in kept(iter([batch]))] == [[1]]
+    assert [b.column(0).to_pylist() for b in lean(kept)(iter([batch]))] == [[0]]
+    path = public_tokenizers.path(trie_bpe.TOKENIZER)
+    want = sorted(trie_bpe.digest_documents(docs, path).collect())
+    assert sparse_jaccard.jaccard_join(docs).count() == 2
+    assert sorted(trie_bpe.digest_documents(docs, path).collect()) == want
+
+
 def test_cascade_is_exact(spark):
     keys = [f"h{i}.org" for i in range(3000)]
     listed = keys[::7]

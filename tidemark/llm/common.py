@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +117,37 @@ def gather_bits(places: DataFrame, n_bits: int) -> np.ndarray:
     return filled
 
 
+_caches: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A table that a module keeps in a Python worker from task to task, until ``lean`` empties it."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def trim() -> None:
+    """Gives back to the system what this process has freed; its allocators would keep it."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow, in a worker that holds nothing else: workers are used again, and an
+    executor's memory would fill with what operators that have ended still keep."""
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cache in _caches:
+            cache.clear()
+        trim()
+        yield from run(batches)
+        trim()
+
+    return alone
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

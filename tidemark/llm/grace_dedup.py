@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_hot, shuffle_partitions, staged, table, text_bytes
+from tidemark.llm.common import join_hot, lean, shuffle_partitions, staged, table, text_bytes
 from tidemark.sources.ship import ship
 
 LEAF_BYTES = 64 << 20
@@ -126,7 +126,7 @@ def digest_rows(docs: DataFrame) -> DataFrame:
             shas = pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), shas, pa.array([len(t) for t in texts], pa.int64())], ["doc_id", "n_chars", "sha", "n_bytes"])
 
-    return docs.mapInArrow(digest, "doc_id long, n_chars long, sha binary, n_bytes long")
+    return docs.mapInArrow(lean(digest), "doc_id long, n_chars long, sha binary, n_bytes long")
 
 
 def distinct_contents(docs: DataFrame, inner: frozenset[bytes], n_parts: int, hash_bits: int = 64) -> DataFrame:
@@ -169,8 +169,8 @@ def distinct_contents(docs: DataFrame, inner: frozenset[bytes], n_parts: int, ha
         if t.contents:
             yield from classes(t)
 
-    dealt = docs.mapInArrow(fold, schema).repartition(n_parts, "leaf").sortWithinPartitions("leaf")
-    return dealt.mapInArrow(settle, "sha binary, keep_id long, keep_chars long, group_size long")
+    dealt = docs.mapInArrow(lean(fold), schema).repartition(n_parts, "leaf").sortWithinPartitions("leaf")
+    return dealt.mapInArrow(lean(settle), "sha binary, keep_id long, keep_chars long, group_size long")
 
 
 def exact_groups(docs: DataFrame, leaf_bytes: int = LEAF_BYTES, hash_bits: int = 64) -> DataFrame:

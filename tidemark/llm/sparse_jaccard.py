@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, gather_bits, join_hot, most_counted, shuffle_partitions, staged, table, text_bytes
+from tidemark.llm.common import discard, gather_bits, join_hot, lean, most_counted, shuffle_partitions, staged, table, text_bytes, trim
 from tidemark.sources.ship import ship
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
@@ -58,6 +58,8 @@ FREQUENT, MOST_FREQUENT = 8, 1 << 18
 HOT_ROWS = 1 << 20
 #: Entries that a block of columns, elements and rows that a tile, and partners that a row of the product should hold.
 BLOCK_ENTRIES, TILE_ELEMENTS, TILE_ROWS, HUB_PARTNERS = 2_000_000, 2_000_000, 2048, 512
+#: Columns and cells that a tile's product takes at a time, and rows that are judged at a time: what a worker holds beside a tile's entries and its cells.
+DENSE_COLUMNS, SPARSE_CELLS, LINKED_ROWS = 512, 1_000_000, 256
 #: Elements for each cell of the histogram that bounds overlaps.
 PER_CELL = 2
 #: Bits of the filter that picks candidate rows on the last reading, for each row and at most.
@@ -229,7 +231,7 @@ def _read_rows(docs: DataFrame, seed: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), *ids, pa.array(cells, pa.binary()), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], names)
         yield flush()
 
-    return docs.mapInArrow(run, "doc_id long, key string, n long, s long, s2 long, cells binary, g long, c long")
+    return docs.mapInArrow(lean(run), "doc_id long, key string, n long, s long, s2 long, cells binary, g long, c long")
 
 
 #: Entries of a column: shingle, row, size of the row, place in its prefix.
@@ -301,7 +303,7 @@ def _entries(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray, blocks:
                     held, hot, size = [], [], 0
         yield flush()
 
-    return docs.select("text").mapInArrow(run, "block long, entries binary, s long, g long")
+    return docs.select("text").mapInArrow(lean(run), "block long, entries binary, s long, g long")
 
 
 def columns_of(rows: np.ndarray, dense: int) -> Iterator[tuple[np.ndarray, bool]]:
@@ -373,7 +375,7 @@ def _cells(entries: DataFrame) -> DataFrame:
             yield from block(parts)
 
     dealt = entries.where("block is not null").select("block", "entries").repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "a long, b long, s long, g long")
+    return dealt.mapInArrow(lean(run), "a long, b long, s long, g long")
 
 
 def _candidates(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
@@ -401,7 +403,7 @@ def _candidates(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
                     packed.append(s.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(n, pa.int64()), pa.array(packed, pa.binary())], ["s", "n", "elements"])
 
-    found = docs.select("text").mapInArrow(run, "s long, n long, elements binary")
+    found = docs.select("text").mapInArrow(lean(run), "s long, n long, elements binary")
     return found.join(wanted, "s", "left_semi").dropDuplicates(["s"])
 
 
@@ -424,7 +426,7 @@ def _bounded(cells: DataFrame, rows: DataFrame) -> DataFrame:
 
     side = lambda c, n, x: rows.select(F.col("s").alias(c), F.col("n").alias(n), F.col("cells").alias(x))
     both = cells.join(side("a", "na", "xa"), "a").join(side("b", "nb", "xb"), "b")
-    return both.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(lean(run), "a long, b long")
 
 
 def masked_overlaps(hubs: list[np.ndarray], partners: list[np.ndarray], owner: np.ndarray) -> np.ndarray:
@@ -478,7 +480,7 @@ def _links(cells: DataFrame, rows: DataFrame) -> DataFrame:
                 names, sizes, sets = names[-1:], sizes[-1:], sets[-1:]
 
     dealt = partners.unionByName(hubs).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lean(run), "a long, b long")
 
 
 def block_product(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -486,40 +488,57 @@ def block_product(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     share go through a dense product, a few thousand at a time; the others add their
     cells one by one."""
     shape = (len(left), len(right))
+    if sum(shape) > 1 << 16:
+        at = max(shape) // 2
+        if shape[0] >= shape[1]:
+            return np.concatenate([block_product(left[:at], right), block_product(left[at:], right)])
+        return np.concatenate([block_product(left, right[:at]), block_product(left, right[at:])], axis=1)
     out = np.zeros(shape, np.float32)
-    elements, rows = (np.concatenate([f(t) for t in (left, right)]) for f in (lambda t: np.concatenate(t), lambda t: np.repeat(np.arange(len(t)), [len(x) for x in t])))
-    is_right = np.arange(len(elements)) >= sum(map(len, left))
-    order = np.lexsort((is_right, elements))
-    elements, rows, is_right = elements[order], rows[order], is_right[order]
-    starts = np.flatnonzero(np.concatenate(([True], elements[1:] != elements[:-1])))
-    n_right = np.add.reduceat(is_right.astype(np.int64), starts)
-    n_left = np.diff(np.append(starts, len(elements))) - n_right
+    # one number an entry: 48 bits of the element, then the row, those of the left first
+    entries = np.concatenate([*left, *right]) << np.uint64(16)
+    entries |= np.repeat(np.arange(sum(shape), dtype=np.uint64), [len(x) for t in (left, right) for x in t])
+    entries.sort()
+    rows = entries.astype(np.uint16)
+    entries >>= np.uint64(16)
+    starts = np.flatnonzero(np.concatenate(([True], entries[1:] != entries[:-1])))
+    del entries
+    n_right = np.add.reduceat(rows >= shape[0], starts, dtype=np.int64)
+    n_left = np.diff(np.append(starts, len(rows))) - n_right
     both = (n_left > 0) & (n_right > 0)
     starts, n_left, n_right = starts[both], n_left[both], n_right[both]
     dense = n_left * n_right * 64 > shape[0] * shape[1]
     at = np.flatnonzero(dense)
-    for low in range(0, len(at), 2048):
-        part = at[low : low + 2048]
+    for low in range(0, len(at), DENSE_COLUMNS):
+        part = at[low : low + DENSE_COLUMNS]
         sides = []
-        for first, count, size in ((starts[part], n_left[part], shape[0]), (starts[part] + n_left[part], n_right[part], shape[1])):
+        for first, count, size, ahead in ((starts[part], n_left[part], shape[0], 0), (starts[part] + n_left[part], n_right[part], shape[1], shape[0])):
             m = np.zeros((size, len(part)), np.float32)
             column = np.repeat(np.arange(len(part)), count)
-            m[rows[np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())], column] = 1
+            m[rows[np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())] - np.int64(ahead), column] = 1
             sides.append(m)
         out += sides[0] @ sides[1].T
     at, low = np.flatnonzero(~dense), 0
     work = np.cumsum(n_left[at] * n_right[at])
     while low < len(at):
-        high = max(low + 1, int(np.searchsorted(work, (work[low - 1] if low else 0) + 4_000_000, "right")))
+        high = max(low + 1, int(np.searchsorted(work, (work[low - 1] if low else 0) + SPARSE_CELLS, "right")))
         part = at[low:high]
         n, k = n_left[part], n_right[part]
-        first = rows[np.repeat(starts[part] - np.cumsum(n) + n, n) + np.arange(n.sum())]  # the left entries, column by column
+        first = rows[np.repeat(starts[part] - np.cumsum(n) + n, n) + np.arange(n.sum())].astype(np.int64)  # the left entries, column by column
         times = np.repeat(k, n)
         ends = np.cumsum(times)
-        second = rows[np.arange(ends[-1]) + np.repeat(np.repeat(starts[part] + n, n) - ends + times, times)]
+        second = rows[np.arange(ends[-1]) + np.repeat(np.repeat(starts[part] + n, n) - ends + times, times)] - np.int64(shape[0])
         out += np.bincount(np.repeat(first, times) * shape[1] + second, minlength=shape[0] * shape[1]).reshape(shape)
         low = high
-    return out.astype(np.int64)
+    return out.astype(np.int32)
+
+
+def linked(overlap: np.ndarray, n: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Which rows, of n elements, link with which columns, of k: some rows at a time."""
+    out = np.zeros(overlap.shape, bool)
+    for i in range(0, len(n), LINKED_ROWS):
+        common = overlap[i : i + LINKED_ROWS].astype(np.int64)
+        out[i : i + LINKED_ROWS] = DENOMINATOR * common >= NUMERATOR * (n[i : i + LINKED_ROWS, None] + k - common)
+    return out
 
 
 def forest(link: np.ndarray, same: bool) -> tuple[list[int], list[int]]:
@@ -579,15 +598,18 @@ def _tiles(groups: DataFrame, rows: DataFrame, copies: DataFrame) -> DataFrame:
             right = left
         others, links = np.zeros(len(s), np.int64), ([], [])
         if len(left) and len(right):
-            overlap, total = block_product([sets[x] for x in left], [sets[x] for x in right]), n[left][:, None] + n[right]
-            link = DENOMINATOR * overlap >= NUMERATOR * (total - overlap)
+            link = linked(block_product([sets[x] for x in left], [sets[x] for x in right]), n[left], n[right])
             if same:
                 np.fill_diagonal(link, False)
-            others[left] += link @ times[right]
-            if not same:
-                others[right] += link.T @ times[left]
+            for at in range(0, len(left), LINKED_ROWS):
+                some = left[at : at + LINKED_ROWS]
+                others[some] += link[at : at + LINKED_ROWS] @ times[right]
+                if not same:
+                    others[right] += link[at : at + LINKED_ROWS].T @ times[some]
             x, y = forest(link, same)
             links = (s[left[x]], s[right[y]])
+        del sets
+        trim()
         some, k = np.flatnonzero(others), len(links[0])
         counted = [pa.array(s[some]), pa.array(others[some])]
         return pa.table([*(pa.concat_arrays([c, pa.nulls(k, pa.int64())]) for c in counted), *(pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(c, pa.int64())]) for c in links)], ["s", "others", "a", "b"])

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, table, text_bytes, word_count
+from tidemark.llm.common import crc_mod, lean, table, text_bytes, word_count
 from tidemark.sources.ship import ship
 
 #: Labelled rows of each label, and words of these, that training reads at most.
@@ -325,7 +325,7 @@ def score_documents(docs: DataFrame, crf: Crf | None, key: Column | None = None)
             score = own.rate(largest, above) if own else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(above), pa.array(spans, span_type), *batch.columns[2:]], fields)
 
-    return rows.mapInArrow(run, "doc_id long, score double, n_toxic_words long, spans array<struct<start: long, end: long>>" + ", key string" * (key is not None))
+    return rows.mapInArrow(lean(run), "doc_id long, score double, n_toxic_words long, spans array<struct<start: long, end: long>>" + ", key string" * (key is not None))
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -364,7 +364,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Crf | None:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(crf)], pa.binary())], ["field"])
 
     # sorted by id, so that reruns learn in one order
-    found = rows.repartition(1).sortWithinPartitions("label_id").select("toxic", "text").mapInArrow(train, "field binary").collect()
+    found = rows.repartition(1).sortWithinPartitions("label_id").select("toxic", "text").mapInArrow(lean(train), "field binary").collect()
     return pickle.loads(found[0].field) if found else None
 
 

@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import table, worker_cache
 from tidemark.sources.ship import ship
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -177,7 +177,7 @@ class Bpe:
         return b"".join(map(self.byte_table.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_loaded: dict[str, Bpe] = {}
+_loaded: dict[str, Bpe] = worker_cache()
 
 
 def bpe(path: str) -> Bpe:
