@@ -313,6 +313,26 @@ def test_dedup_compares_contents(spark, odd, empty):
     assert grace_dedup.exact_groups(empty).count() == 0
 
 
+def test_words_are_looked_up_once_a_group(monkeypatch):
+    path, asked = public_tokenizers.path(cas_store.TOKENIZER), []
+
+    class Counted(cas_store.WordIds):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(cas_store, "_words", {path: Counted(path)})
+    list(cas_store.encode_texts([b"some words " * 500] * 20, path))
+    assert len(asked) == 2
+    library = Tokenizer.from_file(path)
+    texts = ["", "x" * 16 + " " + "x" * 17 + " " + "x" * 15, "a\0 a \0 a\0\0 a", ("y" * 50 + " ") * 3 + "y" * 49 + "z", *strings(300, 12)]
+    for i in range(0, len(texts), 7):
+        got = list(cas_store.encode_texts([t.encode() for t in texts[i : i + 7]], path, b"\1\0\0\0"))
+        want = [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts[i : i + 7]]
+        assert np.frombuffer(got[0][0], "<u4").tolist() == [x for ids in want for x in ids]
+        assert got[0][1] == np.cumsum([len(ids) for ids in want]).tolist()
+
+
 def test_tiles_take_little_memory():
     r = np.random.Generator(np.random.PCG64(4))
     base = r.integers(0, 1 << 48, 500, np.uint64)

@@ -32,6 +32,7 @@ An empty table gives an empty store; other columns are not looked at.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import zlib
@@ -73,32 +74,52 @@ class WordIds(dict):
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
+        # a word comes to the model once, and a cache of its own would only be filled
+        self._library.model._resize_cache(0)
         vocab = self._library.get_vocab(with_added_tokens=True)
         self._before: dict[bytes, bytes] = {}
         self._closes = np.zeros(max(vocab.values()) + 1, bool)
         self._closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of the words that aren't kept yet; the long ones come back alone."""
+        # the model's answers hold no cycles, and so many of them would set off one collection after the other
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._learn(words)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > KEPT_WORDS // 2:
             self._before = self.copy()
             self.clear()
-            new = list(words)
+            new = words
         before = self._before
         if before:
             again = [w for w in new if w in before]
             self.update(zip(again, map(before.__getitem__, again), strict=True))
             new = [w for w in new if w not in before]
         long: dict[bytes, bytes] = {}
-        texts = {w: w.decode("utf-8", "replace") for w in new}
         # a word of lower-case Latin letters is one pre-token that the normaliser leaves as
-        # it is: the library's model gets its bytes at once
-        direct = [w for w, t in texts.items() if t.isalpha() and t.islower() and max(t) < LATIN_END]
-        got = list(map(self._library.model.tokenize, [w.decode("latin-1").translate(_STAND_INS) for w in direct]))
-        data, ends = array("I", [t.id for word in got for t in word]).tobytes(), (4 * np.cumsum(list(map(len, got)), dtype=np.int64)).tolist()
-        for word, start, end in zip(direct, [0, *ends], ends, strict=False):
-            (self if len(word) <= KEPT_LENGTH else long)[word] = data[start:end]
+        # it is: the library's model gets its bytes at once, of which a to z stand for themselves
+        ascii_words = [w for w in new if w.isalpha() and w.islower()]
+        done = set(ascii_words)
+        texts = {w: w.decode("utf-8", "replace") for w in new if w not in done}
+        latin = [w for w, t in texts.items() if t.isalpha() and t.islower() and max(t) < LATIN_END]
+        direct, tokenize = ascii_words + latin, self._library.model.tokenize
+        forms = [w.decode() for w in ascii_words] + [w.decode("latin-1").translate(_STAND_INS) for w in latin]
+        for i in range(0, len(direct), 1024):
+            got = list(map(tokenize, forms[i : i + 1024]))
+            data, start = array("I", [t.id for word in got for t in word]).tobytes(), 0
+            for word, tokens in zip(direct[i : i + 1024], got, strict=True):
+                end = start + 4 * len(tokens)
+                (self if len(word) <= KEPT_LENGTH else long)[word] = data[start:end]
+                start = end
+        for word in latin:
             del texts[word]
         # other words of letters are one pre-token too, and the last token of each carries the
         # end mark: many such words are encoded as one text and told apart by it
@@ -180,13 +201,48 @@ def encode_texts(texts: list[bytes], path: str, end: bytes = b"") -> Iterator[tu
         _words[path] = WordIds(path)
     known = _words[path]
     for i in range(0, len(texts), GROUP):
-        split = [t.split() for t in loosened(texts[i : i + GROUP])]
-        long = known.learn(set().union(*split))
-        known.update(long)
-        ids = [b"".join(map(known.__getitem__, words)) + end for words in split]
-        for word in long:
-            del known[word]
-        yield b"".join(ids), np.cumsum([len(x) // 4 for x in ids]).tolist()
+        words, places, text_ends = distinct_words(loosened(texts[i : i + GROUP]))
+        long = known.learn(words)
+        coded = [known[w] if w in known else long[w] for w in words] + [end]
+        places = np.insert(places, text_ends, len(words))
+        sizes = np.array(list(map(len, coded)), np.int64) // 4
+        first, counts = (np.cumsum(sizes) - sizes)[places], sizes[places]
+        ends = np.cumsum(counts)
+        pool = np.frombuffer(b"".join(coded), "<u4")
+        ids = pool[np.repeat(first - ends + counts, counts) + np.arange(counts.sum())]
+        yield ids.tobytes(), ends[text_ends + np.arange(len(text_ends))].tolist()
+
+
+#: A word of so many bytes, and its length, are told from others by three numbers.
+SHORT_WORD = 16
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: The first bytes of eight, by how many.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def distinct_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of the texts, each of at most SHORT_WORD bytes hardly more than once; for all
+    places in order the number of the word there; and how many places there are up to each text's end."""
+    joined = b" ".join(texts) + b" " + bytes(SHORT_WORD)
+    blank = _BLANK[np.frombuffer(joined, np.uint8, len(joined) - SHORT_WORD)]
+    edges = np.diff(blank.view(np.int8), prepend=np.int8(1))
+    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    text_ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+    lengths = ends - starts
+    eight = np.ndarray((len(joined) - 7,), "<u8", joined, strides=(1,))
+    low = eight[starts] & _FIRST[np.minimum(lengths, 8)]
+    high = eight[starts + 8] & _FIRST[np.clip(lengths - 8, 0, 8)]
+    # words with one hash stand together; where others come between, a word is only listed again
+    mixed = (low ^ (low >> np.uint64(31))) * _MULTIPLIER + (high ^ (high >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + lengths.astype(np.uint64)
+    order = np.argsort(mixed ^ (mixed >> np.uint64(32)))
+    low, high, lengths = low[order], high[order], lengths[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (lengths[1:] != lengths[:-1]) | (lengths[1:] > SHORT_WORD)
+    places = np.empty(len(order), np.int64)
+    places[order] = np.cumsum(new) - 1
+    picked = order[new]
+    return [joined[a:b] for a, b in zip(starts[picked].tolist(), ends[picked].tolist(), strict=True)], places, text_ends
 
 
 def rolling(ids: np.ndarray) -> np.ndarray:
