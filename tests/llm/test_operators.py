@@ -9,6 +9,7 @@ import sys
 import tracemalloc
 import zlib
 from collections import Counter
+from unittest.mock import MagicMock
 
 import duckdb
 import numpy as np
@@ -718,6 +719,79 @@ def test_weights_move_by_plain_steps():
             assert np.allclose(x, y, rtol=1e-9, atol=1e-12)
 
 
+def test_words_are_split_and_looked_up_alike():
+    r = random.Random(3)
+    parts = [b" ", b"\t", b"\n", b"\v", b"\f", b"\r", b"A", b"z", b"Q", b"x", b"\0", b"\x1c", "\u00c4\u0130".encode(), "\u00a0\u0085".encode(), b"\xff"]
+    texts = [b"", b" ", *(b"".join(r.choices(parts, k=r.randrange(12))) for _ in range(3000))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"]).slice(1)
+    got, n = [], 0
+    for part in gru_lm.pieces(batch, 0):
+        words, ends = gru_lm.split_words(part.column(0))
+        n += part.num_rows
+        got += [words.slice(i, j - i).to_pylist() for i, j in zip([0, *ends.tolist()[:-1]], ends.tolist(), strict=True)]
+    assert n == len(texts) - 1 and got == [t.lower().split() for t in texts[1:]]
+    words = [w for t in texts for w in gru_lm.tokens(t)]
+    assert gru_lm.ending_crcs(pa.array(words, pa.binary()).slice(2)).tolist() == [zlib.crc32(w[-3:]) for w in words[2:]]
+    v = gru_lm.Vocabulary(Counter(words).most_common(1100), 32, {})
+    rows, ids = v.look_up(words)
+    assert rows.min() == -1 and rows.max() == 1099 and rows.tolist() == [v.rows.get(w, -1) for w in words]
+    assert ids.tolist() == [i if 0 <= i < 1024 else 1024 + zlib.crc32(w[-3:]) % 32 for i, w in zip(rows.tolist(), words, strict=True)]
+
+
+def test_pieces_hold_every_row(monkeypatch):
+    monkeypatch.setattr(gru_lm, "PIECE", 10)
+    texts = [b"", b"a" * 25, b"b" * 4, b"c" * 6, b"d", b"", b"e" * 11, b""]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])
+    assert [p.column(0).to_pylist() for p in gru_lm.pieces(batch, 0)] == [texts[:1], texts[1:2], texts[2:4], texts[4:6], texts[6:7], texts[7:]]
+    assert not list(gru_lm.pieces(batch.slice(0, 0), 0))
+
+
+def test_counting_makes_no_object_of_a_word(spark, monkeypatch):
+    """What Python itself holds while words are counted: less than the head of one bytes object for each."""
+    monkeypatch.setattr(gru_lm, "COUNTED", 1 << 18, raising=False)
+    training, words = MagicMock(), [f"W{i % 50_000}" for i in range(100_000)]
+    gru_lm.count_tokens(training)
+    run = training.select.return_value.mapInArrow.call_args[0][0]
+    texts = [" ".join(words[i : i + 500]).encode() for i in range(0, len(words), 500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])
+    tracemalloc.start()
+    out = list(run(iter([batch, batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = Counter()
+    for b in out:
+        for w, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            found[w] += c
+    assert found == {**{f"w{i}".encode(): 4 for i in range(50_000)}, gru_lm.END: 2 * len(texts)}
+    assert peak < len(words) * sys.getsizeof(b"")
+
+
+def test_scoring_looks_through_the_weights_once(monkeypatch):
+    seen = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def abs(self, x):
+            seen.append(x.size)
+            return np.abs(x)
+
+    monkeypatch.setattr(gru_lm, "np", Counting())
+    model = gru_lm.Gru(np.arange(900, 0, -1.0), 10.0)
+    texts = [np.arange(n, dtype=np.int32) % 1025 for n in (1, 40, 900)]
+    model.score(texts)
+    assert sorted(seen) == sorted([model.p["wc"].size, model.p["wo"].size])
+
+
+def test_gradients_of_inputs_are_summed_by_id():
+    r = np.random.Generator(np.random.PCG64(6))
+    group, rows = r.choice([2, 3, 5, 11], (4, 6)), r.normal(0, 1, (4, 3, 6)).astype(np.float32)
+    used, sums = gru_lm.sums_by(group, rows, 12)
+    assert used.tolist() == sorted(set(group.ravel().tolist()))
+    assert np.allclose(sums, [[rows[:, k][group == i].sum() for k in range(3)] for i in used], rtol=1e-5)
+
+
 @pytest.mark.parametrize("name", list(SQL))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()

@@ -30,17 +30,16 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, most_counted, staged, table, text_bytes
+from tidemark.llm.common import crc_mod, lean, most_counted, staged, table, text_bytes
 from tidemark.sources.ship import ship
 
 HIDDEN, WINDOW = 16, 32
@@ -63,8 +62,14 @@ BROADCAST_WORDS = 200_000
 SMALL, FEWEST_ROWS, ABREAST, SAFE = 1_000_000, 64, 1024, 60.0
 #: Numbers of each array that a step of the weights takes at once.
 HELD = 1 << 15
+#: Bytes of texts that are split at once, and of words that are counted at once.
+PIECE, COUNTED = 1 << 23, 1 << 25
 #: The end of a text, as a token; no word is empty.
 END = b""
+#: What a byte does to a crc32.
+CRC_TABLE = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    CRC_TABLE = np.where(CRC_TABLE & 1, (CRC_TABLE >> 1) ^ np.uint32(0xEDB88320), CRC_TABLE >> 1)
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -72,32 +77,78 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in order, PIECE bytes of the column at a time, or a longer row."""
+    upto, low = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(), dtype=np.int64), 0
+    while low < len(upto):
+        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + PIECE, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased (A-Z) words of all texts (binary), and how many there are up to each text's end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    words, ends = lists.flatten().view(pa.binary()), lists.offsets.to_numpy()[1:]
+    filled = pc.binary_length(words).to_numpy() > 0  # blanks at the sides of a text leave empty ones
+    if not filled.all():
+        words, ends = words.filter(pa.array(filled)), np.append(0, np.cumsum(filled))[ends]
+    return words, ends
+
+
+def ending_crcs(words: pa.Array) -> np.ndarray:
+    """crc32 of the last ENDING bytes of each word (binary)."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+    crc, lengths, ends = np.full(len(words), 0xFFFFFFFF, np.uint32), np.diff(at), at[1:]
+    for back in range(ENDING, 0, -1):
+        some = np.flatnonzero(lengths >= back)
+        if len(some):
+            had = crc[some]
+            crc[some] = CRC_TABLE[(had ^ np.frombuffer(data, np.uint8)[ends[some] - back]) & 0xFF] ^ (had >> 8)
+    return crc ^ np.uint32(0xFFFFFFFF)
+
+
 def count_tokens(training: DataFrame) -> DataFrame:
     """w, c over all texts of ``training`` (text as binary)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        held, size, n_texts = [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["w", "c"])
+            return pa.RecordBatch.from_arrays(pc.value_counts(pa.chunked_array(held, pa.binary())).flatten(), ["w", "c"])
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i in range(0, len(texts), 512):
-                found.update(b" ".join(texts[i : i + 512]).lower().split())
-                if len(found) > 400_000:
+            n_texts += batch.num_rows
+            for part in pieces(batch, 0):
+                held.append(split_words(part.column(0))[0])
+                size += held[-1].nbytes
+                if size > COUNTED:
                     yield flush()
-                    found.clear()
-            found[END] += len(texts)
+                    held, size = [], 0
         yield flush()
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([n_texts], pa.int64())], ["w", "c"])
+
+    return training.select("text").mapInArrow(lean(count), "w binary, c long").where("c > 0").groupBy("w").agg(F.sum("c").alias("c"))
 
-    return training.select("text").mapInArrow(count, "w binary, c long").where("c > 0").groupBy("w").agg(F.sum("c").alias("c"))
 
+def small(numbers: np.ndarray, upto: int) -> np.ndarray:
+    """Numbers below upto, in 16 bits where they fit: a stable sort of these goes by digits."""
+    return numbers.astype(np.uint16) if upto <= 1 << 16 else numbers
 
-def sums_by(group: np.ndarray, rows: np.ndarray, n_groups: int) -> np.ndarray:
-    """The sums of rows' columns (their first axis, the others as in group) by group's numbers: (n_groups, columns)."""
+
+def sums_by(group: np.ndarray, rows: np.ndarray, n_groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The groups (numbers below n_groups) that occur, and for each the sums of rows' columns (their
+    second axis, the others as in group)."""
     group = group.ravel()
-    return np.stack([np.bincount(group, row.ravel(), n_groups) for row in rows], 1).astype(rows.dtype)
+    found = np.zeros(n_groups, bool)
+    found[group] = True
+    used, place = np.flatnonzero(found), np.empty(n_groups, np.intp)
+    place[used] = np.arange(len(used))
+    group, out = place[group], np.empty((rows.shape[1], len(used)), rows.dtype)
+    for k, sums in enumerate(out):
+        sums[:] = np.bincount(group, rows[:, k].ravel(), len(used))
+    return used, out.T
 
 
 def moved(weights: np.ndarray, grad: np.ndarray, first: np.ndarray, second: np.ndarray, scale: float, n: int, rate: float) -> None:
@@ -156,32 +207,44 @@ class Gru:
             at += old.size
         return self
 
-    def step(self, h: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state from states h and inputs a (rows of x), a column each; and the gates z
-        and r one above the other, the candidate, and what the gate r scales."""
-        b = self.p["u"].T @ h
+    def step(self, h: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The next state from states h and inputs a (rows of x), a column each. What the way back
+        needs is left in b, the gates z and r and what the gate r scales one above the other, and
+        in c, the candidate."""
+        np.matmul(self.p["u"].T, h, out=b)
         b += self.p["bu"][:, None]
-        gates = a[: 2 * HIDDEN] + b[: 2 * HIDDEN]
+        gates = b[: 2 * HIDDEN]
+        gates += a[: 2 * HIDDEN]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        scaled = b[2 * HIDDEN :]
-        c = gates[HIDDEN:] * scaled
+        np.multiply(gates[HIDDEN:], b[2 * HIDDEN :], out=c)
         c += a[2 * HIDDEN :]
         np.tanh(c, out=c)
         new = c - h
         new *= gates[:HIDDEN]
         new += h
-        return new, gates, c, scaled
+        return new
 
     def inputs(self, ids: np.ndarray) -> np.ndarray:
         """x of ids (steps, n), as step() takes them: (steps, 3H, n)."""
-        return np.ascontiguousarray(self.p["x"][ids].transpose(0, 2, 1))
+        x = self.p["x"]
+        out = np.empty((len(ids), 3 * HIDDEN, ids.shape[1]), x.dtype)
+        for own, step in zip(out, ids, strict=True):  # so many rows stay in a cache
+            own[:] = np.take(x, step, 0).T
+        return out
+
+    def shifts(self) -> tuple[bool, bool]:
+        """Whether the exponentials of classes, and of tokens in them, need a shift."""
+        return bool(np.abs(self.p["wc"]).sum(0).max() > SAFE), bool(np.abs(self.p["wo"]).sum(1).max() > SAFE)
 
-    def log_probs(self, states: np.ndarray, ids: np.ndarray, grads: bool = False, live: np.ndarray | None = None) -> tuple[np.ndarray, dict, np.ndarray]:
+    def log_probs(
+        self, states: np.ndarray, ids: np.ndarray, grads: bool = False, live: np.ndarray | None = None, shifts: tuple[bool, bool] | None = None
+    ) -> tuple[np.ndarray, dict, np.ndarray]:
         """Natural logs for targets ids (of other words those of their class) after states
-        (their last column is one); with grads, those of the negative sum. live: the targets that count."""
+        (their last column is one); with grads, those of the negative sum. live: the targets that
+        count; shifts: of these weights."""
         p, size, kind = self.p, self.classes, states.dtype
         places, width = size * size, p["wc"].shape[1]
         cls = np.where(ids < places, ids // size, ids - places + size)
@@ -191,7 +254,8 @@ class Gru:
         of_class = np.zeros((HIDDEN + 1, width), kind)
         counted = states if live is None else states * live[:, None]
         n_rows = max(FEWEST_ROWS, SMALL // p["wc"].size)
-        shift, held, firsts = np.abs(p["wc"]).sum(0).max() > SAFE, np.empty((n_rows, width), kind), np.arange(n_rows) * width
+        shift, shift_inner = shifts or self.shifts()
+        held, firsts = np.empty((n_rows, width), kind), np.arange(n_rows) * width
         flat, hit, both = held.ravel(), np.empty(len(ids), kind), np.empty((len(ids), HIDDEN + 1 if grads else 1), kind)
         for low in range(0, len(ids), n_rows):
             part = slice(low, low + n_rows)
@@ -207,32 +271,36 @@ class Gru:
                 of_class += (counted[part] / total[:, None]).T @ e
         out = hit - np.log(both[:, -1])
         inner = np.flatnonzero(ids < places if live is None else (ids < places) & live)
-        order = inner[np.argsort(ids[inner] // size, kind="stable")]
-        found, back_in, of_place = self._inner(states[order], ids[order], grads)
+        order = inner[np.argsort(small(cls[inner], size), kind="stable")]
+        found, back_in, of_place = self._inner(np.take(states, order, 0), ids[order], grads, shift_inner)
         out[order] += found
         if live is not None:
             out *= live
         if not grads:
             return out, {}, both[:, :0]
         dh = both[:, :HIDDEN] / both[:, HIDDEN:]
-        dh -= back[cls, :HIDDEN]
+        dh -= np.take(back, cls, 0)[:, :HIDDEN]
         if live is not None:
             dh *= live[:, None]
         dh[order] += back_in
         return out, {"wc": of_class, "wo": of_place}, dh
 
-    def _inner(self, own: np.ndarray, ids: np.ndarray, grads: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _inner(self, own: np.ndarray, ids: np.ndarray, grads: bool, shift: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Logs within the classes, for known tokens sorted by class; with grads also what leads
         back to the states, and wo's gradient. Each class goes by pieces of rows, and the pieces
         of so many rows as stay in a cache go through the exponentials together."""
         wo, size, kind = self.p["wo"], self.classes, own.dtype
         cls, place = ids // size, ids % size
         most = max(FEWEST_ROWS, SMALL // ((HIDDEN + 1) * size))
-        ends = np.cumsum(np.bincount(cls, minlength=size)).tolist()
-        back = np.ones((size, size, HIDDEN + 1), kind)
-        back[:, :, :HIDDEN] = wo[:, :HIDDEN].transpose(0, 2, 1)
-        hit, both, of_place = np.empty(len(ids), kind), np.empty((len(ids), HIDDEN + 1 if grads else 1), kind), np.zeros_like(wo) if grads else wo
-        shift, held, firsts = np.abs(wo).sum(1).max() > SAFE, np.empty((most, size), kind), np.arange(most) * size
+        n_of = np.bincount(cls, minlength=size)
+        ends = np.cumsum(n_of).tolist()
+        begins, back, of_place = [0, *ends], np.ones((size if grads else 1, size, HIDDEN + 1), kind), wo
+        if grads:
+            back[:, :, :HIDDEN] = wo[:, :HIDDEN].transpose(0, 2, 1)
+            of_place = np.empty_like(wo)
+            of_place[n_of == 0] = 0
+        hit, both = np.empty(len(ids), kind), np.empty((len(ids), HIDDEN + 1 if grads else 1), kind)
+        held, firsts = np.empty((most, size), kind), np.arange(most) * size
         flat, k, low = held.ravel(), 0, 0
         while low < len(ids):
             high, pieces, at = min(low + most, len(ids)), [], low
@@ -259,13 +327,16 @@ class Gru:
                 total = both[part, HIDDEN]
                 flat[target] -= total
                 scaled = (own[part] / total[:, None]).T
-                for c, _, here in pieces:
-                    of_place[c] += scaled[:, here] @ held[here]
+                for c, rows, here in pieces:
+                    if rows.start == begins[c]:
+                        np.matmul(scaled[:, here], held[here], out=of_place[c])
+                    else:
+                        of_place[c] += scaled[:, here] @ held[here]
             low = high
         found = hit - np.log(both[:, -1])
         if not grads:
             return found, own, wo
-        return found, both[:, :HIDDEN] / both[:, HIDDEN:] - back[cls, place, :HIDDEN], of_place
+        return found, both[:, :HIDDEN] / both[:, HIDDEN:] - np.take(back.reshape(-1, HIDDEN + 1), ids, 0)[:, :HIDDEN], of_place
 
     def window(self, h: np.ndarray, ids: np.ndarray, targets: np.ndarray, live: np.ndarray | None = None) -> tuple[np.ndarray, float, dict]:
         """One window of truncated backpropagation: (streams, steps) ids, targets and, unless
@@ -274,17 +345,16 @@ class Gru:
         ids = np.ascontiguousarray(ids.T)
         inputs, begins, h = self.inputs(ids), ids == START, np.ascontiguousarray(h.T)
         some = begins.any(1).tolist()
-        before, after, c, scaled = (np.empty((steps, HIDDEN, n), u.dtype) for _ in range(4))
-        gates = np.empty((steps, 2 * HIDDEN, n), u.dtype)
+        before, after, c = (np.empty((steps, HIDDEN, n), u.dtype) for _ in range(3))
+        b = np.empty((steps, 3 * HIDDEN, n), u.dtype)
         for t in range(steps):
             if some[t]:
                 h = np.where(begins[t], u.dtype.type(0), h)
             before[t] = h
-            h, gates[t], c[t], scaled[t] = self.step(h, inputs[t])
-            after[t] = h
+            after[t] = h = self.step(h, inputs[t], b[t], c[t])
         out, g, dout = self.log_probs(with_ones(after).reshape(-1, HIDDEN + 1), targets.T.ravel(), True, None if live is None else live.T.ravel())
         dout = np.ascontiguousarray(dout.reshape(steps, n, HIDDEN).transpose(0, 2, 1))
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
+        z, r, scaled = b[:, :HIDDEN], b[:, HIDDEN : 2 * HIDDEN], b[:, 2 * HIDDEN :]
         keep, of_c = 1 - z, z * (1 - c * c)
         of_z, of_r = (c - before) * z * keep, scaled * r * (1 - r)
         # what leads back to the candidate, z, r and what r scales: the first three to x, the last three to u
@@ -301,8 +371,8 @@ class Gru:
                 dh[:, begins[t]] = 0
         db = d[:, HIDDEN:]
         g["u"], g["bu"] = np.matmul(before, db.transpose(0, 2, 1)).sum(0), db.sum((0, 2))
-        used, place = np.unique(ids, return_inverse=True)
-        g["x"] = (used, np.roll(sums_by(place, d[:, : 3 * HIDDEN].transpose(1, 0, 2), len(used)), -HIDDEN, 1))
+        used, sums = sums_by(np.where(begins, len(self.p["x"]) + START, ids), d[:, : 3 * HIDDEN], len(self.p["x"]))
+        g["x"] = (used, np.roll(sums, -HIDDEN, 1))
         return h.T, -float(out.sum()), g
 
     def train(self, texts: list[np.ndarray], rate: float = RATE) -> int:
@@ -335,20 +405,21 @@ class Gru:
                     moved(p.reshape(-1), d.reshape(-1), a.reshape(-1), b.reshape(-1), scale, n, rate)
                     continue
                 rows, d = d  # moments of x move where there is a gradient
-                own = [v[rows] for v in (p, a, b)]
+                own, whole = [np.take(v, rows, 0) for v in (p, a, b)], f"V{p[0].nbytes}"
                 moved(own[0].reshape(-1), d.reshape(-1), own[1].reshape(-1), own[2].reshape(-1), scale, n, rate)
-                p[rows], a[rows], b[rows] = own
+                for v, now in zip((p, a, b), own, strict=True):  # a row at a time
+                    v.view(whole)[rows] = now.view(whole)
         return n_tokens
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log-probability of each text (ids with their end), the state carried across windows."""
-        out, order = np.zeros(len(texts)), np.argsort([-len(t) for t in texts], kind="stable")
+        out, order, shifts = np.zeros(len(texts)), np.argsort([-len(t) for t in texts], kind="stable"), self.shifts()
         for i in range(0, len(texts), ABREAST):
             part = order[i : i + ABREAST]
-            out[part] = self._score([texts[k] for k in part])
+            out[part] = self._score([texts[k] for k in part], shifts)
         return out
 
-    def _score(self, texts: list[np.ndarray]) -> np.ndarray:
+    def _score(self, texts: list[np.ndarray], shifts: tuple[bool, bool]) -> np.ndarray:
         """The longest first."""
         flat, lengths = np.concatenate(texts), np.array([len(t) for t in texts])
         starts, out = np.cumsum(lengths) - lengths, np.zeros(len(texts))
@@ -360,12 +431,12 @@ class Gru:
             ids = flat[places]
             inputs, after = self.inputs(np.concatenate([last[None, :n], ids[:-1]])), np.zeros((steps, HIDDEN, n), np.float32)
             for t, m in enumerate(live.tolist()):
-                h = self.step(h[:, :m], inputs[t, :, :m])[0]
+                h = self.step(h[:, :m], inputs[t, :, :m], np.empty((3 * HIDDEN, m), np.float32), np.empty((HIDDEN, m), np.float32))
                 after[t, :, :m] = h
             last, counts, states = ids[-1], np.arange(n) < live[:, None], with_ones(after)
             of = np.nonzero(counts)[1]
             every = len(of) == counts.size  # then nothing is to be picked
-            logs = self.log_probs(states.reshape(-1, HIDDEN + 1) if every else states[counts], ids.ravel() if every else ids[counts])[0]
+            logs = self.log_probs(states.reshape(-1, HIDDEN + 1) if every else states[counts], ids.ravel() if every else ids[counts], shifts=shifts)[0]
             out += np.bincount(of, logs, len(texts))
         return out
 
@@ -402,15 +473,20 @@ class Vocabulary:
     def model(self) -> Gru:
         return Gru(self.counts[: self.n_known].astype(float), self.rest, self.classes)
 
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Each word's row among the most frequent (-1: none)."""
+        return pc.index_in(words, pa.array(list(self.rows), pa.binary())).fill_null(-1).to_numpy()
+
+    def ids_of(self, words: pa.Array, rows: np.ndarray) -> np.ndarray:
+        """The ids of words with these rows."""
+        ids, missing = self._ids[rows] if len(self._ids) else np.zeros(len(words), np.int32), np.flatnonzero(rows < 0)
+        ids[missing] = self.places + ending_crcs(words.take(pa.array(missing))) % np.uint32(self.classes)
+        return ids
+
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Each word's row among the most frequent (-1: none) and its id."""
-        rows = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(rows < 0)
-        ids = self._ids[rows] if len(self._ids) else np.zeros(len(words), np.int32)
-        if len(missing):
-            crc, places, classes = zlib.crc32, self.places, self.classes
-            ids[missing] = [places + crc(words[i][-ENDING:]) % classes for i in missing.tolist()]
-        return rows, ids
+        words = pa.array(words, pa.binary())
+        return (rows := self.find(words)), self.ids_of(words, rows)
 
 
 def _encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -423,28 +499,34 @@ def _encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         logs, rest, row = np.append(np.log10(own.counts + 1), 0.0), np.log10(own.rest), TaskContext.get().partitionId() << 40
+        end = own.look_up([END])
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                words, ends = [], []
-                for text in part.column(1).to_pylist():
-                    words += text.lower().split()
-                    words.append(END)
-                    ends.append(len(words))
-                found, ids = own.look_up(words)
-                missing, other = np.flatnonzero(found < 0), np.flatnonzero(ids >= own.places)
-                starts, n = np.array([0, *ends[:-1]]), len(ends)
-                outside = np.zeros(len(words))
-                outside[other] = logs[found[other]] - rest[ids[other] - own.places]
-                rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(missing, [0, *ends]), pa.int32()), pa.array([words[i] for i in missing.tolist()], pa.binary()))
-                sums = [np.add.reduceat(x, starts) for x in ((found >= 0).astype(np.int64), logs[found], outside)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), part.column(0), part.column(2), pa.array(np.array(ends) - starts), *map(pa.array, sums), pa.array([ids[i:j].tobytes() for i, j in zip(starts.tolist(), ends, strict=True)], pa.binary()), rare],
-                    names,
-                )
-                row += n
-
-    return rows.mapInArrow(run, "k long, doc_id long, held_out boolean, n_tokens long, seen long, base double, outside double, ids binary, rare array<binary>")
+            for piece in pieces(batch, 1):
+                # a word more holds the place of each text's end
+                all_words, upto = split_words(pc.binary_join_element_wise(piece.column(1), b"x", b" "))
+                all_found, upto = own.find(all_words), np.append(0, upto)
+                for low in range(0, piece.num_rows, 512):
+                    part = piece.slice(low, 512)
+                    n, first = part.num_rows, int(upto[low])
+                    starts, ends = upto[low : low + n] - first, upto[low + 1 : low + n + 1] - first
+                    words, found = all_words.slice(first, ends[-1]), all_found[first : first + ends[-1]].astype(np.int64)
+                    ids = own.ids_of(words, found)
+                    found[ends - 1], ids[ends - 1] = end
+                    missing, other = np.flatnonzero(found < 0), np.flatnonzero(ids >= own.places)
+                    outside = np.zeros(len(words))
+                    outside[other] = logs[found[other]] - rest[ids[other] - own.places]
+                    rare = words.take(pa.array(missing))
+                    if end[0] < 0:
+                        rare = pc.if_else(pa.array(np.isin(missing, ends - 1)), pa.scalar(END, pa.binary()), rare)
+                    rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(missing, np.append(0, ends)), pa.int32()), rare)
+                    sums = [np.add.reduceat(x, starts) for x in ((found >= 0).astype(np.int64), logs[found], outside)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.arange(row, row + n)), part.column(0), part.column(2), pa.array((ends - starts).astype(np.int64)), *map(pa.array, sums), pa.array([ids[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()), rare],
+                        names,
+                    )
+                    row += n
+
+    return rows.mapInArrow(lean(run), "k long, doc_id long, held_out boolean, n_tokens long, seen long, base double, outside double, ids binary, rare array<binary>")
 
 
 def _train(training: DataFrame, vocabulary: Vocabulary, n_trainers: int) -> Gru:
